@@ -2,19 +2,23 @@
 
 A window partitioned by instrument alone puts an instrument's whole history
 into one task; one instrument may hold a third of the rows. The row-frame
-windows here (lag, rolling sums) are instead computed over fixed-size blocks
-of each instrument's ordered rows:
-
-1. ``row_index`` numbers each instrument's rows 0, 1, 2 ... in time order
-   with a blocked prefix sum: row counts per (instrument, day) ->
-   running day offsets per instrument (a window over days, bounded by the
-   calendar, not by data volume) -> row_number inside the day.
-2. Rows are cut into blocks of ``block_rows``; the last ``halo`` rows of a
-   block are copied into the next block, so a frame of up to ``halo``
-   preceding rows is complete for every row a block owns.
-3. The window runs over (instrument, block); copies are discarded.
-
-The result equals the plain per-instrument window row for row.
+windows here (lag, rolling sums) run instead over blocks of each
+instrument's time-ordered rows:
+
+1. Rows are counted per (instrument, month): a partial aggregate whose
+   output is bounded by instruments x months, not by data volume.
+2. On that small table a running sum gives each month's first row
+   position; months are assigned whole to blocks of about ``block_rows``
+   rows (at least four times the instrument's largest month plus the halo,
+   so no block is skipped or short).
+3. Months whose rows reach into the last ``halo`` positions before the next
+   block are also copied into it, so every row a block owns has its full
+   frame of preceding rows.
+4. The month table is joined back (broadcast behind a size check) and the
+   window runs over (instrument, block); copies are then discarded.
+
+The data is shuffled once, for the window itself, and no task holds more
+than a block. Results equal the plain per-instrument window row for row.
 """
 
 from __future__ import annotations
@@ -23,44 +27,40 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwise.functions.numeric import log_return
+from barwise.operators.joins import bounded_broadcast
 
-BLOCK_ROWS = 200_000
+BLOCK_ROWS = 1_000_000
+# Rows of the (instrument, month) table that may be broadcast.
+CHUNK_TABLE_MAX_ROWS = 5_000_000
 
 
-def row_index(df: DataFrame, key: str = "ticker_id", ts: str = "ts",
-              chunk: str = "day", out: str = "_row") -> DataFrame:
-    """0-based position of each row within ``key`` ordered by ``ts``.
-
-    ``ts`` must be unique within ``key`` (true for bars). ``chunk`` is the
-    date_trunc unit whose per-key row count is bounded (a day of bars).
-    """
-    d = df.withColumn("_chunk", F.date_trunc(chunk, F.col(ts)))
+def chunk_blocks(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
+                 block_rows: int = BLOCK_ROWS, chunk: str = "month") -> DataFrame:
+    """(key, _chunk, _blk, _own): the block(s) each (key, chunk) goes to."""
+    d = df.select(key, F.trunc(F.to_date(F.col(ts)), chunk).alias("_chunk"))
     counts = d.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, "_chunk",
-                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    # The offsets table is large at scale (one row per key and day); AQE
-    # turns this into a broadcast join only when its runtime size is small.
-    j = d.join(offsets, [key, "_chunk"])
-    wr = Window.partitionBy(key, "_chunk").orderBy(ts)
-    return (j.withColumn(out, F.col("_off") + F.row_number().over(wr) - 1)
-            .drop("_chunk", "_off"))
+    w = Window.partitionBy(key).orderBy("_chunk")
+    start = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    size = F.greatest(F.lit(block_rows),
+                      4 * (F.max("_n").over(Window.partitionBy(key)) + F.lit(halo)))
+    c = counts.select(key, "_chunk", start.alias("_start"), (start + F.col("_n")).alias("_end"),
+                      size.alias("_size"))
+    home = F.floor(F.col("_start") / F.col("_size"))
+    reach = F.col("_end") > (home + 1) * F.col("_size") - F.lit(halo)
+    targets = (F.when(reach & F.lit(halo > 0), F.array(home, home + 1))
+               .otherwise(F.array(home)))
+    return c.select(key, "_chunk", home.alias("_home"), F.explode(targets).alias("_blk")) \
+        .select(key, "_chunk", "_blk", (F.col("_blk") == F.col("_home")).alias("_own"))
 
 
 def blocked(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
-            block_rows: int = BLOCK_ROWS) -> DataFrame:
+            block_rows: int = BLOCK_ROWS, chunk: str = "month") -> DataFrame:
     """Rows tagged with ``_blk`` (their window block) and ``_own`` (False for
-    halo copies that only serve as preceding rows of the next block)."""
-    if halo >= block_rows:
-        raise ValueError("halo must be smaller than block_rows")
-    r = row_index(df, key, ts)
-    blk = F.floor(F.col("_row") / block_rows)
-    pos = F.col("_row") - blk * block_rows
-    targets = F.when(pos >= block_rows - halo, F.array(blk, blk + 1)).otherwise(F.array(blk))
-    return (r.withColumn("_home", blk)
-            .withColumn("_blk", F.explode(targets))
-            .withColumn("_own", F.col("_blk") == F.col("_home"))
-            .drop("_home", "_row"))
+    copies that only serve as preceding rows of the next block)."""
+    blocks = chunk_blocks(df, halo, key, ts, block_rows, chunk)
+    d = df.withColumn("_chunk", F.trunc(F.to_date(F.col(ts)), chunk))
+    return (d.join(bounded_broadcast(blocks, CHUNK_TABLE_MAX_ROWS), [key, "_chunk"])
+            .drop("_chunk"))
 
 
 def log_returns(bars: DataFrame, key: str = "ticker_id", ts: str = "ts",
@@ -96,7 +96,7 @@ def rolling_vol(bars: DataFrame, n: int = 20, drop_first: bool = False,
         return r.where("_own").select(key, ts, "logret", "rv")
     rets = log_returns(bars.select(key, ts, "close"), key, ts, block_rows)
     rets = rets.where(F.col("logret").isNotNull())
-    b = blocked(rets, n - 1, key, ts, block_rows) if n > 1 else blocked(rets, 0, key, ts, block_rows)
+    b = blocked(rets, n - 1, key, ts, block_rows)
     r = b.withColumn("rv", F.sqrt(F.sum(F.col("logret") * F.col("logret")).over(frame)))
     return r.where("_own").select(key, ts, "logret", "rv")
 
