@@ -9,7 +9,9 @@ rebuilds only the months asked for and replaces just those folders.
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Sequence
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,8 +66,20 @@ def build_daily(bars: DataFrame, path: str, **kw) -> None:
     write_partitioned(d.repartition("month", "ticker_id"), path, mode="overwrite")
 
 
-def _input_files(df: DataFrame) -> list[str]:
-    return list(df.inputFiles())
+def _location(uri: str) -> tuple[str, str]:
+    """(host or bucket, normalised path) of a file URI or plain path."""
+    u = urlparse(uri)
+    return u.netloc, posixpath.normpath(u.path or uri)
+
+
+def reads_from(df: DataFrame, path: str) -> bool:
+    """True when any input file of ``df`` lies under ``path``."""
+    host, root = _location(path)
+    for f in df.inputFiles():
+        h, p = _location(f)
+        if h == host and (p == root or p.startswith(root + "/")):
+            return True
+    return False
 
 
 def refresh_daily(bars: DataFrame, path: str, months: Sequence[str], **kw) -> None:
@@ -78,8 +92,7 @@ def refresh_daily(bars: DataFrame, path: str, months: Sequence[str], **kw) -> No
     UTC bars straddle a month edge are complete; then only session dates in
     the months are kept.
     """
-    target = path.rstrip("/")
-    if any(f.startswith(target + "/") for f in _input_files(bars)):
+    if reads_from(bars, path):
         raise ValueError("refresh_daily: bars are read from the table being refreshed")
     months = sorted(set(months))
     if not months:
