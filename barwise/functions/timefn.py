@@ -57,12 +57,18 @@ def local_minute(ts, tz: str = NEW_YORK) -> Column:
 
 def local_time(ts, tz: str = NEW_YORK) -> Column:
     """Time of day in ``tz`` as 'HH:mm:ss' (F7)."""
-    return F.date_format(to_local(ts, tz), "HH:mm:ss")
+    t = to_local(ts, tz)
+    return F.format_string("%02d:%02d:%02d", F.hour(t), F.minute(t), F.second(t))
 
 
 def local_label(ts, tz: str = NEW_YORK) -> Column:
-    """Local time as text for a chart axis."""
-    return F.date_format(to_local(ts, tz), "yyyy-MM-dd HH:mm")
+    """Local time as text 'yyyy-MM-dd HH:mm' for a chart axis.
+
+    Built from the NTZ fields rather than ``date_format``, which would pass
+    the value through the session time zone."""
+    t = to_local(ts, tz)
+    return F.format_string("%04d-%02d-%02d %02d:%02d", F.year(t), F.month(t),
+                           F.dayofmonth(t), F.hour(t), F.minute(t))
 
 
 def prior_day(ts) -> Column:
@@ -76,8 +82,9 @@ def next_month(d) -> Column:
 
 
 def month_key(ts) -> Column:
-    """Partition key 'yyyy-MM' of a date or time."""
-    return F.date_format(_c(ts), "yyyy-MM")
+    """Partition key 'yyyy-MM' of a date or time (F10), zone-free."""
+    c = _c(ts)
+    return F.format_string("%04d-%02d", F.year(c), F.month(c))
 
 
 def month_start(ts) -> Column:

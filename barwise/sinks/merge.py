@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwise.operators.quality import assert_unique
@@ -20,12 +20,22 @@ from barwise.operators.quality import assert_unique
 
 def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None
                   ) -> DataFrame:
-    """One row per key: the first by ``order`` (a window over each key,
-    bounded by that key's duplicates), or any one without an order."""
+    """One row per key: the first by ``order``, or any one without an order.
+
+    A grouped ``min_by`` over the whole row, so duplicates are reduced on the
+    map side (partial aggregation) and a key with a huge number of
+    duplicates never gathers them in one task. Ties in ``order`` are broken
+    by the row itself, so the choice is deterministic.
+    """
+    keys = list(keys)
     if not order:
-        return batch.dropDuplicates(list(keys))
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return batch.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+        return batch.dropDuplicates(keys)
+    rest = [c for c in batch.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in rest])
+    rank = F.struct(*[F.col(c) for c in order], row)
+    return (batch.groupBy(*keys).agg(F.min_by(row, rank).alias("_first"))
+            .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest])
+            .select(*batch.columns))
 
 
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],

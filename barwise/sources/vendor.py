@@ -53,7 +53,9 @@ def pack_pages(bars: DataFrame, page_key: str = "page_no") -> DataFrame:
     more than its own rows.
     """
     b = F.struct(
-        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("t"),
+        F.format_string("%04d-%02d-%02dT%02d:%02d:%02dZ", F.year("timestamp"),
+                        F.month("timestamp"), F.dayofmonth("timestamp"), F.hour("timestamp"),
+                        F.minute("timestamp"), F.second("timestamp")).alias("t"),
         F.col("open").alias("o"), F.col("high").alias("h"), F.col("low").alias("l"),
         F.col("close").alias("c"), F.col("volume").alias("v"), F.col("vwap").alias("vw"),
         F.col("trade_count").alias("n"))

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from barwise.functions import (clean_symbol, empty_to_null, int_or_null, local_date, local_label,
-                               local_window, log_return, num_or, round_dec, safe_div,
-                               symbol_forms, to_local, ts_lit, vendor_ts)
+                               local_window, log_return, month_key, num_or, round_dec,
+                               safe_div, symbol_forms, to_local, ts_lit, vendor_ts)
 from barwise.operators.filters import regular_hours
 from tests.conftest import bars_df
 
@@ -44,6 +44,8 @@ def test_results_do_not_depend_on_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
         assert one(spark, to_local(ts_lit("2024-07-02 13:30:00"))) == dt.datetime(2024, 7, 2, 9, 30)
         assert str(one(spark, local_date(ts_lit("2024-01-03 03:00:00")))) == "2024-01-02"
+        assert one(spark, local_label(ts_lit("2024-03-10 07:30:00"))) == "2024-03-10 03:30"
+        assert one(spark, month_key(ts_lit("2024-03-01 00:30:00"))) == "2024-03"
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
 
