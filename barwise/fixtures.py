@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwise.operators.bars import bars_from_ticks
-from barwise.operators.joins import bounded_broadcast
+from barwise.operators.joins import bounded_broadcast, mark_small
 from barwise.sources.files import read_table
 from barwise.sources.vendor import pack_pages
 
@@ -42,10 +42,10 @@ def instruments_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ticker_id, symbol, name, sector) for fixture A: nations in regions."""
     n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     r = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    return (n.join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey)
-            .select(F.col("n_nationkey").cast("int").alias("ticker_id"),
-                    F.col("n_name").alias("symbol"), F.col("n_name").alias("name"),
-                    F.col("r_name").alias("sector")))
+    return mark_small(n.join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey)
+                      .select(F.col("n_nationkey").cast("int").alias("ticker_id"),
+                              F.col("n_name").alias("symbol"), F.col("n_name").alias("name"),
+                              F.col("r_name").alias("sector")))
 
 
 def ticks_b(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,8 +97,8 @@ def sector_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 def instruments_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ticker_id, symbol, name, industry, sector) through the J2 chain."""
     from barwise.operators.joins import instruments
-    return instruments(ticker_b(spark, sf_dir), industry_b(spark, sf_dir),
-                       sector_b(spark, sf_dir))
+    return mark_small(instruments(ticker_b(spark, sf_dir), industry_b(spark, sf_dir),
+                                  sector_b(spark, sf_dir)))
 
 
 def vendor_rows_a(spark: SparkSession, sf_dir: str) -> DataFrame:

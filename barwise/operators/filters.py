@@ -104,7 +104,7 @@ def for_symbol(bars: DataFrame, dims: DataFrame, symbols) -> DataFrame:
     first, then joined, so the fact side is only probed."""
     syms = [symbols] if isinstance(symbols, str) else list(symbols)
     d = dims.where(F.col("symbol").isin(syms)).select("ticker_id", "symbol")
-    return bars.join(bounded_broadcast(d), "ticker_id")
+    return bars.join(bounded_broadcast(d, parent=dims), "ticker_id")
 
 
 def by_sector(df: DataFrame, sector: str | None = None, col: str = "sector") -> DataFrame:

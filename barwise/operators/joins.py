@@ -22,15 +22,36 @@ def has_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven below ``max_rows``, else ``df``."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def mark_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Check once that ``df`` has at most ``max_rows`` rows and remember the
+    proof on the object; projections and filters of it (which cannot grow)
+    can then be broadcast without another check (``parent=``)."""
+    if has_at_most(df, max_rows):
+        df._bw_max_rows = max_rows
+    return df
+
+
+def _proven(df: DataFrame | None, max_rows: int) -> bool:
+    bound = getattr(df, "_bw_max_rows", None) if df is not None else None
+    return bound is not None and bound <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      parent: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` when its size is proven below ``max_rows``, else ``df``.
+
+    ``parent`` is a DataFrame ``df`` was projected or filtered from; if the
+    parent's bound is already proven (``mark_small``), no job runs.
+    """
+    if _proven(df, max_rows) or _proven(parent, max_rows) or has_at_most(df, max_rows):
+        return F.broadcast(df)
+    return df
 
 
 def with_symbol(bars: DataFrame, dims: DataFrame, cols=("symbol",)) -> DataFrame:
     """Inner join of facts to the instrument list on ticker_id."""
     d = dims.select("ticker_id", *cols)
-    return bars.join(bounded_broadcast(d), "ticker_id")
+    return bars.join(bounded_broadcast(d, parent=dims), "ticker_id")
 
 
 def instruments(ticker: DataFrame, industry: DataFrame, sector: DataFrame) -> DataFrame:
@@ -63,7 +84,8 @@ def resolve_ids(bars: DataFrame, dims: DataFrame, on_unknown: str = "drop",
     """
     if on_unknown not in ("drop", "add"):
         raise ValueError("on_unknown must be 'drop' or 'add'")
-    d = bounded_broadcast(dims.select(F.col("symbol").alias(symbol_col), "ticker_id"))
+    d = bounded_broadcast(dims.select(F.col("symbol").alias(symbol_col), "ticker_id"),
+                          parent=dims)
     joined = bars.join(d, symbol_col, "left")
     unknown = joined.where(F.col("ticker_id").isNull())
     resolved = joined if on_unknown == "add" else joined.where(F.col("ticker_id").isNotNull())
@@ -74,7 +96,8 @@ def enrich_symbols(symbols: DataFrame, meta: DataFrame, symbol_col: str = "symbo
                    default_sector: str = "Unknown") -> DataFrame:
     """Lookup with defaults (J10): name falls back to the symbol, sector to
     'Unknown'. ``meta`` has (symbol, name, sector)."""
-    m = bounded_broadcast(meta.select(F.col("symbol").alias(symbol_col), "name", "sector"))
+    m = bounded_broadcast(meta.select(F.col("symbol").alias(symbol_col), "name", "sector"),
+                          parent=meta)
     j = symbols.join(m, symbol_col, "left")
     return j.select(
         symbol_col,

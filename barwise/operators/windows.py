@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwise.functions.numeric import log_return
-from barwise.operators.joins import bounded_broadcast
+from barwise.operators.joins import bounded_broadcast, has_at_most
 
 BLOCK_ROWS = 1_000_000
 # Rows of the (instrument, month) table that may be broadcast.
@@ -56,7 +56,14 @@ def chunk_blocks(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts
 def blocked(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
             block_rows: int = BLOCK_ROWS, chunk: str = "month") -> DataFrame:
     """Rows tagged with ``_blk`` (their window block) and ``_own`` (False for
-    copies that only serve as preceding rows of the next block)."""
+    copies that only serve as preceding rows of the next block).
+
+    When the whole input provably has at most ``block_rows`` rows (a limit
+    job that reads at most block_rows + 1 rows), no instrument can exceed a
+    block, so every row gets block 0 and no month table is built.
+    """
+    if has_at_most(df, block_rows):
+        return df.withColumn("_blk", F.lit(0)).withColumn("_own", F.lit(True))
     blocks = chunk_blocks(df, halo, key, ts, block_rows, chunk)
     d = df.withColumn("_chunk", F.trunc(F.to_date(F.col(ts)), chunk))
     return (d.join(bounded_broadcast(blocks, CHUNK_TABLE_MAX_ROWS), [key, "_chunk"])

@@ -43,7 +43,8 @@ def cross_section_sector(bars: DataFrame, instruments: DataFrame, t,
     """The app form: sector, prices to 2 places, return in percent to 3,
     sorted by the rounded return (Q2b, F4, P10). ``instruments`` carries
     (ticker_id, symbol, sector) from the ticker -> industry -> sector chain."""
-    d = bounded_broadcast(instruments.select("ticker_id", "symbol", "sector"))
+    d = bounded_broadcast(instruments.select("ticker_id", "symbol", "sector"),
+                          parent=instruments)
     s = snapshot(bars, t).join(d, "ticker_id")
     ret = simple_return("close", "prev_close") * F.lit(100)
     out = s.select("symbol", "sector", round_dec("close", 2).alias("close"),

@@ -68,7 +68,7 @@ def main():
 
     bar_ship = spark.read.parquet(pship)
     bar_1d = spark.read.parquet(p1d)
-    dims_a = fx.instruments_a(spark, SF_DIR).cache()
+    dims_a = fx.instruments_a(spark, SF_DIR).cache()  # proven small by the fixture
     dims_b = fx.instruments_b(spark, SF_DIR).cache()
     dims_a.count()
     dims_b.count()
