@@ -73,3 +73,22 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a key occurs twice (T21: an upsert batch must not)."""
     if duplicate_keys(df, keys).limit(1).count() > 0:
         raise ValueError(f"duplicate keys {list(keys)} in batch")
+
+
+def validate_load(bars: DataFrame, dims: DataFrame, keys: Sequence[str] = ("ticker_id", "ts"),
+                  key: str = "ticker_id", ts: str = "ts") -> DataFrame:
+    """One-row report on a loaded fact table (P17, A1, P18): rows, first and
+    last bar, rows breaking any row rule, duplicated keys and rows whose
+    instrument is unknown. Three aggregates over the table, joined as one row."""
+    rules = bar_rules()
+    bad = F.size(violations(rules)) > 0
+    known = dims.select(key).distinct().withColumn("_known", F.lit(True))
+    from barwise.operators.joins import bounded_broadcast
+    j = bars.join(bounded_broadcast(known, parent=dims), key, "left")
+    rows = j.agg(F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first_ts"),
+                 F.max(ts).alias("last_ts"), F.count_if(bad).alias("rule_violations"),
+                 F.count_if(F.col("_known").isNull()).alias("unknown_refs"))
+    dups = duplicate_keys(bars, list(keys)).agg(F.count(F.lit(1)).alias("duplicated_keys"))
+    return rows.unionByName(dups, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("rows", "first_ts", "last_ts", "rule_violations",
+                                      "duplicated_keys", "unknown_refs")])

@@ -19,6 +19,13 @@ def ticker_chart(bars: DataFrame, dims: DataFrame, symbol: str, t0, t1,
     return b.select(*BAR_OUT, *(["vwap"] if with_vwap else [])).orderBy("ts")
 
 
+def session_sample(bars: DataFrame, dims: DataFrame, symbol: str, t0, t1,
+                   n: int = 10) -> DataFrame:
+    """The first ``n`` bars of one instrument in a session window (O4):
+    a top-N sort (TakeOrderedAndProject), not a full sort."""
+    return ticker_chart(bars, dims, symbol, t0, t1, with_vwap=False).limit(n)
+
+
 def chart_local(bars: DataFrame, dims: DataFrame, symbol: str, t0, t1, tz: str = NEW_YORK,
                 rth_only: bool = True) -> DataFrame:
     """Bars with local time and an axis label, regular hours only by

@@ -216,8 +216,7 @@ def q_symbols_without_bars(spark, sf):
 @query("session_sample")
 def q_session_sample(spark, sf):
     bars, dims = _a(spark, sf)
-    return (ch.ticker_chart(bars, dims, SYM_A, "2024-01-03 14:30:00", "2024-01-03 21:00:00",
-                            with_vwap=False).limit(10))
+    return ch.session_sample(bars, dims, SYM_A, "2024-01-03 14:30:00", "2024-01-03 21:00:00", 10)
 
 
 def _routed_b(spark, sf, start, end) -> DataFrame:
@@ -268,6 +267,16 @@ def q_load_partitioned(spark, sf):
                          "1995-01-01", "2002-01-01")
 
 
+@query("validate_load")
+def q_validate_load(spark, sf):
+    """Load fixture B's bars (K2) and validate the stored table."""
+    path = scratch_path(spark, "bar_ship")
+    lay.load_bars(_vendor_rows_b(spark, sf), fx.ticker_b(spark, sf), path,
+                  "1995-01-01", "2002-01-01")
+    stored = spark.read.parquet(path)
+    return qc.validate_load(stored, fx.ticker_b(spark, sf))
+
+
 @query("yearly_export")
 def q_yearly_export(spark, sf):
     path = scratch_path(spark, "yearly")
