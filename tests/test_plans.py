@@ -47,11 +47,17 @@ def test_time_range_prunes_months_and_pushes_filters(spark, stored):
 
 def test_volatility_has_no_single_partition_exchange(spark, stored):
     _, ship, _ = stored
-    df = volatility_scan(ship, fx.instruments_b(spark, SF), 20)
+    dims = fx.instruments_b(spark, SF)
+    # Input larger than a block: windows run per (instrument, block).
+    df = volatility_scan(ship, dims, 20, block_rows=500)
     df.write.format("noop").mode("overwrite").save()
     p = plan(df)
     assert "SinglePartition" not in p
     assert "hashpartitioning(ticker_id" in p and "_blk" in p
+    # Input that fits one block: a plain per-instrument window.
+    small = volatility_scan(ship, dims, 20)
+    small.write.format("noop").mode("overwrite").save()
+    assert "SinglePartition" not in plan(small)
 
 
 def test_top_movers_is_partial_aggregate_and_top_n(spark, stored):
