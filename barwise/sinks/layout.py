@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from barwise.functions.timefn import month_key, ts_lit
 from barwise.operators.filters import in_range_cond
 from barwise.operators.joins import bounded_broadcast
+from barwise.operators.quality import assert_unique
+from barwise.sinks.merge import first_per_key
 
 DEFAULT_PARTITION = "default"
 
@@ -76,18 +78,28 @@ def write_partitioned(df: DataFrame, path: str, part: str = "month", mode: str =
 
 
 def load_bars(bars: DataFrame, dims: DataFrame, path: str, start, end,
-              mode: str = "overwrite", partitions: int | None = None) -> DataFrame:
+              mode: str = "overwrite", partitions: int | None = None,
+              on_duplicate: str = "fail") -> DataFrame:
     """Bulk load vendor bars into the month-partitioned fact (K2, K3, K6).
 
     Symbols are resolved with a broadcast-checked join, unknown symbols are
     dropped (P13), rows are routed to months (K5), clustered (K6) and
-    written. Returns the per-month row counts of what was written (K9),
-    read back from the table.
+    written. A (ticker_id, ts) key seen twice fails the load like the first
+    loader's primary key (``on_duplicate="fail"``), or keeps the first row
+    by the remaining columns like the second loader's DO NOTHING
+    (``"first"``). Returns the per-month row counts of what was written
+    (K9), read back from the table.
     """
-    d = bounded_broadcast(dims.select("symbol", "ticker_id"))
+    if on_duplicate not in ("fail", "first"):
+        raise ValueError("on_duplicate must be 'fail' or 'first'")
+    d = bounded_broadcast(dims.select("symbol", "ticker_id"), parent=dims)
     b = (bars.join(d, "symbol")
          .select("ticker_id", F.col("timestamp").alias("ts"), "open", "high", "low", "close",
                  "volume", "vwap", F.col("trade_count").cast("bigint").alias("trade_count")))
+    if on_duplicate == "fail":
+        assert_unique(b, ["ticker_id", "ts"])
+    else:
+        b = first_per_key(b, ["ticker_id", "ts"], ["open", "high", "low", "close", "volume"])
     b = assign_month(b, start, end)
     write_partitioned(cluster(b, partitions=partitions), path, mode=mode)
     spark = bars.sparkSession

@@ -143,3 +143,20 @@ def test_load_bars_writes_month_folders_sorted(spark):
     assert set(got) == {"2024-01", "default"}
     assert sum(got.values()) == vendor.count()
     assert os.path.isdir(os.path.join(path, "month=2024-01"))
+
+
+def test_load_bars_duplicate_keys(spark):
+    import datetime as dt
+    rows = [("NATION_1", dt.datetime(2024, 1, 2, 14, 30), 1.0, 2.0, 0.5, 1.5, 10, 1.2, 1),
+            ("NATION_1", dt.datetime(2024, 1, 2, 14, 30), 1.1, 2.0, 0.5, 1.5, 10, 1.2, 1),
+            ("NATION_1", dt.datetime(2024, 1, 2, 14, 35), 1.0, 2.0, 0.5, 1.5, 10, 1.2, 1)]
+    vendor = spark.createDataFrame(rows, "symbol string, timestamp timestamp_ntz, open double, "
+                                   "high double, low double, close double, volume long, "
+                                   "vwap double, trade_count long")
+    dims = fx.instruments_a(spark, SF)
+    with pytest.raises(ValueError, match="duplicate keys"):
+        lay.load_bars(vendor, dims, scratch_path(spark, "dup"), "2024-01-01", "2025-01-01")
+    path = scratch_path(spark, "dup")
+    lay.load_bars(vendor, dims, path, "2024-01-01", "2025-01-01", on_duplicate="first")
+    got = sorted((r.ts.minute, r.open) for r in spark.read.parquet(path).collect())
+    assert got == [(30, 1.0), (35, 1.0)]
