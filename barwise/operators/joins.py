@@ -18,7 +18,11 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; reads at most n + 1 rows."""
+    """True when ``df`` has at most ``n`` rows.
+
+    Each task stops after n + 1 rows and only row counts (no columns) move,
+    so this is cheap for tables expected to be small (dimensions, month
+    tables); it is not meant for probing large facts."""
     return df.limit(n + 1).count() <= n
 
 

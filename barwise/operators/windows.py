@@ -15,7 +15,9 @@ instrument's time-ordered rows:
    block are also copied into it, so every row a block owns has its full
    frame of preceding rows.
 4. The month table is joined back (broadcast behind a size check) and the
-   window runs over (instrument, block); copies are then discarded.
+   window runs over (instrument, block); copies are then discarded. When
+   no instrument needs a second block, the join is skipped and the plain
+   per-instrument window runs (it is then bounded by ``block_rows``).
 
 The data is shuffled once, for the window itself, and no task holds more
 than a block. Results equal the plain per-instrument window row for row.
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwise.functions.numeric import log_return
-from barwise.operators.joins import bounded_broadcast, has_at_most
+from barwise.operators.joins import bounded_broadcast
 
 BLOCK_ROWS = 1_000_000
 # Rows of the (instrument, month) table that may be broadcast.
@@ -58,13 +60,14 @@ def blocked(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
     """Rows tagged with ``_blk`` (their window block) and ``_own`` (False for
     copies that only serve as preceding rows of the next block).
 
-    When the whole input provably has at most ``block_rows`` rows (a limit
-    job that reads at most block_rows + 1 rows), no instrument can exceed a
-    block, so every row gets block 0 and no month table is built.
+    One aggregate over the (instrument, month) table decides the plan: when
+    no instrument needs a second block, every row gets block 0 and the plain
+    per-instrument window is already bounded, so no join is needed.
     """
-    if has_at_most(df, block_rows):
-        return df.withColumn("_blk", F.lit(0)).withColumn("_own", F.lit(True))
     blocks = chunk_blocks(df, halo, key, ts, block_rows, chunk)
+    top = blocks.where("_own").agg(F.max("_blk").alias("m")).first()["m"]
+    if not top:
+        return df.withColumn("_blk", F.lit(0).cast("bigint")).withColumn("_own", F.lit(True))
     d = df.withColumn("_chunk", F.trunc(F.to_date(F.col(ts)), chunk))
     return (d.join(bounded_broadcast(blocks, CHUNK_TABLE_MAX_ROWS), [key, "_chunk"])
             .drop("_chunk"))

@@ -335,8 +335,8 @@ def _ev_symbols(spark, sf) -> tuple[DataFrame, DataFrame]:
     ev = ev.join(bounded_broadcast(names), "user_id").select("event_id", "symbol")
     n = read_table(spark, sf, "nation", ["n_nationkey", "n_regionkey"])
     r = read_table(spark, sf, "region", ["r_regionkey", "r_name"]).where("r_name = 'AMERICA'")
-    america = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey")
-    dims = (cust.join(F.broadcast(america), cust.c_nationkey == america.n_nationkey)
+    america = n.join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey")
+    dims = (cust.join(bounded_broadcast(america), cust.c_nationkey == america.n_nationkey)
             .select(F.col("c_custkey").alias("ticker_id"), F.col("c_name").alias("symbol"),
                     F.col("c_name").alias("name"), F.col("c_mktsegment").alias("sector")))
     return ev, dims
@@ -376,7 +376,7 @@ def _supplier_const(spark, sf) -> DataFrame:
     s = read_table(spark, sf, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
     n = read_table(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     r = read_table(spark, sf, "region", ["r_regionkey", "r_name"])
-    geo = bounded_broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey))
+    geo = bounded_broadcast(n.join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey))
     j = s.join(geo, s.s_nationkey == geo.n_nationkey)
     return j.select(
         F.col("s_name").alias("Symbol"), F.col("s_name").alias("Security"),

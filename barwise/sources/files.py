@@ -1,7 +1,8 @@
 """File sources.
 
-Reads always carry a declared schema, so nothing is inferred, and select only
-the columns asked for, so the Parquet scan prunes the rest.
+Bar files and CSVs are read with a declared schema, so nothing is inferred;
+driver tables use their Parquet footer schema. Reads select only the
+columns asked for, so the Parquet scan prunes the rest.
 """
 
 from __future__ import annotations
