@@ -7,8 +7,8 @@ and fixture B's daily bars are loaded into month-partitioned Parquet tables
 clustered by (ticker_id, ts), and the daily rollup of A is stored, as the
 reference loads bar_5m and builds bar_1d before its scenarios run.
 
-Each scenario is timed as the best of five runs (BENCH_RUNS). A run executes the whole
-plan and writes every result row to Spark's ``noop`` sink, so the time is
+Each scenario is timed as the best of five runs (BENCH_RUNS). A run executes
+the whole plan and writes every result row to Spark's ``noop`` sink, so the time is
 the engine's work for all rows and columns, without the Python driver's
 per-row transfer (the volatility scan returns 533k rows at sf0.1; the
 reference's fetch was 78 rows for one symbol). Prints one JSON line.
