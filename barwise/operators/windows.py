@@ -122,3 +122,17 @@ def first_last(bars: DataFrame, key: str = "ticker_id", ts: str = "ts") -> DataF
         F.min_by("open", F.col(ts)).alias("first_open"),
         F.max_by("close", F.col(ts)).alias("last_close"),
         F.sum("volume").alias("vol_sum"))
+
+
+def first_last_window(bars: DataFrame, key: str = "ticker_id", ts: str = "ts") -> DataFrame:
+    """The reference's form of W1-W3 and A11: FIRST_VALUE / LAST_VALUE / SUM
+    over one named unbounded window per instrument, then DISTINCT.
+
+    Kept to compare with ``first_last`` (same rows); it sorts each
+    instrument's rows in one task, so ``first_last`` is the one to use.
+    """
+    w = (Window.partitionBy(key).orderBy(ts)
+         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return bars.select(key, F.first("open").over(w).alias("first_open"),
+                       F.last("close").over(w).alias("last_close"),
+                       F.sum("volume").over(w).alias("vol_sum")).distinct()

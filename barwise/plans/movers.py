@@ -15,21 +15,25 @@ from barwise.functions.numeric import round_dec, simple_return
 from barwise.functions.timefn import NEW_YORK, local_window
 from barwise.operators.filters import time_range
 from barwise.operators.joins import with_symbol
-from barwise.operators.windows import first_last
+from barwise.operators.windows import first_last, first_last_window
 
 
-def movers(bars: DataFrame, dims: DataFrame, t0, t1) -> DataFrame:
-    """Every instrument's first open, last close, volume and return in [t0, t1)."""
-    fl = first_last(time_range(bars, t0, t1))
+def movers(bars: DataFrame, dims: DataFrame, t0, t1, form: str = "group") -> DataFrame:
+    """Every instrument's first open, last close, volume and return in [t0, t1).
+
+    ``form="window"`` uses the reference's window-plus-DISTINCT form, for
+    comparison only."""
+    w = time_range(bars, t0, t1)
+    fl = first_last_window(w) if form == "window" else first_last(w)
     fl = fl.withColumn("ret", simple_return("last_close", "first_open"))
     return with_symbol(fl, dims)
 
 
 def top_movers(bars: DataFrame, dims: DataFrame, t0, t1, n: int = 20,
-               with_volume: bool = False) -> DataFrame:
+               with_volume: bool = False, form: str = "group") -> DataFrame:
     """Top ``n`` by return: symbol and ret_pct (Q3); with ``with_volume`` also
     rounded open and close and summed volume (Q3b)."""
-    m = movers(bars, dims, t0, t1).where(F.col("ret").isNotNull())
+    m = movers(bars, dims, t0, t1, form).where(F.col("ret").isNotNull())
     cols = [F.col("symbol"), round_dec(F.col("ret") * F.lit(100), 3).alias("ret_pct")]
     if with_volume:
         cols += [round_dec("first_open", 2).alias("open"),

@@ -82,6 +82,13 @@ def main():
         # Q3: top 20 movers in a six-hour window.
         "q03_top_movers": lambda: mv.top_movers(
             bar_5m, dims_a, "2024-01-15 14:30:00", "2024-01-15 20:30:00", 20, with_volume=True),
+        # Q3 over the whole month, single-pass group-by form against the
+        # reference's form (unbounded window per instrument + DISTINCT).
+        "q03_top_movers_month": lambda: mv.top_movers(
+            bar_5m, dims_a, "2024-01-01 00:00:00", "2024-02-01 00:00:00", 20, with_volume=True),
+        "q03_top_movers_month_window_form": lambda: mv.top_movers(
+            bar_5m, dims_a, "2024-01-01 00:00:00", "2024-02-01 00:00:00", 20, with_volume=True,
+            form="window"),
         # Q6: 20-bar rolling realized volatility, all instruments, whole history.
         "q06_volatility_scan": lambda: volatility_scan(bar_ship, dims_b, 20)
         .withColumn("rv", round6("rv")),

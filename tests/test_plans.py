@@ -160,3 +160,12 @@ def test_load_bars_duplicate_keys(spark):
     lay.load_bars(vendor, dims, path, "2024-01-01", "2025-01-01", on_duplicate="first")
     got = sorted((r.ts.minute, r.open) for r in spark.read.parquet(path).collect())
     assert got == [(30, 1.0), (35, 1.0)]
+
+
+def test_top_movers_group_form_equals_window_form(spark, stored):
+    bars, _, _ = stored
+    dims = fx.instruments_a(spark, SF)
+    args = (bars, dims, "2024-01-10 00:00:00", "2024-01-20 00:00:00", 25, True)
+    a = [tuple(r) for r in mv.top_movers(*args).collect()]
+    b = [tuple(r) for r in mv.top_movers(*args, form="window").collect()]
+    assert a == b and len(a) > 0
