@@ -8,7 +8,7 @@ a time-range read prunes whole month folders.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barwise.functions.timefn import month_key, ts_lit
@@ -79,7 +79,7 @@ def write_partitioned(df: DataFrame, path: str, part: str = "month", mode: str =
 
 def load_bars(bars: DataFrame, dims: DataFrame, path: str, start, end,
               mode: str = "overwrite", partitions: int | None = None,
-              on_duplicate: str = "fail") -> DataFrame:
+              on_duplicate: str = "fail", report: dict | None = None) -> DataFrame:
     """Bulk load vendor bars into the month-partitioned fact (K2, K3, K6).
 
     Symbols are resolved with a broadcast-checked join, unknown symbols are
@@ -88,20 +88,37 @@ def load_bars(bars: DataFrame, dims: DataFrame, path: str, start, end,
     loader's primary key (``on_duplicate="fail"``), or keeps the first row
     by the remaining columns like the second loader's DO NOTHING
     (``"first"``). Returns the per-month row counts of what was written
-    (K9), read back from the table.
+    (K9), read back from the table. A ``report`` dict is filled with the
+    load counters (attempted, unknown_symbols, loaded, default_partition),
+    observed while the write runs, without a second pass over the input.
     """
     if on_duplicate not in ("fail", "first"):
         raise ValueError("on_duplicate must be 'fail' or 'first'")
     d = bounded_broadcast(dims.select("symbol", "ticker_id"), parent=dims)
-    b = (bars.join(d, "symbol")
+    b = (bars.join(d, "symbol", "left")
          .select("ticker_id", F.col("timestamp").alias("ts"), "open", "high", "low", "close",
                  "volume", "vwap", F.col("trade_count").cast("bigint").alias("trade_count")))
+    known = F.col("ticker_id").isNotNull()
     if on_duplicate == "fail":
-        assert_unique(b, ["ticker_id", "ts"])
+        assert_unique(b.where(known), ["ticker_id", "ts"])
     else:
-        b = first_per_key(b, ["ticker_id", "ts"], ["open", "high", "low", "close", "volume"])
+        b = first_per_key(b.where(known), ["ticker_id", "ts"],
+                          ["open", "high", "low", "close", "volume"]).unionByName(b.where(~known))
     b = assign_month(b, start, end)
-    write_partitioned(cluster(b, partitions=partitions), path, mode=mode)
+    # The counters are observed above the range exchange: below it they
+    # would also be counted by the exchange's sampling job. Unknown-symbol
+    # rows therefore pass the exchange and are dropped right after it.
+    seen = Observation("load_bars")
+    out = (cluster(b, partitions=partitions)
+           .observe(seen, F.count(F.lit(1)).alias("attempted"),
+                    F.count_if(~known).alias("unknown_symbols"),
+                    F.count_if(known).alias("loaded"),
+                    F.count_if(known & (F.col("month") == DEFAULT_PARTITION))
+                    .alias("default_partition"))
+           .where(known))
+    write_partitioned(out, path, mode=mode)
+    if report is not None:
+        report.update(seen.get)
     spark = bars.sparkSession
     return spark.read.parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
 

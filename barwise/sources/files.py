@@ -50,6 +50,8 @@ def read_bars(spark: SparkSession, paths: str | Sequence[str], glob: str | None
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.parquet(*paths)
+    if not df.inputFiles():
+        raise ValueError(f"read_bars: no files matching {glob or '*'} under {list(paths)}")
     return df.select(*(columns or S.BAR_FILE.fieldNames()))
 
 
@@ -67,11 +69,15 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame:
 
 
 def profile_input(df: DataFrame, sample_rows: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Rows per input file and a sample of the first rows.
+    """Rows per input file and the first rows of each file.
 
-    Returns (per-file counts, sample). Both are distributed jobs; only the
-    sample is small by construction.
+    Returns (per-file counts, per-file sample). ``df`` must be a file scan
+    (possibly projected or filtered). The sample uses each row's position
+    in its file (``_metadata.row_index``), so it is a filter, not a shuffle.
     """
     per_file = (df.select(F.col("_metadata.file_path").alias("file_path"))
                 .groupBy("file_path").agg(F.count(F.lit(1)).alias("rows")))
-    return per_file, df.limit(sample_rows)
+    sample = (df.withColumn("file_path", F.col("_metadata.file_path"))
+              .withColumn("row_index", F.col("_metadata.row_index"))
+              .where(F.col("row_index") < sample_rows))
+    return per_file, sample

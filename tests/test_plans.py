@@ -138,10 +138,13 @@ def test_load_bars_writes_month_folders_sorted(spark):
     path = scratch_path(spark, "load")
     vendor = fx.vendor_rows_a(spark, SF)
     dims = fx.instruments_a(spark, SF)
-    counts = lay.load_bars(vendor, dims, path, "2024-01-01", "2024-01-15")
+    report = {}
+    counts = lay.load_bars(vendor, dims, path, "2024-01-01", "2024-01-15", report=report)
     got = {r.month: r.rows for r in counts.collect()}
     assert set(got) == {"2024-01", "default"}
     assert sum(got.values()) == vendor.count()
+    assert report["attempted"] == report["loaded"] == vendor.count()
+    assert report["unknown_symbols"] == 0 and report["default_partition"] == got["default"]
     assert os.path.isdir(os.path.join(path, "month=2024-01"))
 
 
@@ -149,7 +152,8 @@ def test_load_bars_duplicate_keys(spark):
     import datetime as dt
     rows = [("NATION_1", dt.datetime(2024, 1, 2, 14, 30), 1.0, 2.0, 0.5, 1.5, 10, 1.2, 1),
             ("NATION_1", dt.datetime(2024, 1, 2, 14, 30), 1.1, 2.0, 0.5, 1.5, 10, 1.2, 1),
-            ("NATION_1", dt.datetime(2024, 1, 2, 14, 35), 1.0, 2.0, 0.5, 1.5, 10, 1.2, 1)]
+            ("NATION_1", dt.datetime(2024, 1, 2, 14, 35), 1.0, 2.0, 0.5, 1.5, 10, 1.2, 1),
+            ("NOPE", dt.datetime(2024, 1, 2, 14, 35), 1.0, 2.0, 0.5, 1.5, 10, 1.2, 1)]
     vendor = spark.createDataFrame(rows, "symbol string, timestamp timestamp_ntz, open double, "
                                    "high double, low double, close double, volume long, "
                                    "vwap double, trade_count long")
@@ -157,9 +161,12 @@ def test_load_bars_duplicate_keys(spark):
     with pytest.raises(ValueError, match="duplicate keys"):
         lay.load_bars(vendor, dims, scratch_path(spark, "dup"), "2024-01-01", "2025-01-01")
     path = scratch_path(spark, "dup")
-    lay.load_bars(vendor, dims, path, "2024-01-01", "2025-01-01", on_duplicate="first")
+    report = {}
+    lay.load_bars(vendor, dims, path, "2024-01-01", "2025-01-01", on_duplicate="first",
+                  report=report)
     got = sorted((r.ts.minute, r.open) for r in spark.read.parquet(path).collect())
     assert got == [(30, 1.0), (35, 1.0)]
+    assert (report["attempted"], report["unknown_symbols"], report["loaded"]) == (3, 1, 2)
 
 
 def test_top_movers_group_form_equals_window_form(spark, stored):

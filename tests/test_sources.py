@@ -76,5 +76,8 @@ def test_yearly_files_and_glob(spark):
     assert read_bars(spark, [path], glob="*.parquet").count() == 2
     per_file, sample = profile_input(read_bars(spark, [path]))
     assert per_file.count() == 2 and sample.count() == 2
+    assert {r.row_index for r in sample.collect()} == {0}
     with pytest.raises(ValueError):
         read_bars(spark, [])
+    with pytest.raises(ValueError, match="no files matching"):
+        read_bars(spark, [path], glob="*.csv")
