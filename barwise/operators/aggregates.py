@@ -40,9 +40,12 @@ def partition_stats(bars: DataFrame, part_col: str = "month", key: str = "ticker
 
 
 def files_per_partition(bars: DataFrame, part_col: str = "month") -> DataFrame:
-    """Data files behind each partition of a stored table."""
-    return bars.groupBy(part_col).agg(
-        F.countDistinct(F.col("_metadata.file_path")).alias("files"))
+    """Data files and their bytes behind each partition of a stored table
+    (A4's size). Distinct (file, size) pairs first, so each file counts once."""
+    files = bars.select(part_col, F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_size").alias("bytes")).distinct()
+    return files.groupBy(part_col).agg(F.count(F.lit(1)).alias("files"),
+                                       F.sum("bytes").alias("bytes"))
 
 
 def market_volume(bars: DataFrame, ts: str = "ts", exact: bool = True) -> DataFrame:

@@ -192,3 +192,27 @@ def build_calendar(sessions: DataFrame, exchanges: DataFrame,
     return (sessions.join(ex, "tz")
             .select("exchange_id", "session_date", "open_ts", "close_ts",
                     is_early_close(F.col("close_ts"), early_cutoff).alias("is_early_close")))
+
+
+TICKER_ATTRS = ["name", "exchange_id", "industry_id", "cik", "headquarters", "date_added"]
+
+
+def refresh_tickers(existing: DataFrame, const: DataFrame, sectors: DataFrame,
+                    industries: DataFrame, exchanges: DataFrame,
+                    nasdaq=NASDAQ_SYMBOLS) -> DataFrame:
+    """Re-seed the ticker table (R2): new symbols get new ids, known symbols
+    keep theirs and have their attributes replaced (upsert by symbol, K8)."""
+    from barwise.sinks.merge import upsert
+    fresh = build_tickers(const, sectors, industries, exchanges, nasdaq, existing)
+    return upsert(existing, fresh.select(*existing.columns), ["symbol"], TICKER_ATTRS)
+
+
+def refresh_calendar(existing: DataFrame | None, sessions: DataFrame, exchanges: DataFrame,
+                     early_cutoff: str = "19:30") -> DataFrame:
+    """Upsert session rows by (exchange_id, session_date)."""
+    from barwise.sinks.merge import upsert
+    rows = build_calendar(sessions, exchanges, early_cutoff)
+    if existing is None:
+        return rows
+    return upsert(existing, rows, ["exchange_id", "session_date"],
+                  ["open_ts", "close_ts", "is_early_close"])

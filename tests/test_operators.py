@@ -217,3 +217,42 @@ def test_tag_exchange_list_and_table(spark):
 def test_time_range_half_open(spark):
     b = bars_df(spark, [(1, "2024-03-01 00:00", 1, 1, 1, 1, 1), (1, "2024-04-01 00:00", 1, 1, 1, 1, 1)])
     assert time_range(b, "2024-03-01 00:00:00", "2024-04-01 00:00:00").count() == 1
+
+
+def test_refresh_tickers_upserts_by_symbol(spark):
+    from barwise.operators.refdata import (build_industries, build_sectors, build_tickers,
+                                           refresh_tickers)
+    from barwise.sources.seed import exchanges
+    cols = "Symbol string, Security string, `GICS Sector` string, `GICS Sub-Industry` string, " \
+           "`Headquarters Location` string, `Date added` string, CIK string"
+    c1 = spark.createDataFrame([("AAPL", "Apple", "IT", "Hardware", "Cupertino", "1982-11-30", "320193"),
+                                ("JPM", "JPMorgan", "Fin", "Banks", "", "", "x")], cols)
+    sec = build_sectors(c1)
+    ind = build_industries(c1, sec)
+    t1 = build_tickers(c1, sec, ind, exchanges(spark))
+    r = {x.symbol: x for x in t1.collect()}
+    assert r["AAPL"].exchange_id == 2 and r["JPM"].exchange_id == 1
+    assert r["JPM"].cik is None and r["JPM"].headquarters is None and r["JPM"].date_added is None
+    c2 = spark.createDataFrame([("JPM", "JPMorgan Chase", "Fin", "Banks", "New York", "", "19617"),
+                                ("MSFT", "Microsoft", "IT", "Hardware", "Redmond", "", "789019")], cols)
+    sec2 = build_sectors(c2, sec)
+    ind2 = build_industries(c2, sec2, ind)
+    t2 = {x.symbol: x for x in refresh_tickers(t1, c2, sec2, ind2, exchanges(spark)).collect()}
+    assert set(t2) == {"AAPL", "JPM", "MSFT"}
+    assert t2["JPM"].ticker_id == r["JPM"].ticker_id and t2["JPM"].name == "JPMorgan Chase"
+    assert t2["JPM"].cik == 19617 and t2["AAPL"].name == "Apple"
+    assert t2["MSFT"].ticker_id == 3 and t2["MSFT"].exchange_id == 2
+
+
+def test_calendar_rows_and_upsert(spark):
+    from barwise.operators.refdata import refresh_calendar, sessions_from_bars
+    from barwise.sources.seed import exchanges
+    b = bars_df(spark, [(1, "2024-07-03 13:30", 1, 1, 1, 1, 1), (1, "2024-07-03 16:55", 1, 1, 1, 1, 1),
+                        (1, "2024-07-05 13:30", 1, 1, 1, 1, 1), (1, "2024-07-05 19:55", 1, 1, 1, 1, 1)])
+    s = sessions_from_bars(b)
+    cal = refresh_calendar(None, s, exchanges(spark))
+    rows = {(r.exchange_id, str(r.session_date)): r for r in cal.collect()}
+    assert len(rows) == 4
+    assert rows[(1, "2024-07-03")].is_early_close and not rows[(2, "2024-07-05")].is_early_close
+    again = refresh_calendar(cal, s, exchanges(spark))
+    assert again.count() == 4

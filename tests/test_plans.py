@@ -176,3 +176,13 @@ def test_top_movers_group_form_equals_window_form(spark, stored):
     a = [tuple(r) for r in mv.top_movers(*args).collect()]
     b = [tuple(r) for r in mv.top_movers(*args, form="window").collect()]
     assert a == b and len(a) > 0
+
+
+def test_partition_stats_and_files(spark, stored):
+    from barwise.operators.aggregates import files_per_partition, partition_stats
+    _, ship, _ = stored
+    stats = {r.month: r for r in partition_stats(ship).collect()}
+    files = {r.month: r for r in files_per_partition(ship).collect()}
+    assert set(stats) == set(files) and len(stats) == 83
+    assert sum(r.rows for r in stats.values()) == ship.count()
+    assert all(r.files >= 1 and r.bytes > 0 for r in files.values())
