@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL_ROOT: str | None = None
+
 # Settings every job of the library is written against. AQE re-plans joins by
 # runtime size, coalesces small shuffle partitions and splits skewed ones.
 SQL_DEFAULTS = {
@@ -44,18 +46,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from the session (``spark.checkpoint.dir``). When unset, as in tests,
-    a local folder is created once and registered as the checkpoint dir.
+    Read from the session (``spark.checkpoint.dir``). When unset, as in
+    tests, a local folder is created once and registered as the checkpoint
+    dir of the context.
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
+    global _LOCAL_ROOT
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local context
+        sc = None
+    if sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
+        if root:
+            return root.rstrip("/")
         current = sc.getCheckpointDir()
         if current:
-            return os.path.dirname(current.rstrip("/")) if "/" in current else current
-        root = tempfile.mkdtemp(prefix="barwise-ckpt-")
-        sc.setCheckpointDir(root)
-    return root.rstrip("/")
+            return os.path.dirname(current.rstrip("/"))
+    if _LOCAL_ROOT is None:
+        _LOCAL_ROOT = tempfile.mkdtemp(prefix="barwise-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(_LOCAL_ROOT)
+    return _LOCAL_ROOT
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
