@@ -75,3 +75,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique table location under the checkpoint root."""
     return f"{checkpoint_root(spark)}/barwise/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20,
+                   max_partitions: int = 200_000) -> dict[str, str]:
+    """Partition sizing for a job reading ``input_bytes`` (cluster configs).
+
+    Scan splits of ``partition_bytes``; the initial shuffle partition count
+    keeps each reduce partition near the same size (capped), and AQE
+    coalesces small ones toward the advisory size and splits skewed ones
+    (over 5x the median and over 1 GB). Apply with ``spark.conf.set``.
+    """
+    parts = max(1, min(max_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -90,3 +90,10 @@ def test_symbols(spark):
     assert one(spark, symbol_forms(F.lit("BRK.B"))) == ["BRK.B", "BRK-B", "BRK.B"]
     assert one(spark, symbol_forms(F.lit("BF-B"))) == ["BF-B", "BF-B", "BF.B"]
     assert one(spark, empty_to_null(F.lit("  "))) is None
+
+
+def test_scale_settings():
+    from barwise.session import scale_settings
+    s = scale_settings(100 * 10**12)
+    assert s["spark.sql.shuffle.partitions"] == "200000"
+    assert scale_settings(10 << 20)["spark.sql.shuffle.partitions"] == "1"
