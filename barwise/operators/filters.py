@@ -38,13 +38,20 @@ def _month_keys(t0, t1) -> list[str] | None:
     return keys
 
 
+# Rows outside a table's supported range live in this partition; a month
+# predicate must always keep it, or such rows would be pruned away.
+DEFAULT_MONTH = "default"
+
+
 def month_predicate(df: DataFrame, t0, t1) -> Column | None:
+    """Partition predicate on ``month`` for the range [t0, t1), or None."""
     if MONTH_COL not in df.columns:
         return None
     keys = _month_keys(t0, t1)
     if keys is not None:
-        return F.col(MONTH_COL).isin(keys)
-    return (F.col(MONTH_COL) >= month_key(_ts(t0))) & (F.col(MONTH_COL) <= month_key(_ts(t1)))
+        return F.col(MONTH_COL).isin(keys + [DEFAULT_MONTH])
+    m = F.col(MONTH_COL)
+    return ((m >= month_key(_ts(t0))) & (m <= month_key(_ts(t1)))) | (m == DEFAULT_MONTH)
 
 
 def time_range(bars: DataFrame, t0, t1, ts_col: str = "ts") -> DataFrame:
@@ -58,7 +65,7 @@ def at_time(bars: DataFrame, t, ts_col: str = "ts") -> DataFrame:
     """Bars at one bar time."""
     cond = F.col(ts_col) == _ts(t)
     if MONTH_COL in bars.columns:
-        cond = cond & (F.col(MONTH_COL) == month_key(_ts(t)))
+        cond = cond & F.col(MONTH_COL).isin(month_key(_ts(t)), F.lit(DEFAULT_MONTH))
     return bars.where(cond)
 
 
@@ -67,7 +74,7 @@ def at_times(bars: DataFrame, times: list, ts_col: str = "ts") -> DataFrame:
     cols = [_ts(t) for t in times]
     cond = F.col(ts_col).isin(*cols)
     if MONTH_COL in bars.columns:
-        cond = cond & F.col(MONTH_COL).isin(*[month_key(c) for c in cols])
+        cond = cond & F.col(MONTH_COL).isin(*[month_key(c) for c in cols], F.lit(DEFAULT_MONTH))
     return bars.where(cond)
 
 
@@ -82,7 +89,7 @@ def date_range(daily: DataFrame, d0, d1, col: str = "session_date") -> DataFrame
     cond = (F.col(col) >= c0) & (F.col(col) < c1)
     if MONTH_COL in daily.columns and not isinstance(d0, Column) and not isinstance(d1, Column):
         keys = _month_keys(f"{d0} 00:00:00", f"{d1} 00:00:00")
-        cond = cond & F.col(MONTH_COL).isin(keys)
+        cond = cond & F.col(MONTH_COL).isin(keys + [DEFAULT_MONTH])
     return daily.where(cond)
 
 

@@ -39,7 +39,8 @@ def test_time_range_prunes_months_and_pushes_filters(spark, stored):
     _, ship, _ = stored
     df = time_range(ship, "1998-06-01 00:00:00", "1998-07-01 00:00:00").select("ticker_id", "close")
     p = plan(df)
-    assert "PartitionFilters: [isnotnull(month" in p and "1998-06" in p
+    parts = p[p.index("PartitionFilters: ["):].split("]")[0]
+    assert "month" in parts and "1998-06" in parts and "default" in parts
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in p
     # Column pruning: only the needed columns are read.
     assert "ReadSchema: struct<ticker_id:int,ts:timestamp_ntz,close:double>" in p
@@ -186,3 +187,17 @@ def test_partition_stats_and_files(spark, stored):
     assert set(stats) == set(files) and len(stats) == 83
     assert sum(r.rows for r in stats.values()) == ship.count()
     assert all(r.files >= 1 and r.bytes > 0 for r in files.values())
+
+
+def test_month_pruning_keeps_default_partition(spark):
+    from tests.conftest import bars_df
+    b = bars_df(spark, [(1, "2022-12-30 15:00", 1, 1, 1, 1, 1), (1, "2023-01-03 15:00", 1, 1, 1, 1, 1),
+                        (1, "2023-03-03 15:00", 1, 1, 1, 1, 1)])
+    path = scratch_path(spark, "dflt")
+    lay.write_partitioned(lay.assign_month(b, "2023-01-01", "2025-01-01"), path)
+    t = spark.read.parquet(path)
+    assert time_range(t, "2022-12-01 00:00:00", "2023-02-01 00:00:00").count() == 2
+    from barwise.operators.filters import at_time
+    assert at_time(t, "2022-12-30 15:00:00").count() == 1
+    p = plan(time_range(t, "2023-03-01 00:00:00", "2023-04-01 00:00:00"))
+    assert "PartitionFilters" in p and "2023-03" in p
