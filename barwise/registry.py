@@ -113,6 +113,51 @@ def q_top_movers_local(spark, sf):
     return mv.top_movers_local(bars, dims, "2024-01-15", "09:30", "15:30", 20)
 
 
+@query("chart_raw_grain")
+def q_chart_raw_grain(spark, sf):
+    """A range of five days or less stays at bar grain."""
+    bars, dims = _a(spark, sf)
+    grain, df = ch.chart(bars, ru.daily_rollup(bars), dims, SYM_A, "2024-01-08", "2024-01-11")
+    assert grain == "raw"
+    return df
+
+
+@query("multi_symbol_chart")
+def q_multi_symbol_chart(spark, sf):
+    """Bars of several instruments by symbol list."""
+    from barwise.operators.filters import for_symbol, time_range
+    bars, dims = _a(spark, sf)
+    b = for_symbol(time_range(bars, "2024-01-08 00:00:00", "2024-01-22 00:00:00"), dims,
+                   ["NATION_1", "NATION_7", "NATION_13"])
+    return b.select("symbol", "ts", "open", "close", "volume")
+
+
+@query("cross_section_one_sector")
+def q_cross_section_one_sector(spark, sf):
+    """P10: the app's snapshot filtered to one sector."""
+    bars, dims = _b(spark, sf)
+    return cs.cross_section_sector(bars, dims, SNAP_B, sector="ASIA")
+
+
+@query("session_clock")
+def q_session_clock(spark, sf):
+    """local date and time of each session's first and last bar
+    in New York, with the early-close flag."""
+    from barwise.functions.timefn import is_early_close, local_date, local_time
+    bars = fx.bars_a(spark, sf)
+    per_day = bars.groupBy(local_date("ts").alias("session_date")).agg(
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    return per_day.select("session_date", local_time("first_ts").alias("first_local"),
+                          local_time("last_ts").alias("last_local"),
+                          is_early_close(F.col("last_ts")).alias("closes_before_1930_utc"))
+
+
+@query("vendor_pages_null_vwap")
+def q_vendor_pages_null_vwap(spark, sf):
+    """S7 with missing vwap kept null instead of the reference's 0.0."""
+    return normalise_pages(fx.pages_c(spark, sf), missing_vwap=None)
+
+
 @query("rolling_vol")
 def q_rolling_vol(spark, sf):
     bars, dims = _b(spark, sf)
