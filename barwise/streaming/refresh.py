@@ -18,6 +18,7 @@ bounded by the calendar (months), not by data volume.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barwise import schema as S
@@ -43,15 +44,16 @@ def apply_batch(batch: DataFrame, fact_path: str, rollup_path: str, start: str,
     """Insert new bars into the fact table and refresh touched session months.
     Returns the refreshed months."""
     spark = batch.sparkSession
-    b = batch.dropDuplicates(KEYS)
+    b = assign_month(batch.dropDuplicates(KEYS), start, end)
+    # Partition months the batch writes to: bounded by the calendar.
+    parts = [r.month for r in b.select("month").distinct().collect()]
     try:
-        fact = spark.read.parquet(fact_path)
+        fact = spark.read.parquet(fact_path).where(F.col("month").isin(parts))
         fresh = new_rows(fact.select(*KEYS), b, KEYS)
     except Exception as e:  # noqa: BLE001 - first batch: no table yet
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
         fresh = b
-    fresh = assign_month(fresh, start, end)
     (cluster(fresh).write.mode("append").partitionBy("month").parquet(fact_path))
     months = [r.m for r in batch.select(month_key(local_date("ts", tz)).alias("m"))
               .distinct().collect()]
