@@ -9,6 +9,7 @@ rebuilds only the months asked for and replaces just those folders.
 
 from __future__ import annotations
 
+import datetime as _dt
 import posixpath
 from collections.abc import Sequence
 from urllib.parse import urlparse
@@ -104,10 +105,13 @@ def refresh_daily(bars: DataFrame, path: str, months: Sequence[str], **kw) -> No
     months = sorted(set(months))
     if not months:
         return
-    lo = F.add_months(F.to_date(F.lit(months[0] + "-01")), 0)
-    hi = F.add_months(F.to_date(F.lit(months[-1] + "-01")), 1)
-    near = bars.where((F.col("ts") >= F.date_sub(lo, 1).cast("timestamp_ntz")) &
-                      (F.col("ts") < F.date_add(hi, 1).cast("timestamp_ntz")))
+    first = _dt.date.fromisoformat(months[0] + "-01")
+    y, m = (int(x) for x in months[-1].split("-"))
+    after = _dt.date(y + m // 12, m % 12 + 1, 1)
+    lo = f"{first - _dt.timedelta(days=1)} 00:00:00"
+    hi = f"{after + _dt.timedelta(days=1)} 00:00:00"
+    # Literal bounds: a month-partitioned bar table is pruned to these months.
+    near = time_range(bars, lo, hi)
     d = _with_month(rollup(near, **kw)).where(F.col("month").isin(months))
     write_partitioned(_clustered(d), path, mode="overwrite")
 

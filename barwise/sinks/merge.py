@@ -71,6 +71,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
            cols: Sequence[str] | None = None, check: bool = True) -> DataFrame:
     """ON CONFLICT DO UPDATE SET cols = EXCLUDED.cols (K8).
 
+    A full outer join: meant for dimension-sized tables (instruments,
+    calendar, sectors). Facts are loaded with insert-ignore appends and
+    rebuilt per partition (``plans.rollup.refresh_daily``) instead.
+
     A key may appear once in the batch (T21; checked when ``check``). Rows
     only in the target are kept, rows only in the batch are inserted, and
     for matched keys the batch's ``cols`` replace the target's, nulls

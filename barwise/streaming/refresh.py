@@ -58,7 +58,7 @@ def apply_batch(batch: DataFrame, fact_path: str, rollup_path: str, start: str,
     months = [r.m for r in batch.select(month_key(local_date("ts", tz)).alias("m"))
               .distinct().collect()]
     if months:
-        bars = spark.read.parquet(fact_path).drop("month")
+        bars = spark.read.parquet(fact_path)  # month-partitioned: pruned to the months
         refresh_daily(bars, rollup_path, months, tz=tz)
     return sorted(months)
 

@@ -201,3 +201,20 @@ def test_month_pruning_keeps_default_partition(spark):
     assert at_time(t, "2022-12-30 15:00:00").count() == 1
     p = plan(time_range(t, "2023-03-01 00:00:00", "2023-04-01 00:00:00"))
     assert "PartitionFilters" in p and "2023-03" in p
+
+
+def test_refresh_prunes_bar_months(spark, stored):
+    _, ship, pb = stored
+    from barwise.operators.filters import time_range
+    near = time_range(ship, "1999-02-28 00:00:00", "1999-04-02 00:00:00")
+    parts = plan(near)
+    parts = parts[parts.index("PartitionFilters: ["):].split("]")[0]
+    assert "1999-03" in parts and "1999-06" not in parts
+    kw = dict(period="month", tz="UTC", session=None)
+    out = scratch_path(spark, "refresh")
+    ru.refresh_daily(ship, out, ["1999-03"], **kw)
+    got = spark.read.parquet(out)
+    assert {r.month for r in got.select("month").distinct().collect()} == {"1999-03"}
+    want = ru.rollup(ship, **kw).where(F.col("session_date") == F.lit("1999-03-01").cast("date"))
+    r = ru.compare(want, got.select(*ru.DAILY_COLS)).first()
+    assert (r.only_left, r.only_right) == (0, 0)
