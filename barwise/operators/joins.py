@@ -63,7 +63,9 @@ def instruments(ticker: DataFrame, industry: DataFrame, sector: DataFrame) -> Da
     industry drop out, as with the reference's inner joins."""
     ind = industry.select("industry_id", "sector_id", F.col("name").alias("industry"))
     sec = sector.select("sector_id", F.col("name").alias("sector"))
-    chain = bounded_broadcast(ind).join(bounded_broadcast(sec), "sector_id")
+    # One size check on the (industry, sector) chain; the inner join of two
+    # dimensions is left to the planner's own size-based choice.
+    chain = ind.join(sec, "sector_id")
     return ticker.join(bounded_broadcast(chain), "industry_id")
 
 

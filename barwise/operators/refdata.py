@@ -115,10 +115,8 @@ def build_tickers(const: DataFrame, sectors: DataFrame, industries: DataFrame,
 
 def list_symbols(ticker: DataFrame, industry: DataFrame, sector: DataFrame) -> DataFrame:
     """symbol, name, sector, industry ordered by symbol."""
-    ind = industry.select("industry_id", "sector_id", F.col("name").alias("industry"))
-    sec = sector.select("sector_id", F.col("name").alias("sector"))
-    chain = bounded_broadcast(ind).join(bounded_broadcast(sec), "sector_id")
-    return (ticker.join(bounded_broadcast(chain), "industry_id")
+    from barwise.operators.joins import instruments
+    return (instruments(ticker, industry, sector)
             .select("symbol", "name", "sector", "industry").orderBy("symbol"))
 
 
