@@ -55,6 +55,19 @@ def chunk_blocks(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts
         .select(key, "_chunk", "_blk", (F.col("_blk") == F.col("_home")).alias("_own"))
 
 
+def single_block(df: DataFrame) -> DataFrame:
+    """Every row in block 0: the plain per-instrument window."""
+    return df.withColumn("_blk", F.lit(0).cast("bigint")).withColumn("_own", F.lit(True))
+
+
+def needs_blocks(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
+                 block_rows: int = BLOCK_ROWS, chunk: str = "month") -> bool:
+    """True when some instrument needs more than one block (one aggregate
+    over the (instrument, month) table; one scalar reaches the driver)."""
+    blocks = chunk_blocks(df, halo, key, ts, block_rows, chunk)
+    return bool(blocks.where("_own").agg(F.max("_blk").alias("m")).first()["m"])
+
+
 def blocked(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
             block_rows: int = BLOCK_ROWS, chunk: str = "month") -> DataFrame:
     """Rows tagged with ``_blk`` (their window block) and ``_own`` (False for
@@ -64,10 +77,9 @@ def blocked(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
     no instrument needs a second block, every row gets block 0 and the plain
     per-instrument window is already bounded, so no join is needed.
     """
+    if not needs_blocks(df, halo, key, ts, block_rows, chunk):
+        return single_block(df)
     blocks = chunk_blocks(df, halo, key, ts, block_rows, chunk)
-    top = blocks.where("_own").agg(F.max("_blk").alias("m")).first()["m"]
-    if not top:
-        return df.withColumn("_blk", F.lit(0).cast("bigint")).withColumn("_own", F.lit(True))
     d = df.withColumn("_chunk", F.trunc(F.to_date(F.col(ts)), chunk))
     return (d.join(bounded_broadcast(blocks, CHUNK_TABLE_MAX_ROWS), [key, "_chunk"])
             .drop("_chunk"))
@@ -104,9 +116,16 @@ def rolling_vol(bars: DataFrame, n: int = 20, drop_first: bool = False,
         r = b.withColumn("logret", log_return(F.col("close"), F.lag("close").over(w)))
         r = r.withColumn("rv", F.sqrt(F.sum(F.col("logret") * F.col("logret")).over(frame)))
         return r.where("_own").select(key, ts, "logret", "rv")
-    rets = log_returns(bars.select(key, ts, "close"), key, ts, block_rows)
-    rets = rets.where(F.col("logret").isNotNull())
-    b = blocked(rets, n - 1, key, ts, block_rows)
+    src = bars.select(key, ts, "close")
+    if not needs_blocks(src, n, key, ts, block_rows):
+        # No instrument needs a second block, so neither does any subset:
+        # both windows run per instrument with no further planning jobs.
+        w1 = Window.partitionBy(key).orderBy(ts)
+        rets = src.withColumn("logret", log_return(F.col("close"), F.lag("close").over(w1)))
+        b = single_block(rets.where(F.col("logret").isNotNull()))
+    else:
+        rets = log_returns(src, key, ts, block_rows)
+        b = blocked(rets.where(F.col("logret").isNotNull()), n - 1, key, ts, block_rows)
     r = b.withColumn("rv", F.sqrt(F.sum(F.col("logret") * F.col("logret")).over(frame)))
     return r.where("_own").select(key, ts, "logret", "rv")
 
