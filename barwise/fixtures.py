@@ -57,14 +57,34 @@ def ticks_b(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("l_quantity"), F.col("l_extendedprice"))
 
 
-def bars_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+HOT_REGIONS = ("AFRICA", "AMERICA")
+
+
+def ticks_b_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture B with one hot instrument: every supplier of the regions in
+    ``HOT_REGIONS`` trades as instrument 0 (about two fifths of the rows)."""
+    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
+    n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
+    r = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    hot = (s.join(bounded_broadcast(n), s.s_nationkey == n.n_nationkey)
+           .join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey)
+           .where(F.col("r_name").isin(*HOT_REGIONS))
+           .select(F.col("s_suppkey").cast("int").alias("ticker_id"),
+                   F.lit(True).alias("_hot")))
+    t = ticks_b(spark, sf_dir)
+    return (t.join(bounded_broadcast(hot), "ticker_id", "left")
+            .withColumn("ticker_id", F.when(F.col("_hot"), F.lit(0)).otherwise(F.col("ticker_id")))
+            .drop("_hot"))
+
+
+def bars_b(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
     """bar_ship: daily OHLCV bars per supplier from lineitem.
 
     open / close are ordered by (l_orderkey, l_linenumber, price) because
     (l_orderkey, l_linenumber) is not unique in the driver's data (T8).
     vwap = sum(extendedprice) / sum(quantity), the dollar sum exact.
     """
-    t = ticks_b(spark, sf_dir)
+    t = ticks_b_hot(spark, sf_dir) if hot else ticks_b(spark, sf_dir)
     key = F.struct("l_orderkey", "l_linenumber", "price")
     shares = F.sum("l_quantity")
     dollars = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")

@@ -158,6 +158,17 @@ def q_vendor_pages_null_vwap(spark, sf):
     return normalise_pages(fx.pages_c(spark, sf), missing_vwap=None)
 
 
+@query("rolling_vol_hot_instrument")
+def q_rolling_vol_hot_instrument(spark, sf):
+    """Q6 where one instrument holds about two fifths of the rows; small
+    blocks make the hot instrument span many blocks with halos, so the
+    blocked window is checked against the plain window of the oracle."""
+    from barwise.operators.windows import rolling_vol
+    bars = fx.bars_b(spark, sf, hot=True)
+    return rolling_vol(bars, 20, block_rows=500).select(
+        "ticker_id", "ts", round6("rv").alias("rv"))
+
+
 @query("rolling_vol")
 def q_rolling_vol(spark, sf):
     bars, dims = _b(spark, sf)
