@@ -91,8 +91,9 @@ def log_returns(bars: DataFrame, key: str = "ticker_id", ts: str = "ts",
     The first bar of each instrument has a null return."""
     b = blocked(bars, 1, key, ts, block_rows)
     w = Window.partitionBy(key, "_blk").orderBy(ts)
-    return (b.withColumn("logret", log_return(F.col("close"), F.lag("close").over(w)))
-            .where("_own").drop("_blk", "_own"))
+    return (b.withColumn("_prev", F.lag("close").over(w))
+            .withColumn("logret", log_return(F.col("close"), F.col("_prev")))
+            .where("_own").drop("_blk", "_own", "_prev"))
 
 
 def rolling_vol(bars: DataFrame, n: int = 20, drop_first: bool = False,
@@ -113,7 +114,8 @@ def rolling_vol(bars: DataFrame, n: int = 20, drop_first: bool = False,
     frame = w.rowsBetween(-(n - 1), 0)
     if not drop_first:
         b = blocked(bars.select(key, ts, "close"), n, key, ts, block_rows)
-        r = b.withColumn("logret", log_return(F.col("close"), F.lag("close").over(w)))
+        r = (b.withColumn("_prev", F.lag("close").over(w))
+             .withColumn("logret", log_return(F.col("close"), F.col("_prev"))))
         r = r.withColumn("rv", F.sqrt(F.sum(F.col("logret") * F.col("logret")).over(frame)))
         return r.where("_own").select(key, ts, "logret", "rv")
     src = bars.select(key, ts, "close")
@@ -121,7 +123,8 @@ def rolling_vol(bars: DataFrame, n: int = 20, drop_first: bool = False,
         # No instrument needs a second block, so neither does any subset:
         # both windows run per instrument with no further planning jobs.
         w1 = Window.partitionBy(key).orderBy(ts)
-        rets = src.withColumn("logret", log_return(F.col("close"), F.lag("close").over(w1)))
+        rets = (src.withColumn("_prev", F.lag("close").over(w1))
+                .withColumn("logret", log_return(F.col("close"), F.col("_prev"))))
         b = single_block(rets.where(F.col("logret").isNotNull()))
     else:
         rets = log_returns(src, key, ts, block_rows)
