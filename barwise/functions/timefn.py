@@ -45,30 +45,46 @@ def local_date(ts, tz: str = NEW_YORK) -> Column:
     return F.to_date(to_local(ts, tz))
 
 
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+# Codegen does not share a repeated sub-expression inside one filter, and a
+# time zone conversion costs about a microsecond per row; so the functions
+# below reference their (possibly converted) input exactly once.
+
+
 def minute_of_day(ts) -> Column:
-    c = _c(ts)
-    return F.hour(c) * 60 + F.minute(c)
+    """Minute of the day of a zone-free time: one reference to ``ts``."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), _c(ts))
+    of_day = F.pmod(micros, F.lit(86_400_000_000))
+    return F.floor(of_day / F.lit(60_000_000)).cast("int")
 
 
 def local_minute(ts, tz: str = NEW_YORK) -> Column:
-    """Minute of the day in ``tz``; integer compare instead of string times."""
+    """Minute of the day in ``tz``: one time zone conversion per row."""
     return minute_of_day(to_local(ts, tz))
 
 
+def in_half_open(value: Column, lo: int, hi: int) -> Column:
+    """lo <= value < hi with a single reference to ``value`` (lo < hi)."""
+    return F.floor((value - F.lit(lo)) / F.lit(hi - lo)) == 0
+
+
+def _text(ts) -> Column:
+    """'yyyy-MM-dd HH:mm:ss' of a TIMESTAMP_NTZ (the cast is zone-free)."""
+    return _c(ts).cast("timestamp_ntz").cast("string")
+
+
 def local_time(ts, tz: str = NEW_YORK) -> Column:
     """Time of day in ``tz`` as 'HH:mm:ss' (F7)."""
-    t = to_local(ts, tz)
-    return F.format_string("%02d:%02d:%02d", F.hour(t), F.minute(t), F.second(t))
+    return F.substring(_text(to_local(ts, tz)), 12, 8)
 
 
 def local_label(ts, tz: str = NEW_YORK) -> Column:
     """Local time as text 'yyyy-MM-dd HH:mm' for a chart axis.
 
-    Built from the NTZ fields rather than ``date_format``, which would pass
-    the value through the session time zone."""
-    t = to_local(ts, tz)
-    return F.format_string("%04d-%02d-%02d %02d:%02d", F.year(t), F.month(t),
-                           F.dayofmonth(t), F.hour(t), F.minute(t))
+    Cut from the NTZ value's text rather than ``date_format``, which would
+    pass the value through the session time zone."""
+    return F.substring(_text(to_local(ts, tz)), 1, 16)
 
 
 def prior_day(ts) -> Column:
@@ -83,8 +99,7 @@ def next_month(d) -> Column:
 
 def month_key(ts) -> Column:
     """Partition key 'yyyy-MM' of a date or time (F10), zone-free."""
-    c = _c(ts)
-    return F.format_string("%04d-%02d", F.year(c), F.month(c))
+    return F.substring(F.to_date(_c(ts)).cast("string"), 1, 7)
 
 
 def month_start(ts) -> Column:
@@ -106,9 +121,6 @@ def local_window(day, start: str, end: str, tz: str = NEW_YORK) -> tuple[Column,
     return t0, t1
 
 
-EPOCH_NTZ = "1970-01-01 00:00:00"
-
-
 def from_epoch_micros(micros) -> Column:
     """Epoch microseconds to a UTC wall-clock TIMESTAMP_NTZ, zone-free."""
     return F.timestamp_add("MICROSECOND", _c(micros), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwise.functions.text import not_blank
-from barwise.functions.timefn import (NEW_YORK, date_lit, hhmm_to_minute, local_minute,
-                                      month_key, prior_day, ts_lit, weekday)
+from barwise.functions.timefn import (NEW_YORK, date_lit, hhmm_to_minute, in_half_open,
+                                      local_minute, month_key, prior_day, ts_lit, weekday)
 from barwise.operators.joins import bounded_broadcast
 
 MONTH_COL = "month"
@@ -95,8 +95,11 @@ def date_range(daily: DataFrame, d0, d1, col: str = "session_date") -> DataFrame
 
 def regular_hours_cond(ts_col: str = "ts", tz: str = NEW_YORK, open_: str = "09:30",
                        close: str = "16:00") -> Column:
-    m = local_minute(ts_col, tz)
-    return (m >= hhmm_to_minute(open_)) & (m < hhmm_to_minute(close))
+    """open <= local clock < close, with one time zone conversion per row."""
+    lo, hi = hhmm_to_minute(open_), hhmm_to_minute(close)
+    if lo >= hi:
+        raise ValueError("session close must be after its open")
+    return in_half_open(local_minute(ts_col, tz), lo, hi)
 
 
 def regular_hours(bars: DataFrame, tz: str = NEW_YORK, open_: str = "09:30",

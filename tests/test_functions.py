@@ -97,3 +97,10 @@ def test_scale_settings():
     s = scale_settings(100 * 10**12)
     assert s["spark.sql.shuffle.partitions"] == "200000"
     assert scale_settings(10 << 20)["spark.sql.shuffle.partitions"] == "1"
+
+
+def test_minute_of_day_any_epoch(spark):
+    from barwise.functions.timefn import local_minute, minute_of_day
+    assert one(spark, minute_of_day(ts_lit("1969-12-31 23:59:30"))) == 1439
+    assert one(spark, minute_of_day(ts_lit("2024-01-02 14:30:59"))) == 870
+    assert one(spark, local_minute(ts_lit("2024-07-02 13:30:00"))) == 570
