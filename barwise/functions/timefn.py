@@ -8,6 +8,8 @@ here depends on ``spark.sql.session.timeZone``.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import zoneinfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -69,6 +71,30 @@ def in_half_open(value: Column, lo: int, hi: int) -> Column:
     return F.floor((value - F.lit(lo)) / F.lit(hi - lo)) == 0
 
 
+@functools.lru_cache(maxsize=64)
+def zone_offsets(tz: str) -> tuple[int, int]:
+    """(min, max) UTC offset of ``tz`` in minutes over 1900-2100, sampled
+    daily at noon (enough to see every standard and daylight offset)."""
+    zone = zoneinfo.ZoneInfo(tz)
+    day = _dt.datetime(1900, 1, 1, 12)
+    seen = set()
+    while day.year <= 2100:
+        seen.add(int(zone.utcoffset(day).total_seconds() // 60))
+        day += _dt.timedelta(days=1)
+    return min(seen), max(seen)
+
+
+def utc_window(tz: str, lo: int, hi: int) -> tuple[int, int] | None:
+    """UTC minute-of-day range [a, b) (wrapping past midnight when a > b)
+    that contains every instant whose ``tz`` clock is in [lo, hi); None
+    when it would cover the whole day."""
+    lo_off, hi_off = zone_offsets(tz)
+    start, end = lo - hi_off, hi - lo_off
+    if end - start >= 1440:
+        return None
+    return start % 1440, end % 1440
+
+
 def _text(ts) -> Column:
     """'yyyy-MM-dd HH:mm:ss' of a TIMESTAMP_NTZ (the cast is zone-free)."""
     return _c(ts).cast("timestamp_ntz").cast("string")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from barwise.functions.text import not_blank
 from barwise.functions.timefn import (NEW_YORK, date_lit, hhmm_to_minute, in_half_open,
-                                      local_minute, month_key, prior_day, ts_lit, weekday)
+                                      local_minute, minute_of_day, month_key, prior_day,
+                                      ts_lit, utc_window, weekday)
 from barwise.operators.joins import bounded_broadcast
 
 MONTH_COL = "month"
@@ -99,7 +100,16 @@ def regular_hours_cond(ts_col: str = "ts", tz: str = NEW_YORK, open_: str = "09:
     lo, hi = hhmm_to_minute(open_), hhmm_to_minute(close)
     if lo >= hi:
         raise ValueError("session close must be after its open")
-    return in_half_open(local_minute(ts_col, tz), lo, hi)
+    local = in_half_open(local_minute(ts_col, tz), lo, hi)
+    window = utc_window(tz, lo, hi)
+    if window is None:
+        return local
+    # A zone-free test on the UTC clock first: AND short-circuits, so only
+    # rows inside the UTC window pay for the time zone conversion.
+    a, b = window
+    m = minute_of_day(ts_col)
+    utc = in_half_open(m, a, b) if a < b else (m >= a) | (m < b)
+    return utc & local
 
 
 def regular_hours(bars: DataFrame, tz: str = NEW_YORK, open_: str = "09:30",

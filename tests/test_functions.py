@@ -104,3 +104,24 @@ def test_minute_of_day_any_epoch(spark):
     assert one(spark, minute_of_day(ts_lit("1969-12-31 23:59:30"))) == 1439
     assert one(spark, minute_of_day(ts_lit("2024-01-02 14:30:59"))) == 870
     assert one(spark, local_minute(ts_lit("2024-07-02 13:30:00"))) == 570
+
+
+def test_utc_window_of_regular_hours():
+    from barwise.functions.timefn import utc_window, zone_offsets
+    assert zone_offsets("America/New_York") == (-300, -240)
+    assert utc_window("America/New_York", 570, 960) == (810, 1260)    # 13:30-21:00 UTC
+    assert utc_window("UTC", 570, 960) == (570, 960)
+    # 09:00-15:00 in Tokyo (which had summer time around 1950) wraps past
+    # midnight UTC: 23:00-06:00.
+    assert utc_window("Asia/Tokyo", 540, 900) == (1380, 360)
+    assert utc_window("Australia/Sydney", 600, 960) == (1380, 360)
+
+
+def test_regular_hours_in_a_wrapping_zone(spark):
+    from barwise.operators.filters import regular_hours
+    # 10:00 and 15:55 Sydney time are kept in January (UTC+11) and July (UTC+10).
+    b = bars_df(spark, [(1, "2024-01-01 23:00", 1, 1, 1, 1, 1), (1, "2024-01-02 04:55", 1, 1, 1, 1, 1),
+                        (1, "2024-07-02 00:00", 1, 1, 1, 1, 1), (1, "2024-07-02 06:00", 1, 1, 1, 1, 1),
+                        (1, "2024-07-01 23:59", 1, 1, 1, 1, 1)])
+    kept = sorted(str(r.ts) for r in regular_hours(b, "Australia/Sydney", "10:00", "16:00").collect())
+    assert kept == ["2024-01-01 23:00:00", "2024-01-02 04:55:00", "2024-07-02 00:00:00"]
