@@ -95,6 +95,24 @@ def utc_window(tz: str, lo: int, hi: int) -> tuple[int, int] | None:
     return start % 1440, end % 1440
 
 
+def same_date_window(tz: str, lo: int, hi: int) -> bool:
+    """True when every instant whose ``tz`` clock is in [lo, hi) has the same
+    calendar date in UTC as in ``tz`` (e.g. New York's 09:30-16:00), so the
+    local session date can be read from the UTC value without conversion."""
+    window = utc_window(tz, lo, hi)
+    if window is None or window[0] >= window[1]:
+        return False
+    a, b = window
+    lo_off, hi_off = zone_offsets(tz)
+    return a + lo_off >= 0 and b - 1 + hi_off < 1440
+
+
+def session_date(ts, tz: str, lo: int, hi: int) -> Column:
+    """Local date of a bar already known to lie in the [lo, hi) session of
+    ``tz``: ``to_date(ts)`` when that is provably the same, else converted."""
+    return F.to_date(_c(ts)) if same_date_window(tz, lo, hi) else local_date(ts, tz)
+
+
 def _text(ts) -> Column:
     """'yyyy-MM-dd HH:mm:ss' of a TIMESTAMP_NTZ (the cast is zone-free)."""
     return _c(ts).cast("timestamp_ntz").cast("string")

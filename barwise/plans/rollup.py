@@ -17,7 +17,8 @@ from urllib.parse import urlparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwise.functions.timefn import NEW_YORK, local_date, month_key
+from barwise.functions.timefn import (NEW_YORK, hhmm_to_minute, local_date, month_key,
+                                      session_date)
 from barwise.operators.bars import ohlcv_from_bars
 from barwise.operators.filters import for_symbol, regular_hours, time_range
 from barwise.sinks.layout import cluster, write_partitioned
@@ -34,8 +35,11 @@ def rollup(bars: DataFrame, period: str = "day", tz: str = NEW_YORK,
     ``session`` limits bars to a local clock range (None keeps all).
     Output: key, session_date (period start), open ... trade_count.
     """
-    b = regular_hours(bars, tz, session[0], session[1], ts) if session else bars
-    d = local_date(ts, tz)
+    if session:
+        b = regular_hours(bars, tz, session[0], session[1], ts)
+        d = session_date(ts, tz, hhmm_to_minute(session[0]), hhmm_to_minute(session[1]))
+    else:
+        b, d = bars, local_date(ts, tz)
     if period != "day":
         d = F.trunc(d, period)
     return (b.groupBy(key, d.alias("session_date")).agg(*ohlcv_from_bars(ts))

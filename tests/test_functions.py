@@ -125,3 +125,10 @@ def test_regular_hours_in_a_wrapping_zone(spark):
                         (1, "2024-07-01 23:59", 1, 1, 1, 1, 1)])
     kept = sorted(str(r.ts) for r in regular_hours(b, "Australia/Sydney", "10:00", "16:00").collect())
     assert kept == ["2024-01-01 23:00:00", "2024-01-02 04:55:00", "2024-07-02 00:00:00"]
+
+
+def test_session_date_shortcut():
+    from barwise.functions.timefn import same_date_window
+    assert same_date_window("America/New_York", 570, 960)
+    assert not same_date_window("Asia/Tokyo", 540, 900)      # 09:00 JST is the prior UTC day
+    assert not same_date_window("America/New_York", 0, 1440)

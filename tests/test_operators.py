@@ -256,3 +256,14 @@ def test_calendar_rows_and_upsert(spark):
     assert rows[(1, "2024-07-03")].is_early_close and not rows[(2, "2024-07-05")].is_early_close
     again = refresh_calendar(cal, s, exchanges(spark))
     assert again.count() == 4
+
+
+def test_daily_rollup_in_a_zone_east_of_utc(spark):
+    # 00:30Z on 2024-01-02 is 09:30 in Tokyo on 2024-01-02; 05:55Z is 14:55.
+    # The local date differs from the UTC date for the 23:30Z bar (08:30 local,
+    # outside the session) and must come from the converted clock.
+    b = bars_df(spark, [(1, "2024-01-01 23:30", 5, 5, 5, 5, 1), (1, "2024-01-02 00:30", 10, 11, 9, 10, 2),
+                        (1, "2024-01-02 05:55", 10, 12, 8, 11, 3), (1, "2024-01-03 00:00", 7, 7, 7, 7, 4)])
+    d = [(str(r.session_date), r.open, r.close, r.volume)
+         for r in daily_rollup(b, "Asia/Tokyo", "09:00", "15:00").orderBy("session_date").collect()]
+    assert d == [("2024-01-02", 10.0, 11.0, 5), ("2024-01-03", 7.0, 7.0, 4)]
