@@ -62,8 +62,15 @@ def single_block(df: DataFrame) -> DataFrame:
 
 def needs_blocks(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
                  block_rows: int = BLOCK_ROWS, chunk: str = "month") -> bool:
-    """True when some instrument needs more than one block (one aggregate
-    over the (instrument, month) table; one scalar reaches the driver)."""
+    """True when some instrument needs more than one block.
+
+    First the rows of the largest instrument (one partial aggregate, one
+    scalar to the driver): at most ``block_rows`` means one block for all.
+    Otherwise the (instrument, month) block table decides.
+    """
+    biggest = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if not biggest or biggest <= block_rows:
+        return False
     blocks = chunk_blocks(df, halo, key, ts, block_rows, chunk)
     return bool(blocks.where("_own").agg(F.max("_blk").alias("m")).first()["m"])
 
