@@ -56,10 +56,18 @@ def read_bars(spark: SparkSession, paths: str | Sequence[str], glob: str | None
 
 
 def read_constituents(spark: SparkSession, path: str) -> DataFrame:
-    """Constituents CSV with header, every column a string."""
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-          .option("enforceSchema", False).schema(S.CONSTITUENTS).csv(path))
-    return require_columns(df, S.CONSTITUENTS_REQUIRED, "constituents")
+    """Constituents CSV with header, every column a string.
+
+    Columns are taken from the header as strings (no type inference); the
+    required ones must be present (S6) and absent optional ones are added as
+    nulls, so files with fewer or more columns load the same way.
+    """
+    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    require_columns(df, S.CONSTITUENTS_REQUIRED, "constituents")
+    for c in S.CONSTITUENT_COLUMNS:
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast("string"))
+    return df
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
