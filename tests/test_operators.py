@@ -267,3 +267,20 @@ def test_daily_rollup_in_a_zone_east_of_utc(spark):
     d = [(str(r.session_date), r.open, r.close, r.volume)
          for r in daily_rollup(b, "Asia/Tokyo", "09:00", "15:00").orderBy("session_date").collect()]
     assert d == [("2024-01-02", 10.0, 11.0, 5), ("2024-01-03", 7.0, 7.0, 4)]
+
+
+def test_grain_weekdays_and_bounds(spark):
+    from barwise.operators.filters import choose_grain, loaded_bounds, weekdays_only
+    assert choose_grain("2024-03-01", "2024-03-06") == "raw"      # 5 days
+    assert choose_grain("2024-03-01", "2024-03-07") == "daily"    # 6 days
+    assert choose_grain("2024-03-01", "2024-03-07", "raw") == "raw"
+    with pytest.raises(ValueError):
+        choose_grain("2024-03-07", "2024-03-01")
+    days = spark.createDataFrame([(dt.date(2024, 6, d),) for d in range(28, 31)] +
+                                 [(dt.date(2024, 7, 1),)], "session_date date")
+    assert [r.session_date.day for r in weekdays_only(days).orderBy("session_date").collect()] \
+        == [28, 1]
+    lo, hi = loaded_bounds(F.lit("2022-05-01").cast("date"), F.lit("2026-01-01").cast("date"),
+                           F.lit("2023-01-01").cast("date"), F.lit("2024-12-31").cast("date"))
+    r = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
+    assert (str(r.lo), str(r.hi)) == ("2023-01-01", "2024-12-31")
