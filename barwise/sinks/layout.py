@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from barwise.functions.timefn import month_key, ts_lit
+from barwise.functions.timefn import month_key
 from barwise.operators.filters import in_range_cond
 from barwise.operators.joins import bounded_broadcast
 from barwise.operators.quality import assert_unique
@@ -137,5 +137,4 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
 
 
 __all__ = ["DEFAULT_PARTITION", "month_bounds", "month_table", "year_windows", "assign_month",
-           "cluster", "write_partitioned", "load_bars", "write_yearly", "read_partitioned",
-           "ts_lit"]
+           "cluster", "write_partitioned", "load_bars", "write_yearly", "read_partitioned"]
