@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barwise import schema as S
+from barwise.functions.timefn import from_epoch_micros
 
 
 def require_columns(df: DataFrame, names: Iterable[str], what: str = "input") -> DataFrame:
@@ -34,25 +36,64 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
+NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+
+
+def bar_time(df: DataFrame, col: str = "timestamp") -> Column:
+    """The bar time of a vendor file as a UTC wall-clock TIMESTAMP_NTZ,
+    whatever the file stores: epoch nanoseconds (INT64 TIMESTAMP(NANOS),
+    read as a long), a UTC-adjusted timestamp, or a zone-free one."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.LongType):
+        return from_epoch_micros(F.floor(F.col(col) / 1000))
+    if isinstance(kind, T.TimestampType):
+        return from_epoch_micros(F.unix_micros(F.col(col)))
+    if isinstance(kind, T.TimestampNTZType):
+        return F.col(col)
+    raise ValueError(f"{col}: unsupported bar time type {kind.simpleString()}")
+
+
 def read_bars(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None,
               columns: Sequence[str] | None = None) -> DataFrame:
-    """Vendor bar files, one or many.
+    """Vendor bar files, one or many (S1-S4), as the ``BAR_FILE`` schema.
 
     ``paths`` may be files or folders; ``glob`` filters file names inside
-    folders (``pathGlobFilter``). Many paths read as one table. An empty
-    match raises, like the reference's "no files" error.
+    folders (``pathGlobFilter``). Many paths read as one table. No input or
+    no matching file raises, like the reference's "no files" error.
+
+    Column types come from the Parquet footers and are then cast to
+    ``BAR_FILE``; the bar time is normalised by ``bar_time``. Spark rejects
+    INT64 TIMESTAMP(NANOS) columns (the vendor loader's ``timestamp[ns,
+    UTC]``) unless ``spark.sql.legacy.parquet.nanosAsLong`` is on; it is
+    switched on for the session when such files are met.
     """
     if isinstance(paths, str):
         paths = [paths]
     if not paths:
         raise ValueError("read_bars: no input paths")
-    reader = spark.read.schema(S.BAR_FILE)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.parquet(*paths)
-    if not df.inputFiles():
-        raise ValueError(f"read_bars: no files matching {glob or '*'} under {list(paths)}")
-    return df.select(*(columns or S.BAR_FILE.fieldNames()))
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    none = ValueError(f"read_bars: no files matching {glob or '*'} under {list(paths)}")
+    try:
+        raw = reader.parquet(*paths)
+    except Exception as e:  # noqa: BLE001
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+            raise none from e
+        if "TIMESTAMP(NANOS" not in str(e):
+            raise
+        spark.conf.set(NANOS_AS_LONG, "true")
+        raw = reader.parquet(*paths)
+    if not raw.inputFiles():
+        raise none
+    require_columns(raw, S.BAR_FILE_REQUIRED, "bar files")
+    out = []
+    for f in S.BAR_FILE.fields:
+        if f.name == "timestamp":
+            out.append(bar_time(raw).alias("timestamp"))
+        elif f.name in raw.columns:
+            out.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        else:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+    return raw.select(*out).select(*(columns or S.BAR_FILE.fieldNames()))
 
 
 def read_constituents(spark: SparkSession, path: str) -> DataFrame:

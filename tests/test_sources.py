@@ -81,3 +81,29 @@ def test_yearly_files_and_glob(spark):
         read_bars(spark, [])
     with pytest.raises(ValueError, match="no files matching"):
         read_bars(spark, [path], glob="*.csv")
+
+
+def test_vendor_file_time_encodings(spark):
+    """The vendor loader's timestamp[ns, UTC], a UTC-adjusted microsecond
+    time and a zone-free one all read as the same UTC wall clock."""
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    root = scratch_path(spark, "enc")
+    when = pd.to_datetime(["2024-01-02 14:30:00", "2024-07-02 13:35:00"], utc=True)
+    base = {"symbol": ["AAPL", "AAPL"], "open": [1.0, 2.0], "high": [2.0, 3.0],
+            "low": [0.5, 1.5], "close": [1.5, 2.5], "volume": [10, 20]}
+    for name, typ, values in [("ns", pa.timestamp("ns", tz="UTC"), when),
+                              ("us", pa.timestamp("us", tz="UTC"), when),
+                              ("ntz", pa.timestamp("us"), when.tz_localize(None))]:
+        os.makedirs(f"{root}/{name}")
+        table = pa.table({"symbol": base["symbol"], "timestamp": pa.array(values, type=typ),
+                          **{k: base[k] for k in ("open", "high", "low", "close", "volume")}})
+        pq.write_table(table, f"{root}/{name}/bars_2024.parquet")
+    want = [dt.datetime(2024, 1, 2, 14, 30), dt.datetime(2024, 7, 2, 13, 35)]
+    for name in ("ntz", "us", "ns"):
+        df = read_bars(spark, [f"{root}/{name}"], glob="bars_*.parquet")
+        rows = sorted(df.collect(), key=lambda r: r.timestamp)
+        assert [r.timestamp for r in rows] == want, name
+        assert rows[0].vwap is None and rows[1].volume == 20
+        assert df.schema["timestamp"].dataType.simpleString() == "timestamp_ntz"
