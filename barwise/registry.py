@@ -333,6 +333,29 @@ def q_validate_load(spark, sf):
     return qc.validate_load(stored, fx.ticker_b(spark, sf))
 
 
+@query("market_data_load")
+def q_market_data_load(spark, sf):
+    """The second loader (K7, K8, K10, P12, J10, T22, T23): fixture B's bars
+    with names and sectors known for suppliers of one region only, into
+    market_data over 1996-2000, loaded twice (the second load inserts
+    nothing). Rows per sector of the loaded table."""
+    from barwise.sinks.market_data import load_market_data
+    vendor = _vendor_rows_b(spark, sf)
+    meta = (_supplier_const(spark, sf).where(F.col("r_name") == "AMERICA")
+            .select(F.col("Symbol").alias("symbol"), F.concat("Security", F.lit(" Corp"))
+                    .alias("name"), F.col("GICS Sector").alias("sector")))
+    path, syms = scratch_path(spark, "market_data"), scratch_path(spark, "symbols")
+    first = load_market_data(vendor, meta, path, syms, "1996-01-01", "2001-01-01")
+    again = load_market_data(vendor, meta, path, syms, "1996-01-01", "2001-01-01")
+    assert again["inserted"] == 0 and again["attempted"] == first["attempted"]
+    md = spark.read.parquet(path)
+    s = spark.read.parquet(syms)
+    return (md.join(s, "symbol_id").groupBy("sector").agg(
+        F.countDistinct("symbol_id").alias("symbols"), F.count(F.lit(1)).alias("bars"),
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        F.sum("close").cast("double").alias("sum_close")))
+
+
 @query("yearly_export")
 def q_yearly_export(spark, sf):
     path = scratch_path(spark, "yearly")

@@ -218,3 +218,33 @@ def test_refresh_prunes_bar_months(spark, stored):
     want = ru.rollup(ship, **kw).where(F.col("session_date") == F.lit("1999-03-01").cast("date"))
     r = ru.compare(want, got.select(*ru.DAILY_COLS)).first()
     assert (r.only_left, r.only_right) == (0, 0)
+
+
+def test_second_loader_rules(spark):
+    import datetime as dt
+    from barwise.sinks.market_data import load_market_data
+    cols = ("symbol string, timestamp timestamp_ntz, open double, high double, low double, "
+            "close double, volume long, vwap double, trade_count long")
+    t = dt.datetime
+    rows = [("AAA", t(2023, 6, 1, 14, 30), 1.1234567, 2.0, 1.0, 1.5, 10, None, None),
+            ("AAA", t(2023, 6, 1, 14, 30), 1.0, 2.0, 1.0, 1.5, 10, None, None),   # duplicate key
+            ("ZZZ", t(2023, 6, 1, 14, 30), 3.0, 3.0, 3.0, 3.0, 5, None, None),    # unknown symbol
+            ("AAA", t(2022, 12, 30, 14, 30), 1.0, 1.0, 1.0, 1.0, 1, None, None)]  # out of range
+    vendor = spark.createDataFrame(rows, cols)
+    meta = spark.createDataFrame([("AAA", "Triple A", "Tech")], "symbol string, name string, "
+                                 "sector string")
+    path, syms = scratch_path(spark, "md"), scratch_path(spark, "syms")
+    r1 = load_market_data(vendor, meta, path, syms, "2023-01-01", "2025-01-01")
+    assert (r1["attempted"], r1["out_of_range"], r1["inserted"], r1["symbols"]) == (3, 1, 2, 2)
+    s = {x.ticker: (x.company_name, x.sector) for x in spark.read.parquet(syms).collect()}
+    assert s == {"AAA": ("Triple A", "Tech"), "ZZZ": ("ZZZ", "Unknown")}
+    md = spark.read.parquet(path)
+    assert str(md.schema["open"].dataType) == "DecimalType(18,6)"
+    kept = {x.symbol_id: float(x.open) for x in md.collect()}
+    assert sorted(kept.values()) == [1.0, 3.0]          # first of the duplicate key kept
+    meta2 = spark.createDataFrame([("AAA", "Triple A Inc", "Tech"), ("ZZZ", "Zed", "Energy")],
+                                  "symbol string, name string, sector string")
+    r2 = load_market_data(vendor, meta2, path, syms, "2023-01-01", "2025-01-01")
+    assert (r2["attempted"], r2["inserted"]) == (3, 0)
+    s = {x.ticker: (x.symbol_id, x.company_name, x.sector) for x in spark.read.parquet(syms).collect()}
+    assert s["ZZZ"][1:] == ("Zed", "Energy") and s["AAA"][1] == "Triple A Inc"
