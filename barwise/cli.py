@@ -43,7 +43,7 @@ def _read(spark, lake: str, name: str):
 
 
 def cmd_seed(spark, args) -> dict:
-    """seed_meta: sectors, industries and tickers from the constituents CSV,
+    """Seed sectors, industries and tickers from the constituents CSV,
     keeping ids of rows already in the lake (re-seeding upserts)."""
     const = read_constituents(spark, args.constituents)
     lake = args.lake.rstrip("/")
@@ -81,7 +81,7 @@ def cmd_load(spark, args) -> dict:
 
 
 def cmd_rollup(spark, args) -> dict:
-    """05_matviews / refresh: build bar_1d, or refresh only some months."""
+    """Build the daily rollup bar_1d, or refresh only some months."""
     bars = _read(spark, args.lake, "bar_5m")
     path = f"{args.lake.rstrip('/')}/bar_1d"
     if args.months:
@@ -92,7 +92,7 @@ def cmd_rollup(spark, args) -> dict:
 
 
 def cmd_validate(spark, args) -> dict:
-    """04_validate_load: totals, rule violations, duplicates, unknown refs."""
+    """Validate the loaded bars: totals, rule violations, duplicates, unknown refs."""
     bars = _read(spark, args.lake, "bar_5m")
     row = qc.validate_load(bars, _read(spark, args.lake, "ticker")).first().asDict()
     return {k: str(v) for k, v in row.items()}
