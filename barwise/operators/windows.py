@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from barwise.functions.numeric import log_return
 from barwise.operators.joins import bounded_broadcast
+from barwise.session import checkpoint_root
 
 BLOCK_ROWS = 1_000_000
 # Rows of the (instrument, month) table that may be broadcast.
@@ -60,19 +61,29 @@ def single_block(df: DataFrame) -> DataFrame:
     return df.withColumn("_blk", F.lit(0).cast("bigint")).withColumn("_own", F.lit(True))
 
 
+def largest_instrument(df: DataFrame, key: str = "ticker_id") -> int:
+    """Rows of the largest instrument: one partial aggregate, one scalar."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def block_table(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
+                block_rows: int = BLOCK_ROWS, chunk: str = "month") -> DataFrame | None:
+    """The (instrument, month) -> block table, materialised once with an
+    eager checkpoint (reliable storage, lineage cut), or None when no
+    instrument needs a second block."""
+    if largest_instrument(df, key) <= block_rows:
+        return None
+    checkpoint_root(df.sparkSession)
+    blocks = chunk_blocks(df, halo, key, ts, block_rows, chunk).checkpoint(eager=True)
+    if not blocks.where("_own").agg(F.max("_blk").alias("m")).first()["m"]:
+        return None
+    return blocks
+
+
 def needs_blocks(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
                  block_rows: int = BLOCK_ROWS, chunk: str = "month") -> bool:
-    """True when some instrument needs more than one block.
-
-    First the rows of the largest instrument (one partial aggregate, one
-    scalar to the driver): at most ``block_rows`` means one block for all.
-    Otherwise the (instrument, month) block table decides.
-    """
-    biggest = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if not biggest or biggest <= block_rows:
-        return False
-    blocks = chunk_blocks(df, halo, key, ts, block_rows, chunk)
-    return bool(blocks.where("_own").agg(F.max("_blk").alias("m")).first()["m"])
+    """True when some instrument needs more than one block."""
+    return block_table(df, halo, key, ts, block_rows, chunk) is not None
 
 
 def blocked(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
@@ -80,13 +91,14 @@ def blocked(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
     """Rows tagged with ``_blk`` (their window block) and ``_own`` (False for
     copies that only serve as preceding rows of the next block).
 
-    One aggregate over the (instrument, month) table decides the plan: when
-    no instrument needs a second block, every row gets block 0 and the plain
-    per-instrument window is already bounded, so no join is needed.
+    When no instrument needs a second block, every row gets block 0 and the
+    plain per-instrument window is already bounded, so no join is needed.
+    Otherwise the checkpointed block table is joined (broadcast behind its
+    size check, which reads the small checkpoint, not the facts).
     """
-    if not needs_blocks(df, halo, key, ts, block_rows, chunk):
+    blocks = block_table(df, halo, key, ts, block_rows, chunk)
+    if blocks is None:
         return single_block(df)
-    blocks = chunk_blocks(df, halo, key, ts, block_rows, chunk)
     d = df.withColumn("_chunk", F.trunc(F.to_date(F.col(ts)), chunk))
     return (d.join(bounded_broadcast(blocks, CHUNK_TABLE_MAX_ROWS), [key, "_chunk"])
             .drop("_chunk"))
