@@ -284,3 +284,14 @@ def test_grain_weekdays_and_bounds(spark):
                            F.lit("2023-01-01").cast("date"), F.lit("2024-12-31").cast("date"))
     r = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
     assert (str(r.lo), str(r.hi)) == ("2023-01-01", "2024-12-31")
+
+
+def test_first_open_keeps_null_like_array_agg(spark):
+    # The open of the first bar wins even when it is null.
+    rows = [(1, dt.datetime(2024, 1, 2, 14, 30), None, 2.0, 1.0, 1.5, 10, 1.0, 1),
+            (1, dt.datetime(2024, 1, 2, 14, 35), 1.2, 2.0, 1.0, 1.7, 10, 1.0, 1)]
+    b = spark.createDataFrame(rows, "ticker_id int, ts timestamp_ntz, open double, high double, "
+                              "low double, close double, volume long, vwap double, "
+                              "trade_count long")
+    r = daily_rollup(b).first()
+    assert r.open is None and r.close == 1.7
