@@ -155,6 +155,12 @@ def hhmm_to_minute(hhmm: str) -> int:
     return int(h) * 60 + int(m)
 
 
+def local_instant(day, clock: str, tz: str = NEW_YORK) -> Column:
+    """The UTC instant of a local date and clock time 'HH:MM' in ``tz``
+    (e.g. a cross-section at 15:55 New York time). Folded to a literal."""
+    return to_utc(F.lit(f"{day} {clock}:00").cast("timestamp_ntz"), tz)
+
+
 def local_window(day, start: str, end: str, tz: str = NEW_YORK) -> tuple[Column, Column]:
     """A local date and two local clock times as a half-open UTC range."""
     if hhmm_to_minute(end) <= hhmm_to_minute(start):

@@ -295,3 +295,12 @@ def test_first_open_keeps_null_like_array_agg(spark):
                               "trade_count long")
     r = daily_rollup(b).first()
     assert r.open is None and r.close == 1.7
+
+
+def test_cross_section_at_a_new_york_time(spark):
+    from barwise.functions.timefn import local_instant
+    # 15:55 in New York on 2024-06-28 (EDT) is 19:55 UTC.
+    b = bars_df(spark, [(1, "2024-06-27 19:55", 1, 1, 1, 100, 1), (1, "2024-06-28 19:55", 1, 1, 1, 110, 1)])
+    dims = dims_df(spark, [(1, "A")])
+    r = cross_section(b, dims, local_instant("2024-06-28", "15:55")).first()
+    assert (r.close, r.prev_close) == (110.0, 100.0) and abs(r.ret_1d - 0.1) < 1e-12
