@@ -12,6 +12,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barwise.functions.text import not_blank
 from barwise.functions.timefn import (NEW_YORK, date_lit, hhmm_to_minute, in_half_open,
@@ -55,11 +56,64 @@ def month_predicate(df: DataFrame, t0, t1) -> Column | None:
     return ((m >= month_key(_ts(t0))) & (m <= month_key(_ts(t1)))) | (m == DEFAULT_MONTH)
 
 
+DAY_COL = "day"
+# Longer literal ranges keep only the month predicate on a day-partitioned table.
+MAX_DAY_KEYS = 400
+
+
+def _day_keys(t0, t1) -> list[str] | None:
+    """Day keys covering [t0, t1) when both ends are literals."""
+    if isinstance(t0, Column) or isinstance(t1, Column):
+        return None
+    a = _dt.datetime.fromisoformat(str(t0)).date()
+    b = (_dt.datetime.fromisoformat(str(t1)) - _dt.timedelta(microseconds=1)).date()
+    n = (b - a).days + 1
+    if n > MAX_DAY_KEYS:
+        return None
+    return [(a + _dt.timedelta(days=i)).isoformat() for i in range(max(n, 0))]
+
+
+def _day_kind(df: DataFrame) -> str | None:
+    """'string' or 'date' for the optional ``day`` partition key. Partition
+    discovery reads day=yyyy-MM-dd folders as DATE unless a 'default' folder
+    makes the column a string."""
+    if DAY_COL not in df.columns:
+        return None
+    kind = df.schema[DAY_COL].dataType
+    if isinstance(kind, T.StringType):
+        return "string"
+    return "date" if isinstance(kind, T.DateType) else None
+
+
+def _day_values(df: DataFrame, keys: list) -> list:
+    if _day_kind(df) == "string":
+        return [*keys, F.lit(DEFAULT_MONTH)]
+    return keys
+
+
+def day_predicate(df: DataFrame, t0, t1) -> Column | None:
+    """Partition predicate on the optional ``day`` column, or None."""
+    keys = _day_keys(t0, t1) if _day_kind(df) else None
+    if keys is None:
+        return None
+    if _day_kind(df) == "date":
+        return F.col(DAY_COL).isin([_dt.date.fromisoformat(k) for k in keys])
+    return F.col(DAY_COL).isin(keys + [DEFAULT_MONTH])
+
+
+def _day_key(df: DataFrame, t: Column) -> Column:
+    d = F.to_date(t)
+    return d.cast("string") if _day_kind(df) == "string" else d
+
+
 def time_range(bars: DataFrame, t0, t1, ts_col: str = "ts") -> DataFrame:
-    """Half-open UTC range ``t0 <= ts < t1`` plus the month predicate."""
+    """Half-open UTC range ``t0 <= ts < t1`` plus the month (and, on a
+    day-partitioned table, day) predicates (P3)."""
     cond = (F.col(ts_col) >= _ts(t0)) & (F.col(ts_col) < _ts(t1))
-    mp = month_predicate(bars, t0, t1)
-    return bars.where(cond if mp is None else cond & mp)
+    for p in (month_predicate(bars, t0, t1), day_predicate(bars, t0, t1)):
+        if p is not None:
+            cond = cond & p
+    return bars.where(cond)
 
 
 def at_time(bars: DataFrame, t, ts_col: str = "ts") -> DataFrame:
@@ -67,6 +121,8 @@ def at_time(bars: DataFrame, t, ts_col: str = "ts") -> DataFrame:
     cond = F.col(ts_col) == _ts(t)
     if MONTH_COL in bars.columns:
         cond = cond & F.col(MONTH_COL).isin(month_key(_ts(t)), F.lit(DEFAULT_MONTH))
+    if _day_kind(bars):
+        cond = cond & F.col(DAY_COL).isin(*_day_values(bars, [_day_key(bars, _ts(t))]))
     return bars.where(cond)
 
 
@@ -76,6 +132,8 @@ def at_times(bars: DataFrame, times: list, ts_col: str = "ts") -> DataFrame:
     cond = F.col(ts_col).isin(*cols)
     if MONTH_COL in bars.columns:
         cond = cond & F.col(MONTH_COL).isin(*[month_key(c) for c in cols], F.lit(DEFAULT_MONTH))
+    if _day_kind(bars):
+        cond = cond & F.col(DAY_COL).isin(*_day_values(bars, [_day_key(bars, c) for c in cols]))
     return bars.where(cond)
 
 

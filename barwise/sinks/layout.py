@@ -52,20 +52,30 @@ def assign_month(bars: DataFrame, start, end, ts: str = "ts", out: str = "month"
                            .otherwise(F.lit(DEFAULT_PARTITION)))
 
 
-def cluster(df: DataFrame, part: str = "month", key: str = "ticker_id", ts: str = "ts",
+def assign_day(bars: DataFrame, start, end, ts: str = "ts", out: str = "day") -> DataFrame:
+    """Optional second partition level: 'yyyy-MM-dd' of the UTC bar time, or
+    'default' outside [start, end). With it, a read of all instruments at
+    one time prunes to one day folder instead of a month."""
+    day = F.to_date(F.col(ts)).cast("string")
+    return bars.withColumn(out, F.when(in_range_cond(ts, start, end), day)
+                           .otherwise(F.lit(DEFAULT_PARTITION)))
+
+
+def cluster(df: DataFrame, part="month", key: str = "ticker_id", ts: str = "ts",
             partitions: int | None = None) -> DataFrame:
-    """Range-partition by (part, key, ts) and sort inside partitions (K6).
+    """Range-partition by (part..., key, ts) and sort inside partitions (K6).
 
     A range exchange splits a big month (or a hot instrument) over many
     tasks instead of sending a whole month to one writer, and leaves each
-    output file sorted by (key, ts) for row-group skipping.
+    output file sorted by (key, ts) for row-group skipping. ``part`` is a
+    partition column or a list of them (e.g. month and day).
     """
-    cols = [part, key, ts]
+    cols = [*([part] if isinstance(part, str) else part), key, ts]
     r = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
     return r.sortWithinPartitions(*cols)
 
 
-def write_partitioned(df: DataFrame, path: str, part: str = "month", mode: str = "overwrite",
+def write_partitioned(df: DataFrame, path: str, part="month", mode: str = "overwrite",
                       max_records_per_file: int | None = 5_000_000) -> None:
     """Write Parquet by ``part``. ``overwrite`` replaces only the partitions
     present in ``df`` (dynamic overwrite); ``append`` adds files (K3)."""
@@ -74,12 +84,13 @@ def write_partitioned(df: DataFrame, path: str, part: str = "month", mode: str =
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.partitionBy(part).parquet(path)
+    w.partitionBy(*([part] if isinstance(part, str) else part)).parquet(path)
 
 
 def load_bars(bars: DataFrame, dims: DataFrame, path: str, start, end,
               mode: str = "overwrite", partitions: int | None = None,
-              on_duplicate: str = "fail", report: dict | None = None) -> DataFrame:
+              on_duplicate: str = "fail", report: dict | None = None,
+              by_day: bool = False) -> DataFrame:
     """Bulk load vendor bars into the month-partitioned fact (K2, K3, K6).
 
     Symbols are resolved with a broadcast-checked join, unknown symbols are
@@ -105,18 +116,21 @@ def load_bars(bars: DataFrame, dims: DataFrame, path: str, start, end,
         b = first_per_key(b.where(known), ["ticker_id", "ts"],
                           ["open", "high", "low", "close", "volume"]).unionByName(b.where(~known))
     b = assign_month(b, start, end)
+    parts = ["month"]
+    if by_day:
+        b, parts = assign_day(b, start, end), ["month", "day"]
     # The counters are observed above the range exchange: below it they
     # would also be counted by the exchange's sampling job. Unknown-symbol
     # rows therefore pass the exchange and are dropped right after it.
     seen = Observation("load_bars")
-    out = (cluster(b, partitions=partitions)
+    out = (cluster(b, part=parts, partitions=partitions)
            .observe(seen, F.count(F.lit(1)).alias("attempted"),
                     F.count_if(~known).alias("unknown_symbols"),
                     F.count_if(known).alias("loaded"),
                     F.count_if(known & (F.col("month") == DEFAULT_PARTITION))
                     .alias("default_partition"))
            .where(known))
-    write_partitioned(out, path, mode=mode)
+    write_partitioned(out, path, part=parts, mode=mode)
     if report is not None:
         report.update(seen.get)
     spark = bars.sparkSession
@@ -137,4 +151,5 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
 
 
 __all__ = ["DEFAULT_PARTITION", "month_bounds", "month_table", "year_windows", "assign_month",
+           "assign_day",
            "cluster", "write_partitioned", "load_bars", "write_yearly", "read_partitioned"]

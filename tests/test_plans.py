@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from barwise import fixtures as fx
 from barwise.operators.filters import time_range
 from barwise.plans import chart as ch
+from barwise.plans import cross_section as cs
 from barwise.plans import market as mk
 from barwise.plans import movers as mv
 from barwise.plans import rollup as ru
@@ -248,3 +249,31 @@ def test_second_loader_rules(spark):
     assert (r2["attempted"], r2["inserted"]) == (3, 0)
     s = {x.ticker: (x.symbol_id, x.company_name, x.sector) for x in spark.read.parquet(syms).collect()}
     assert s["ZZZ"][1:] == ("Zed", "Energy") and s["AAA"][1] == "Triple A Inc"
+
+
+def test_day_partitions_prune_cross_sections(spark):
+    from barwise.operators.filters import at_times
+    vendor = fx.vendor_rows_a(spark, SF)
+    dims = fx.instruments_a(spark, SF)
+    by_month, by_day = scratch_path(spark, "m"), scratch_path(spark, "d")
+    lay.load_bars(vendor, dims, by_month, "2023-01-01", "2025-01-01")
+    lay.load_bars(vendor, dims, by_day, "2023-01-01", "2025-01-01", by_day=True)
+    m, d = spark.read.parquet(by_month), spark.read.parquet(by_day)
+    assert os.path.isdir(os.path.join(by_day, "month=2024-01", "day=2024-01-16"))
+    q = lambda t: cs.cross_section(t, dims, "2024-01-16 19:55:00").collect()
+    assert [tuple(r) for r in q(m)] == [tuple(r) for r in q(d)]
+    p = plan(at_times(d, ["2024-01-16 19:55:00"]))
+    parts = p[p.index("PartitionFilters: ["):].split("]")[0]
+    assert "2024-01-16" in parts and "day" in parts
+    r = lambda t: mk.market_volume(t, "2024-01-02 14:30:00", "2024-01-06 00:00:00").collect()
+    assert r(m) == r(d)
+    p = plan(time_range(d, "2024-01-02 14:30:00", "2024-01-06 00:00:00"))
+    parts = p[p.index("PartitionFilters: ["):].split("]")[0]
+    assert "2024-01-05" in parts and "2024-01-07" not in parts
+    # With out-of-range rows the day column is a string ('default' folder).
+    mixed = scratch_path(spark, "dm")
+    lay.load_bars(vendor, dims, mixed, "2024-01-01", "2024-01-15", by_day=True)
+    x = spark.read.parquet(mixed)
+    assert x.schema["day"].dataType.simpleString() == "string"
+    assert time_range(x, "2024-01-10 00:00:00", "2024-01-20 00:00:00").count() == \
+        time_range(m, "2024-01-10 00:00:00", "2024-01-20 00:00:00").count()
