@@ -2,8 +2,8 @@
 
 Dimensions (instruments, industries, sectors) are small, but "small" is
 checked, not assumed: ``bounded_broadcast`` proves the row bound with a
-``limit(n + 1).count()`` job that reads at most n + 1 rows, and only then
-hints a broadcast. Above the bound the join stays a shuffle join that AQE
+``limit(n + 1).count()`` job (each task stops after n + 1 rows, only counts
+move), and only then hints a broadcast. Above the bound the join stays a shuffle join that AQE
 may still turn into a broadcast from runtime sizes, and whose skewed
 partitions AQE splits.
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a dimension may have and still be broadcast (about 100 bytes a row).
+# Rows a dimension may have and still be broadcast (narrow rows: tens of MB).
 BROADCAST_MAX_ROWS = 2_000_000
 
 
