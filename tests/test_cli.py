@@ -45,3 +45,12 @@ def test_cli_workflow(spark):
     assert out["ticker"] == 26
     ids = {r.symbol: r.ticker_id for r in spark.read.parquet(lake + "/ticker").collect()}
     assert ids["NEWCO"] == 26
+
+
+def test_module_entry_point_help():
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "barwise", "--help"], cwd=root,
+                         capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0 and "seed" in out.stdout and "scenario" in out.stdout
