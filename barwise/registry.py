@@ -231,6 +231,35 @@ def q_rollup_matches_raw(spark, sf):
     return ru.compare(raw, stored)
 
 
+@query("stream_refresh")
+def q_stream_refresh(spark, sf):
+    """M2/M3 driven by landed files: fixture A's bars land in two
+    overlapping batches; the stream loads them (insert-ignore) and refreshes
+    the touched rollup months. Result: the stored daily rollup."""
+    from barwise.streaming import start_refresh
+    bars = fx.bars_a(spark, sf)
+    landing, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "stream-ckpt")
+    fact, daily = scratch_path(spark, "fact"), scratch_path(spark, "bar_1d")
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    bars.where(F.col("ts") < cut).write.parquet(landing + "/batch=1")
+    start_refresh(spark, landing, fact, daily, "2023-01-01", "2025-01-01", ckpt).awaitTermination()
+    bars.where(F.col("ts") >= cut - F.expr("INTERVAL 2 DAYS")).write.parquet(landing + "/batch=2")
+    start_refresh(spark, landing, fact, daily, "2023-01-01", "2025-01-01", ckpt).awaitTermination()
+    return (spark.read.parquet(daily).select(*ru.DAILY_COLS)
+            .withColumn("vwap", round6("vwap")))
+
+
+@query("cross_section_day_layout")
+def q_cross_section_day_layout(spark, sf):
+    """Q2 over fixture A loaded with the optional day sub-partition: the
+    read prunes to the two day folders it needs."""
+    path = scratch_path(spark, "bar_5m_by_day")
+    dims = fx.instruments_a(spark, sf)
+    lay.load_bars(fx.vendor_rows_a(spark, sf), dims, path, "2023-01-01", "2025-01-01",
+                  by_day=True)
+    return cs.cross_section(spark.read.parquet(path), dims, "2024-01-22 04:00:00")
+
+
 @query("market_volume")
 def q_market_volume(spark, sf):
     bars, _ = _a(spark, sf)
