@@ -25,6 +25,7 @@ from barwise.operators import refdata as rd
 from barwise.plans import chart, cross_section, market, movers, rollup, volatility
 from barwise.session import checkpoint_root
 from barwise.sinks import layout
+from barwise.sinks.market_data import read_or_none
 from barwise.sources import read_bars, read_constituents
 from barwise.sources.seed import exchanges
 
@@ -47,10 +48,11 @@ def cmd_seed(spark, args) -> dict:
     keeping ids of rows already in the lake (re-seeding upserts)."""
     const = read_constituents(spark, args.constituents)
     lake = args.lake.rstrip("/")
-    try:
-        old = {n: _read(spark, lake, n) for n in ("sector", "industry", "ticker")}
-    except Exception:  # noqa: BLE001 - first seed
-        old = None
+    found = {n: read_or_none(spark, f"{lake}/{n}") for n in ("sector", "industry", "ticker")}
+    # First seed when none exists; any other read error propagates.
+    old = found if all(v is not None for v in found.values()) else None
+    if old is None and any(v is not None for v in found.values()):
+        raise ValueError(f"{lake}: some reference tables exist and some do not")
     sectors = rd.build_sectors(const, old["sector"] if old else None)
     industries = rd.build_industries(const, sectors, old["industry"] if old else None)
     ex = exchanges(spark)

@@ -26,7 +26,9 @@ KEYS = ["symbol_id", "ts"]
 PRICE = "decimal(18,6)"
 
 
-def _read_or_none(spark, path: str) -> DataFrame | None:
+def read_or_none(spark, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None when the path does not exist
+    (any other error propagates)."""
     try:
         return spark.read.parquet(path)
     except Exception as e:  # noqa: BLE001 - not written yet
@@ -43,7 +45,7 @@ def refresh_symbols(bars: DataFrame, meta: DataFrame, symbols_path: str) -> Data
     seen = enrich_symbols(bars.select("symbol").distinct(), meta)
     rows = seen.select(F.col("symbol").alias("ticker"), F.col("name").alias("company_name"),
                        "sector")
-    old = _read_or_none(spark, symbols_path)
+    old = read_or_none(spark, symbols_path)
     ids = assign_ids(rows.select("ticker"), old.select("symbol_id", "ticker") if old is not None
                      else None, "symbol_id", ("ticker",))
     fresh = rows.join(ids, "ticker").select("symbol_id", "ticker", "company_name", "sector")
@@ -71,7 +73,7 @@ def load_market_data(bars: DataFrame, meta: DataFrame, path: str, symbols_path:
     got = b.agg(F.count_if(in_range).alias("attempted"),
                 F.count_if(~in_range).alias("out_of_range")).first()
     kept = assign_month(b.where(in_range), start, end)
-    target = _read_or_none(bars.sparkSession, path)
+    target = read_or_none(bars.sparkSession, path)
     order = ["open", "high", "low", "close"]
     if target is not None:
         # Only the month partitions the batch writes to (a calendar-bounded list).
