@@ -26,6 +26,7 @@ from barwise.functions.timefn import NEW_YORK, local_date, month_key
 from barwise.plans.rollup import refresh_daily
 from barwise.session import scratch_path
 from barwise.sinks.layout import assign_month, cluster
+from barwise.sinks.market_data import read_or_none
 from barwise.sinks.merge import new_rows
 
 KEYS = ["ticker_id", "ts"]
@@ -47,13 +48,11 @@ def apply_batch(batch: DataFrame, fact_path: str, rollup_path: str, start: str,
     b = assign_month(batch.dropDuplicates(KEYS), start, end)
     # Partition months the batch writes to: bounded by the calendar.
     parts = [r.month for r in b.select("month").distinct().collect()]
-    try:
-        fact = spark.read.parquet(fact_path).where(F.col("month").isin(parts))
-        fresh = new_rows(fact.select(*KEYS), b, KEYS)
-    except Exception as e:  # noqa: BLE001 - first batch: no table yet
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
+    fact = read_or_none(spark, fact_path)
+    if fact is None:  # first batch: no table yet
         fresh = b
+    else:
+        fresh = new_rows(fact.where(F.col("month").isin(parts)).select(*KEYS), b, KEYS)
     (cluster(fresh).write.mode("append").partitionBy("month").parquet(fact_path))
     months = [r.m for r in batch.select(month_key(local_date("ts", tz)).alias("m"))
               .distinct().collect()]
