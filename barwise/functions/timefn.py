@@ -55,17 +55,30 @@ EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
 def minute_of_day(ts) -> Column:
-    """Minute of the day of a zone-free time: one reference to ``ts``."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), _c(ts))
-    of_day = F.pmod(micros, F.lit(86_400_000_000))
-    return F.floor(of_day / F.lit(60_000_000)).cast("int")
+    """Minute of the day of a TIMESTAMP_NTZ, read from its fields (no
+    session time zone involved). Meant for plain columns: ``ts`` is
+    referenced twice."""
+    c = _c(ts)
+    return F.hour(c) * 60 + F.minute(c)
 
 
 def local_minute(ts, tz: str = NEW_YORK) -> Column:
-    """Minute of the day in ``tz``: one time zone conversion per row."""
+    """Minute of the day in ``tz``."""
     return minute_of_day(to_local(ts, tz))
 
 
+def local_hhmm(ts, tz: str = NEW_YORK) -> Column:
+    """Local clock as an HHmm integer (09:30 -> 930) from a single time zone
+    conversion, cut from the NTZ text (the cast is zone-free)."""
+    return F.translate(F.substring(_text(to_local(ts, tz)), 12, 5), ":", "").cast("int")
+
+
+def hhmm_int(hhmm: str) -> int:
+    """'09:30' -> 930, the form ``local_hhmm`` compares against."""
+    h, m = hhmm.split(":")[:2]
+    return int(h) * 100 + int(m)
+
+
 def in_half_open(value: Column, lo: int, hi: int) -> Column:
     """lo <= value < hi with a single reference to ``value`` (lo < hi)."""
     return F.floor((value - F.lit(lo)) / F.lit(hi - lo)) == 0

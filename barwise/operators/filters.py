@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barwise.functions.text import not_blank
-from barwise.functions.timefn import (NEW_YORK, date_lit, hhmm_to_minute, in_half_open,
-                                      local_minute, minute_of_day, month_key, prior_day,
-                                      ts_lit, utc_window, weekday)
+from barwise.functions.timefn import (NEW_YORK, date_lit, hhmm_int, hhmm_to_minute,
+                                      in_half_open, local_hhmm, minute_of_day, month_key,
+                                      prior_day, ts_lit, utc_window, weekday)
 from barwise.operators.joins import bounded_broadcast
 
 MONTH_COL = "month"
@@ -158,7 +158,7 @@ def regular_hours_cond(ts_col: str = "ts", tz: str = NEW_YORK, open_: str = "09:
     lo, hi = hhmm_to_minute(open_), hhmm_to_minute(close)
     if lo >= hi:
         raise ValueError("session close must be after its open")
-    local = in_half_open(local_minute(ts_col, tz), lo, hi)
+    local = in_half_open(local_hhmm(ts_col, tz), hhmm_int(open_), hhmm_int(close))
     window = utc_window(tz, lo, hi)
     if window is None:
         return local

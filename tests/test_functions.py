@@ -132,3 +132,16 @@ def test_session_date_shortcut():
     assert same_date_window("America/New_York", 570, 960)
     assert not same_date_window("Asia/Tokyo", 540, 900)      # 09:00 JST is the prior UTC day
     assert not same_date_window("America/New_York", 0, 1440)
+
+
+def test_clock_fields_ignore_the_session_zone_gap(spark):
+    from barwise.functions.timefn import local_hhmm, minute_of_day
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        # 02:30 on 2024-03-10 does not exist in Los Angeles (spring forward);
+        # a zone-free time must still read as 02:30.
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert one(spark, minute_of_day(ts_lit("2024-03-10 02:30:00"))) == 150
+        assert one(spark, local_hhmm(ts_lit("2024-07-02 13:30:00"))) == 930
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
