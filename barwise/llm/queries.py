@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwise.llm import bpe, decontamination, sharding
+from barwise.llm import bpe, decontamination, neardup, sharding
 
 SHARDS = 24
 
@@ -39,3 +39,8 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_bpe")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(table(spark, sf, "documents"))
+
+
+@query("op10_neardup")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.classify(table(spark, sf, "documents"), shingle=2, percent=80).drop("key")
