@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwise.llm import setsketch as ss
+from barwise.llm.scratch import stored
 from barwise.llm.words import text_parts
-from barwise.session import scratch_path
 
 BANDS, ROWS = 40, 5
 PART_BYTES = 1 << 20
@@ -39,13 +39,6 @@ PART_BYTES = 1 << 20
 MARGIN = 0.125
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared scratch folder and read again."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def sketch(docs: DataFrame, shingle: int) -> DataFrame:
     """doc_id, n_shingles, key (null for an empty set), regs."""
     schema = "doc_id long, n_shingles long, key binary, regs binary"
@@ -121,7 +114,7 @@ def components(links: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps until nothing changes; the
     number of steps grows with the logarithm of a component's size.
     """
-    edges = _stored(links.select(F.greatest("u", "v").alias("x"), F.least("u", "v").alias("y")).filter("x <> y").distinct(), "links")
+    edges = stored(links.select(F.greatest("u", "v").alias("x"), F.least("u", "v").alias("y")).filter("x <> y").distinct(), "links")
     mark = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first())
     was = mark(edges)
     while was[0]:
@@ -134,7 +127,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "x")
         small = small.filter("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y")).unionByName(
             least.select("x", F.col("m").alias("y"))).distinct()
-        edges = _stored(small, "links")
+        edges = stored(small, "links")
         now = mark(edges)
         if now == was:
             break
@@ -155,30 +148,30 @@ def classify(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     component of equal texts that have one, else component_id is null and it is
     kept. Rows that repeat an id are one node. Empty tables give no rows.
     """
-    sketched = _stored(sketch(docs, shingle), "sketch")
+    sketched = stored(sketch(docs, shingle), "sketch")
     reps = sketched.filter("n_shingles > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
-    reps = _stored(reps, "reps")
+    reps = stored(reps, "reps")
     classes = sketched.withColumnRenamed("doc_id", "rep").join(reps, ["key", "rep"], "left_semi")
-    classes = _stored(classes.select("rep", "n_shingles", "regs"), "classes")
+    classes = stored(classes.select("rep", "n_shingles", "regs"), "classes")
 
     banded = buckets(classes)
     hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").drop("top")
-    members = _stored(banded.join(hubs, "bucket"), "members")
+    members = stored(banded.join(hubs, "bucket"), "members")
     first = members.filter("node > hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
     first = promising(first, classes, percent).groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
-    tested = _stored(confirmed(first, docs, shingle, percent), "tested")
+    tested = stored(confirmed(first, docs, shingle, percent), "tested")
     comps = components(tested.filter("linked"))
 
     # Buckets that hold several components, and their pairs across components.
     marked = members.drop("hub").join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = marked.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a < b").select("bucket")
-    open_ = _stored(marked.join(mixed, "bucket"), "open")
+    open_ = stored(marked.join(mixed, "bucket"), "open")
     a, b = open_.alias("a"), open_.alias("b")
     across = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))) \
         .select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
-    second = _stored(promising(across, classes, percent).join(tested, ["u", "v"], "left_anti"), "second")
+    second = stored(promising(across, classes, percent).join(tested, ["u", "v"], "left_anti"), "second")
     if not second.isEmpty():
-        more = _stored(confirmed(second, docs, shingle, percent), "tested")
+        more = stored(confirmed(second, docs, shingle, percent), "tested")
         comps = components(tested.unionByName(more).filter("linked"))
 
     named = reps.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("comp", "rep").alias("component"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwise.llm import bpe, decontamination, neardup, sharding
+from barwise.llm import bpe, decontamination, neardup, quality_rules, sharding
 
 SHARDS = 24
 
@@ -44,3 +44,8 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_neardup")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.classify(table(spark, sf, "documents"), shingle=2, percent=80).drop("key")
+
+
+@query("op7_quality_rules")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, sf, "documents"))
