@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwise.llm import bpe, decontamination, neardup, quality_rules, sharding
+from barwise.llm import bpe, decontamination, neardup, quality_rules, secrets, sharding
 
 SHARDS = 24
 
@@ -49,3 +49,8 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_quality_rules")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf, "documents"))
+
+
+@query("op6_secrets")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.report(table(spark, sf, "documents"))
