@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwise.llm import bpe, decontamination, neardup, quality_rules, secrets, sharding
+from barwise.llm import bpe, decontamination, langid, neardup, quality_rules, secrets, sharding
 
 SHARDS = 24
 
@@ -54,3 +54,8 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_secrets")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.report(table(spark, sf, "documents"))
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.fit_and_identify(table(spark, sf, "documents"))
