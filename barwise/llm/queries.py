@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwise.llm import bpe, decontamination, langid, neardup, quality_rules, secrets, sharding
+from barwise.llm import bpe, decontamination, langid, neardup, quality_pu, quality_rules, secrets, sharding
 
 SHARDS = 24
 
@@ -59,3 +59,8 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_language_id")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return langid.fit_and_identify(table(spark, sf, "documents"))
+
+
+@query("op5_quality_pu")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_pu.fit_and_score(table(spark, sf, "documents"), table(spark, sf, "labels"))
