@@ -5,18 +5,20 @@
    class; only the class's smallest doc_id goes on, so copies never meet.
 2. Bands of register values are hashed to buckets. At similarity 0.8 a pair
    shares none of the 40 bands of 5 with probability 1.2e-7.
-3. First round: each member is paired with the smallest id of its buckets,
-   the hub. Pairs whose likelihood estimate is far below the threshold go,
-   each member keeps its smallest hub, and these pairs are checked on the full
-   sets. Connected links make components.
-4. Second round: all pairs that share a bucket and lie in different components
-   are estimated and checked as well. Nothing is left out: a pair in one
-   component needs no link, every other pair of a bucket is checked. Groups of
-   copies are one component by then, so they do not meet pairwise.
-
-Only ids and bands are shuffled for the candidates; the sets of documents that
-have a candidate are rebuilt from their texts. Intermediate tables are written
-to the shared scratch folder.
+3. Members of a bucket are compared by likelihood estimate with its hub, the
+   member that meets most others (in a group of copies, the one they vary). In
+   buckets that this leaves in several parts, all members are compared.
+   Estimates five standard deviations below the threshold are no candidates;
+   connected candidates make a cluster.
+4. Within each cluster all pairs are checked on the full sets, and the links
+   that hold make the components.
+
+Comparisons of steps 3 and 4 run in blocks: a bucket or cluster of more than
+``BLOCK`` members (or more set bytes than ``BLOCK_SHINGLES``) is dealt over
+pairs of blocks, so a task holds two blocks, and each block pair returns a
+spanning forest of what it found, never its pairs. Only ids and bands are
+shuffled to find candidates; full sets are rebuilt for cluster members alone.
+Intermediate tables are written to the shared scratch folder.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwise.llm import setsketch as ss
@@ -37,6 +40,8 @@ BANDS, ROWS = 40, 5
 PART_BYTES = 1 << 20
 # Five standard deviations of the estimate (256 registers) below the threshold.
 MARGIN = 0.125
+# Members, and shingles of members, in a block; columns of one matrix product.
+BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 2_000_000, 4096
 
 
 def sketch(docs: DataFrame, shingle: int) -> DataFrame:
@@ -78,11 +83,17 @@ def buckets(classes: DataFrame) -> DataFrame:
     return classes.select(F.explode(keys).alias("bucket"), F.col("rep").alias("node"))
 
 
-def promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sizes allow a link and whose estimate is not far below it."""
+def _little_endian(col: str) -> Column:
+    """A long as eight bytes, lowest first."""
+    digits = F.lpad(F.hex(col), 16, "0")
+    return F.unhex(F.concat(*[F.substring(digits, 15 - 2 * i, 2) for i in range(8)]))
+
+
+def candidates(spokes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The spokes (hub, node) as edges (u, v) whose estimate is not far below the threshold."""
     side = lambda x: classes.select(F.col("rep").alias(x), F.col("n_shingles").alias("n" + x), F.col("regs").alias("r" + x))
-    small, large = F.least("nu", "nv"), F.greatest("nu", "nv")
-    both = pairs.join(side("v"), "v").join(side("u"), "u").filter(100 * small >= percent * large)
+    both = spokes.join(side("node"), "node").join(side("hub"), "hub")
+    both = both.filter(100 * F.least("nhub", "nnode") >= percent * F.greatest("nhub", "nnode"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -93,19 +104,117 @@ def promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 ok = pa.array(ss.similarity(*regs, *n) >= percent / 100 - MARGIN)
                 yield pa.RecordBatch.from_arrays([c.column(0), c.column(1)], names=["u", "v"]).filter(ok)
 
-    return both.select("u", "v", "nu", "nv", "ru", "rv").mapInArrow(run, "u long, v long")
+    return both.select("hub", "node", "nhub", "nnode", "rhub", "rnode").mapInArrow(run, "u long, v long")
+
+
+def _dealt(members: DataFrame, group: str, size: DataFrame) -> DataFrame:
+    """``members`` with ``g``: one row for each block pair of its group that the member is in.
 
+    ``size``: group, blocks. A member's block is a hash of its node.
+    """
+    at = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    rows = members.join(size, group).withColumn("at", at).withColumn("other", other)
+    rows = rows.filter((F.col("blocks") == 1) | (F.col("at") != F.col("other")))
+    return rows.withColumn("g", F.xxhash64(group, F.least("at", "other"), F.greatest("at", "other"))).drop("at", "other", "blocks")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Runs of equal first column, as slices of the batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        g = b.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(g)) + 1).tolist(), len(g)]
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            if held and g[x] != last:
+                yield held
+                held = []
+            last = g[x]
+            held.append(b.slice(x, y - x))
+    if held:
+        yield held
+
+
+def _forest(nodes: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (u, v) from each node to the first one of its part under the relation ``near``."""
+    n = len(nodes)
+    near = near | near.T
+    np.fill_diagonal(near, True)
+    label = np.arange(n)
+    while True:
+        low = np.where(near, label[None, :], n).min(axis=1)
+        low = np.minimum(low, low[low])
+        if (low == label).all():
+            break
+        label = low
+    far = label != np.arange(n)
+    return nodes[label[far]], nodes[far]
 
-def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """pairs (u, v) with ``linked``: whether the full sets reach the threshold."""
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    full = sets(docs.join(nodes, "doc_id", "left_semi"), shingle)
-    side = lambda x: full.select(F.col("node").alias(x), F.col("els").alias("s" + x))
-    both = pairs.join(side("v"), "v").join(side("u"), "u")
-    inter = F.size(F.array_intersect("su", "sv"))
-    union = F.size("su") + F.size("sv") - F.col("inter")
-    return both.withColumn("inter", inter).withColumn("linked", (F.size("su") > 0) & (100 * F.col("inter") >= percent * union)) \
-        .groupBy("u", "v").agg(F.max("linked").alias("linked"))
+
+def _edges(rows: DataFrame, relation) -> DataFrame:
+    """u, v: forests of the groups of ``rows`` (g, node, payload) under ``relation(payload arrays) -> bool matrix``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for group in _groups(batches):
+            nodes = np.concatenate([b.column(1).to_numpy() for b in group])
+            if len(nodes) > 1:
+                out.append(_forest(nodes, relation([b.column(2) for b in group])))
+            if sum(len(u) for u, _ in out) > 50_000:
+                yield _batch(out)
+                out = []
+        yield _batch(out)
+
+    return rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "u long, v long")
+
+
+def _batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    u, v = (np.concatenate([p[k] for p in pairs]) if pairs else np.zeros(0, np.int64) for k in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
+def _estimated(percent: int):
+    """Relation: the estimate of two sketches (set size before the registers) is not far below the threshold."""
+    def relation(cols: list[pa.Array]) -> np.ndarray:
+        raw = np.frombuffer(b"".join(x for c in cols for x in c.to_pylist()), np.uint8).reshape(-1, 8 + 2 * ss.REGISTERS)
+        n = raw[:, :8].copy().view(np.int64)[:, 0].astype(float)
+        regs = raw[:, 8:].copy().view(np.uint16)
+        out = np.zeros((len(n), len(n)), bool)
+        for i in range(len(n) - 1):
+            fits = 100 * np.minimum(n[i], n[i + 1:]) >= percent * np.maximum(n[i], n[i + 1:])
+            j = i + 1 + np.flatnonzero(fits)
+            if len(j):
+                out[i, j] = ss.similarity(regs[j], regs[i:i + 1], n[j], n[i:i + 1]) >= percent / 100 - MARGIN
+        return out
+
+    return relation
+
+
+def _exact(percent: int):
+    """Relation: 100 * |common| >= percent * |all|, from products of the 0/1 matrices of shared shingles."""
+    def relation(cols: list[pa.Array]) -> np.ndarray:
+        sizes = np.concatenate([pc.list_value_length(c).to_numpy() for c in cols])
+        values = np.concatenate([c.flatten().to_numpy() for c in cols])
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        first = np.concatenate(([True], values[1:] != values[:-1]))
+        column = np.cumsum(first) - 1
+        shared = np.bincount(column)[column] > 1
+        _, column = np.unique(column[shared], return_inverse=True)
+        owner = owner[shared]
+        common = np.zeros((len(sizes), len(sizes)), np.float64)
+        ends = np.searchsorted(column, np.arange(0, (column[-1] + 1 if len(column) else 0) + COLUMNS, COLUMNS))
+        for k, (a, b) in enumerate(zip(ends[:-1], ends[1:])):
+            m = np.zeros((len(sizes), min(COLUMNS, int(column[-1]) + 1 - k * COLUMNS)), np.float32)
+            m[owner[a:b], column[a:b] - k * COLUMNS] = 1
+            common += m @ m.T
+        whole = sizes[:, None] + sizes[None, :] - common
+        return (100 * common >= percent * whole) & (sizes > 0)[:, None]
+
+    return relation
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -154,25 +263,31 @@ def classify(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     classes = sketched.withColumnRenamed("doc_id", "rep").join(reps, ["key", "rep"], "left_semi")
     classes = stored(classes.select("rep", "n_shingles", "regs"), "classes")
 
+    # Members of buckets with two nodes or more, and the size of their bucket.
     banded = buckets(classes)
-    hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").drop("top")
-    members = stored(banded.join(hubs, "bucket"), "members")
-    first = members.filter("node > hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-    first = promising(first, classes, percent).groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
-    tested = stored(confirmed(first, docs, shingle, percent), "tested")
-    comps = components(tested.filter("linked"))
-
-    # Buckets that hold several components, and their pairs across components.
-    marked = members.drop("hub").join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = marked.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a < b").select("bucket")
-    open_ = stored(marked.join(mixed, "bucket"), "open")
-    a, b = open_.alias("a"), open_.alias("b")
-    across = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))) \
-        .select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
-    second = stored(promising(across, classes, percent).join(tested, ["u", "v"], "left_anti"), "second")
-    if not second.isEmpty():
-        more = stored(confirmed(second, docs, shingle, percent), "tested")
-        comps = components(tested.unionByName(more).filter("linked"))
+    full = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("k"))
+    members = stored(banded.join(full.filter("low < high").select("bucket", "k"), "bucket"), "members")
+
+    # Step 3: each member against the hub of its buckets, then what is left in parts.
+    met = members.groupBy("node").agg(F.sum("k").alias("met"))
+    hubs = members.join(met, "node").groupBy("bucket").agg(F.max(F.struct("met", (-F.col("node")).alias("n"))).alias("h"))
+    spokes = members.join(hubs.select("bucket", (-F.col("h.n")).alias("hub")), "bucket").filter("node <> hub").select("hub", "node").distinct()
+    near = components(stored(candidates(spokes, classes, percent), "candidates"))
+    parts = members.join(near, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    mixed = parts.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count(F.lit(1)).alias("k")).filter("a < b")
+    mixed = mixed.select("bucket", F.ceil(F.col("k") / BLOCK).alias("blocks"))
+    payload = F.concat(_little_endian("n_shingles"), "regs").alias("payload")
+    rest = _dealt(members.select("bucket", "node"), "bucket", mixed).select("g", "node")
+    rest = rest.join(classes.select(F.col("rep").alias("node"), payload), "node").select("g", "node", "payload")
+    more = stored(_edges(rest, _estimated(percent)).distinct(), "candidates")
+    clusters = stored(components(near.select(F.col("node").alias("u"), F.col("comp").alias("v")).unionByName(more)), "clusters")
+
+    # Step 4: all pairs of a cluster on the full sets.
+    weighed = clusters.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node")
+    size = weighed.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"))
+    full_sets = sets(docs.select(F.col("doc_id").cast("long"), "text").join(clusters.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), shingle)
+    checked = _dealt(clusters, "comp", size).select("g", "node").join(full_sets, "node").select("g", "node", "els")
+    comps = components(stored(_edges(checked, _exact(percent)).distinct(), "links"))
 
     named = reps.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("comp", "rep").alias("component"))
     out = sketched.drop("regs").join(named, "key", "left")
