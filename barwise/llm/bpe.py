@@ -25,6 +25,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RANKS, MODEL = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -161,25 +162,27 @@ def encode(docs: DataFrame, ids_col: str = "ids", text_col: str = "text", ranks:
     return docs.select(*keep).mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str = RANKS, model: str = MODEL) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encode every text, decode the ids again.
+def digests(docs: DataFrame, with_ids: bool = False, ranks: str = RANKS, model: str = MODEL) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: encode every text, decode the
+    ids again. ``with_ids`` adds the ids (binary, little-endian unsigned 32-bit).
 
     A null or empty text has no tokens; its digests are those of no bytes.
     Repeated rows and ids give a row each; an empty table gives no rows.
     """
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(ranks, model)
         for b in batches:
-            n, ids_sha, text_sha = [], [], []
+            n, ids_sha, text_sha, kept = [], [], [], []
             for t in _texts(b.column(1)):
                 ids = coder.encode(t)
                 n.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 text_sha.append(hashlib.sha256(coder.decode(np.frombuffer(ids, "<u4"))).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                kept += [ids] * with_ids
+            cols = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            yield pa.RecordBatch.from_arrays(cols + [pa.array(kept, pa.binary())] * with_ids, names=names)
 
-    return docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

@@ -296,9 +296,15 @@ def classify(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The documents with one of each near-duplicate group kept: all columns as they were.
+    """The documents with one of each near-duplicate group kept, all columns as they were.
 
-    Of rows that repeat an id, those that equal another row in all columns go.
+    Rows that repeat both id and text are one document: one of them stays.
+    Rows without an id that equal no other text all stay.
     """
     gone = classify(docs, shingle, percent).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if not again.isEmpty():
+        once = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*cols)
+        docs = docs.join(again, "doc_id", "left_anti").select(*cols).unionByName(once)
+    return docs.join(gone, "doc_id", "left_anti").select(*cols)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwise.llm import bpe, decontamination, langid, neardup, quality_pu, quality_rules, secrets, sharding
+from barwise.llm import bpe, chat, decontamination, langid, licenses, neardup, quality_pu, quality_rules, secrets, sharding
 
 SHARDS = 24
 
@@ -64,3 +64,13 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_quality_pu")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return quality_pu.fit_and_score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents"))
+
+
+@query("op9_chat_format")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.repaired(table(spark, sf, "conversations"))
