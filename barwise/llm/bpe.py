@@ -73,7 +73,15 @@ class Codec:
     def tokens(self, piece: str) -> list[tuple[int, int, int]]:
         """(id, start, end) with byte offsets in the piece."""
         mapped = piece.encode().decode("latin-1").translate(self.to_char)
-        return [(t.id, *t.offsets) for t in self.model.tokenize(mapped)]
+        out, at = [], 0
+        for t in self.model.tokenize(mapped):
+            out.append((t.id, at, at + len(t.value)))  # a character of the value is a byte of the piece
+            at += len(t.value)
+        return out
+
+    def ids(self, piece: str) -> bytes:
+        mapped = piece.encode().decode("latin-1").translate(self.to_char)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -87,7 +95,7 @@ class Codec:
                     if len(known) >= CACHE_PIECES:
                         known.clear()
                         return self._encode_fresh(pieces)
-                    known[p] = b"".join(i.to_bytes(4, "little") for i, _, _ in self.tokens(p))
+                    known[p] = self.ids(p)
             return b"".join([known[p] for p in pieces])
 
     def _encode_fresh(self, pieces: list[str]) -> bytes:
@@ -96,7 +104,7 @@ class Codec:
         out = []
         for p in pieces:
             if p not in memo:
-                memo[p] = b"".join(i.to_bytes(4, "little") for i, _, _ in self.tokens(p))
+                memo[p] = self.ids(p)
             out.append(memo[p])
         if len(memo) < CACHE_PIECES // 2:
             self.known.update(memo)
