@@ -121,10 +121,12 @@ def cmd_scenario(spark, args) -> dict:
                                         t0=args.start, t1=args.end, symbol=args.symbol)
     else:
         df = market.market_volume(bars, args.start, args.end)
-    rows = df.limit(args.show).collect() if args.show else df.collect()
-    for r in rows:
+    n = 0
+    # Row by row: the driver holds one partition of the result at a time.
+    for r in (df.limit(args.show) if args.show else df).toLocalIterator():
         print(json.dumps(r.asDict(), default=str))
-    return {"rows": len(rows)}
+        n += 1
+    return {"rows": n}
 
 
 def parser() -> argparse.ArgumentParser:

@@ -18,8 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barwise.functions.numeric import round6
 from barwise.operators.bars import bars_from_ticks
-from barwise.operators.joins import bounded_broadcast, mark_small
+from barwise.operators.joins import bounded_broadcast
 from barwise.sources.files import read_table
 from barwise.sources.vendor import pack_pages
 
@@ -33,16 +34,27 @@ def ticks_a(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.get_json_object("props", "$.k").try_cast("bigint").alias("size"))
 
 
-def bars_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """bar_5m: five-minute OHLCV bars per nation from events."""
-    return bars_from_ticks(ticks_a(spark, sf_dir), "5 minutes", order=("ts", "event_id"))
+def bars_a(spark: SparkSession, sf_dir: str, t0: str | None = None,
+           t1: str | None = None) -> DataFrame:
+    """bar_5m: five-minute OHLCV bars per nation from events; vwap to 6
+    places, as vendors give it.
+
+    With [t0, t1) only the ticks that bars starting in it can hold are read
+    (a bar may reach five minutes past t1), so the scan is pruned by time.
+    """
+    ticks = ticks_a(spark, sf_dir)
+    if t0 is not None:
+        start, end = (F.lit(t).cast("timestamp_ntz") for t in (t0, t1))
+        ticks = ticks.where((F.col("ts") >= start) & (F.col("ts") < end + F.expr("INTERVAL 5 MINUTES")))
+    return (bars_from_ticks(ticks, "5 minutes", order=("ts", "event_id"))
+            .withColumn("vwap", round6("vwap")))
 
 
 def instruments_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ticker_id, symbol, name, sector) for fixture A: nations in regions."""
     n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     r = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    return mark_small(n.join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey)
+    return (n.join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey)
                       .select(F.col("n_nationkey").cast("int").alias("ticker_id"),
                               F.col("n_name").alias("symbol"), F.col("n_name").alias("name"),
                               F.col("r_name").alias("sector")))
@@ -82,17 +94,17 @@ def bars_b(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
 
     open / close are ordered by (l_orderkey, l_linenumber, price) because
     (l_orderkey, l_linenumber) is not unique in the driver's data (T8).
-    vwap = sum(extendedprice) / sum(quantity), the dollar sum exact.
+    vwap = sum(extendedprice) / sum(quantity), to 6 places as vendors give it.
     """
     t = ticks_b_hot(spark, sf_dir) if hot else ticks_b(spark, sf_dir)
     key = F.struct("l_orderkey", "l_linenumber", "price")
     shares = F.sum("l_quantity")
-    dollars = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
+    dollars = F.sum("l_extendedprice")
     return (t.groupBy("ticker_id", "ts").agg(
         F.min_by("price", key).alias("open"), F.max("price").alias("high"),
         F.min("price").alias("low"), F.max_by("price", key).alias("close"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("volume"),
-        F.try_divide(dollars, F.nullif(shares, F.lit(0.0))).alias("vwap"),
+        round6(F.try_divide(dollars, F.nullif(shares, F.lit(0.0)))).alias("vwap"),
         F.count(F.lit(1)).alias("trade_count")))
 
 
@@ -117,7 +129,7 @@ def sector_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 def instruments_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ticker_id, symbol, name, industry, sector) through the J2 chain."""
     from barwise.operators.joins import instruments
-    return mark_small(instruments(ticker_b(spark, sf_dir), industry_b(spark, sf_dir),
+    return (instruments(ticker_b(spark, sf_dir), industry_b(spark, sf_dir),
                                   sector_b(spark, sf_dir)))
 
 

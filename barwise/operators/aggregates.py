@@ -48,16 +48,10 @@ def files_per_partition(bars: DataFrame, part_col: str = "month") -> DataFrame:
                                        F.sum("bytes").alias("bytes"))
 
 
-def market_volume(bars: DataFrame, ts: str = "ts", exact: bool = True) -> DataFrame:
+def market_volume(bars: DataFrame, ts: str = "ts") -> DataFrame:
     """Dollar volume, share volume and bar count per bar time across all
-    instruments (A10, F12). With ``exact`` the dollar sum is a DECIMAL sum
-    of volume * vwap (vwap to 6 places) cast to double at the end."""
-    if exact:
-        dollars = F.sum(F.col("vwap").cast("decimal(18,6)") *
-                        F.col("volume").cast("decimal(20,0)")).cast("double")
-    else:
-        dollars = F.sum(F.col("volume") * F.col("vwap")).cast("double")
-    return bars.groupBy(ts).agg(dollars.alias("dollar_volume"),
+    instruments (A10, F12). Dollars are a sum of doubles."""
+    return bars.groupBy(ts).agg(F.sum(F.col("volume") * F.col("vwap")).alias("dollar_volume"),
                                 F.sum("volume").alias("share_volume"),
                                 F.count(F.lit(1)).alias("bars"))
 

@@ -18,20 +18,17 @@ def _order_key(order: Sequence[str]) -> Column:
 
 
 def ohlcv_from_ticks(price: str = "price", size: str = "size",
-                     order: Sequence[str] = ("ts",), exact_dollars: bool = True) -> list[Column]:
+                     order: Sequence[str] = ("ts",)) -> list[Column]:
     """Aggregate columns that turn trades into one bar.
 
     open / close are the prices at the first / last ``order`` key (T8: the
     key must be unique, add tie-breakers); vwap is dollar volume over share
-    volume with a zero guard. With ``exact_dollars`` the dollar volume is a
-    DECIMAL(18,2)-priced sum, so it does not depend on summation order.
+    volume with a zero guard. The dollar volume is a sum of doubles, as
+    wide as the prices come; its last digits depend on the order of the sum.
     """
     key = _order_key(order)
     p = F.col(price)
-    if exact_dollars:
-        dollars = F.sum(p.cast("decimal(18,2)") * F.col(size).cast("decimal(18,0)")).cast("double")
-    else:
-        dollars = F.sum(p * F.col(size))
+    dollars = F.sum(p * F.col(size))
     shares = F.sum(F.col(size).cast("bigint"))
     return [
         F.min_by(p, key).alias("open"),
@@ -64,15 +61,12 @@ def bars_from_ticks(ticks: DataFrame, width: str = "5 minutes", key: str = "tick
             .select(key, "ts", "open", "high", "low", "close", "volume", "vwap", "trade_count"))
 
 
-def bar_dollars(exact: bool = True) -> Column:
-    """Dollar volume of a bar, volume * vwap. With ``exact`` it is a
-    DECIMAL(18,6) (to the micro-dollar), so sums of it do not depend on the
-    order rows arrive in: the same result on any partitioning."""
-    d = F.col("volume") * F.col("vwap")
-    return d.cast("decimal(18,6)") if exact else d
+def bar_dollars() -> Column:
+    """Dollar volume of a bar, volume * vwap, as a double."""
+    return F.col("volume") * F.col("vwap")
 
 
-def ohlcv_from_bars(order: str = "ts", exact_dollars: bool = True) -> list[Column]:
+def ohlcv_from_bars(order: str = "ts") -> list[Column]:
     """Aggregate columns that roll bars into a coarser bar.
 
     open = open of the first bar, close = close of the last, vwap =
@@ -86,7 +80,7 @@ def ohlcv_from_bars(order: str = "ts", exact_dollars: bool = True) -> list[Colum
         F.min("low").alias("low"),
         F.max_by("close", F.col(order)).alias("close"),
         vol.alias("volume"),
-        F.try_divide(F.sum(bar_dollars(exact_dollars)).cast("double"),
+        F.try_divide(F.sum(bar_dollars()),
                      F.nullif(vol, F.lit(0)).cast("double")).alias("vwap"),
         F.sum("trade_count").alias("trade_count"),
     ]

@@ -18,7 +18,6 @@ from barwise.functions.text import not_blank
 from barwise.functions.timefn import (NEW_YORK, date_lit, hhmm_int, hhmm_to_minute,
                                       in_half_open, local_hhmm, minute_of_day, month_key,
                                       prior_day, ts_lit, utc_window, weekday)
-from barwise.operators.joins import bounded_broadcast
 
 MONTH_COL = "month"
 
@@ -177,12 +176,33 @@ def regular_hours(bars: DataFrame, tz: str = NEW_YORK, open_: str = "09:30",
     return bars.where(regular_hours_cond(ts_col, tz, open_, close))
 
 
-def for_symbol(bars: DataFrame, dims: DataFrame, symbols) -> DataFrame:
-    """Bars of one or several symbols (P2, P11): the dimension is filtered
-    first, then joined, so the fact side is only probed."""
+def symbol_ids(dims: DataFrame, symbols) -> list[tuple[int, str]]:
+    """(ticker_id, symbol) of the named symbols: a read of the instrument
+    list bounded by the names asked for."""
     syms = [symbols] if isinstance(symbols, str) else list(symbols)
-    d = dims.where(F.col("symbol").isin(syms)).select("ticker_id", "symbol")
-    return bars.join(bounded_broadcast(d, parent=dims), "ticker_id")
+    rows = dims.where(F.col("symbol").isin(syms)).select("ticker_id", "symbol").distinct()
+    return [(r[0], r[1]) for r in rows.collect()]
+
+
+def for_symbol(bars: DataFrame, dims: DataFrame, symbols) -> DataFrame:
+    """Bars of one or several symbols (P2, P11), with their symbol.
+
+    The symbols are looked up first, so the fact carries a literal
+    ``ticker_id IN (...)`` that reaches the Parquet scan (row groups sorted
+    by instrument are skipped) and there is no join.
+    """
+    found = symbol_ids(dims, symbols)
+    ids = sorted({i for i, _ in found})
+    mine = bars.where(F.col("ticker_id").isin(ids)) if ids else bars.where(F.lit(False))
+    by_id: dict = {}
+    for i, s in found:
+        by_id.setdefault(i, []).append(s)
+    names = F.array().cast("array<string>")
+    for i, s in by_id.items():
+        names = F.when(F.col("ticker_id") == i, F.array(*[F.lit(x) for x in sorted(s)])).otherwise(names)
+    if all(len(s) == 1 for s in by_id.values()):
+        return mine.withColumn("symbol", F.get(names, F.lit(0)))
+    return mine.withColumn("symbol", F.explode(names))
 
 
 def by_sector(df: DataFrame, sector: str | None = None, col: str = "sector") -> DataFrame:

@@ -1,11 +1,10 @@
 """Fact-to-dimension joins.
 
 Dimensions (instruments, industries, sectors) are small, but "small" is
-checked, not assumed: ``bounded_broadcast`` proves the row bound with a
-``limit(n + 1).count()`` job (each task stops after n + 1 rows, only counts
-move), and only then hints a broadcast. Above the bound the join stays a shuffle join that AQE
-may still turn into a broadcast from runtime sizes, and whose skewed
-partitions AQE splits.
+checked, not assumed: ``bounded_broadcast`` hints a broadcast only when the
+plan's own size statistic (file sizes for tables) is below a bound. Above it
+the join stays a shuffle join that AQE may still turn into a broadcast from
+runtime sizes, and whose skewed partitions AQE splits. No job runs to decide.
 """
 
 from __future__ import annotations
@@ -13,49 +12,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a dimension may have and still be broadcast (narrow rows: tens of MB).
-BROADCAST_MAX_ROWS = 2_000_000
+# Bytes (plan statistic) a side may have and still be broadcast.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows.
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's size statistic of the optimised plan; very large when unknown."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    Each task stops after n + 1 rows and only row counts (no columns) move,
-    so this is cheap for tables expected to be small (dimensions, month
-    tables); it is not meant for probing large facts."""
-    return df.limit(n + 1).count() <= n
 
-
-def mark_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Check once that ``df`` has at most ``max_rows`` rows and remember the
-    proof on the object; projections and filters of it (which cannot grow)
-    can then be broadcast without another check (``parent=``)."""
-    if has_at_most(df, max_rows):
-        df._bw_max_rows = max_rows
-    return df
-
-
-def _proven(df: DataFrame | None, max_rows: int) -> bool:
-    bound = getattr(df, "_bw_max_rows", None) if df is not None else None
-    return bound is not None and bound <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      parent: DataFrame | None = None) -> DataFrame:
-    """``broadcast(df)`` when its size is proven below ``max_rows``, else ``df``.
-
-    ``parent`` is a DataFrame ``df`` was projected or filtered from; if the
-    parent's bound is already proven (``mark_small``), no job runs.
-    """
-    if _proven(df, max_rows) or _proven(parent, max_rows) or has_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when the plan's size statistic is within ``max_bytes``, else ``df``."""
+    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
 
 
 def with_symbol(bars: DataFrame, dims: DataFrame, cols=("symbol",)) -> DataFrame:
     """Inner join of facts to the instrument list on ticker_id."""
     d = dims.select("ticker_id", *cols)
-    return bars.join(bounded_broadcast(d, parent=dims), "ticker_id")
+    return bars.join(bounded_broadcast(d), "ticker_id")
 
 
 def instruments(ticker: DataFrame, industry: DataFrame, sector: DataFrame) -> DataFrame:
@@ -90,8 +64,7 @@ def resolve_ids(bars: DataFrame, dims: DataFrame, on_unknown: str = "drop",
     """
     if on_unknown not in ("drop", "add"):
         raise ValueError("on_unknown must be 'drop' or 'add'")
-    d = bounded_broadcast(dims.select(F.col("symbol").alias(symbol_col), "ticker_id"),
-                          parent=dims)
+    d = bounded_broadcast(dims.select(F.col("symbol").alias(symbol_col), "ticker_id"))
     joined = bars.join(d, symbol_col, "left")
     unknown = joined.where(F.col("ticker_id").isNull())
     resolved = joined if on_unknown == "add" else joined.where(F.col("ticker_id").isNotNull())
@@ -102,8 +75,7 @@ def enrich_symbols(symbols: DataFrame, meta: DataFrame, symbol_col: str = "symbo
                    default_sector: str = "Unknown") -> DataFrame:
     """Lookup with defaults (J10): name falls back to the symbol, sector to
     'Unknown'. ``meta`` has (symbol, name, sector)."""
-    m = bounded_broadcast(meta.select(F.col("symbol").alias(symbol_col), "name", "sector"),
-                          parent=meta)
+    m = bounded_broadcast(meta.select(F.col("symbol").alias(symbol_col), "name", "sector"))
     j = symbols.join(m, symbol_col, "left")
     return j.select(
         symbol_col,

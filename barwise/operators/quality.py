@@ -84,7 +84,7 @@ def validate_load(bars: DataFrame, dims: DataFrame, keys: Sequence[str] = ("tick
     bad = F.size(violations(rules)) > 0
     known = dims.select(key).distinct().withColumn("_known", F.lit(True))
     from barwise.operators.joins import bounded_broadcast
-    j = bars.join(bounded_broadcast(known, parent=dims), key, "left")
+    j = bars.join(bounded_broadcast(known), key, "left")
     rows = j.agg(F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first_ts"),
                  F.max(ts).alias("last_ts"), F.count_if(bad).alias("rule_violations"),
                  F.count_if(F.col("_known").isNull()).alias("unknown_refs"))

@@ -5,51 +5,61 @@ into one task; one instrument may hold a third of the rows. The row-frame
 windows here (lag, rolling sums) run instead over blocks of each
 instrument's time-ordered rows:
 
-1. Rows are counted per (instrument, month): a partial aggregate whose
-   output is bounded by instruments x months, not by data volume.
-2. On that small table a running sum gives each month's first row
-   position; months are assigned whole to blocks of about ``block_rows``
-   rows (at least four times the instrument's largest month plus the halo,
-   so no block is skipped or short).
-3. Months whose rows reach into the last ``halo`` positions before the next
+1. Rows are counted per (instrument, chunk of time): a partial aggregate.
+   The chunk is a month, or the coarsest of day, hour, minute, second and
+   the time itself in which no chunk holds more than a quarter of a block,
+   so a hot month is split as well.
+2. On that table a running sum gives each chunk's first row position;
+   chunks are assigned whole to blocks of a quarter of ``block_rows``.
+3. Chunks whose rows reach into the last ``halo`` positions before the next
    block are also copied into it, so every row a block owns has its full
    frame of preceding rows.
-4. The month table is joined back (broadcast behind a size check) and the
-   window runs over (instrument, block); copies are then discarded. When
-   no instrument needs a second block, the join is skipped and the plain
-   per-instrument window runs (it is then bounded by ``block_rows``).
-
-The data is shuffled once, for the window itself, and no task holds more
-than a block. Results equal the plain per-instrument window row for row.
+4. The chunk table is joined back and the window runs over (instrument,
+   block); copies are then discarded. When no instrument has more than
+   ``block_rows`` rows, the join is skipped and the plain per-instrument
+   window runs (it is then bounded by ``block_rows``).
+
+A block holds at most its quarter, one chunk that starts in it, the halo and
+one copied chunk: under ``block_rows`` rows, for halos up to a quarter of it.
+Results equal the plain per-instrument window row for row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwise.functions.numeric import log_return
-from barwise.operators.joins import bounded_broadcast
 from barwise.session import checkpoint_root
 
 BLOCK_ROWS = 1_000_000
-# Rows of the (instrument, month) table that may be broadcast.
-CHUNK_TABLE_MAX_ROWS = 5_000_000
-
-
-def chunk_blocks(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
-                 block_rows: int = BLOCK_ROWS, chunk: str = "month") -> DataFrame:
-    """(key, _chunk, _blk, _own): the block(s) each (key, chunk) goes to."""
-    d = df.select(key, F.trunc(F.to_date(F.col(ts)), chunk).alias("_chunk"))
-    counts = d.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(key).orderBy("_chunk")
-    start = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    size = F.greatest(F.lit(block_rows),
-                      4 * (F.max("_n").over(Window.partitionBy(key)) + F.lit(halo)))
-    c = counts.select(key, "_chunk", start.alias("_start"), (start + F.col("_n")).alias("_end"),
-                      size.alias("_size"))
-    home = F.floor(F.col("_start") / F.col("_size"))
-    reach = F.col("_end") > (home + 1) * F.col("_size") - F.lit(halo)
+GRAINS = ("month", "day", "hour", "minute", "second", "microsecond")
+
+
+def _chunk(ts: str, grain: str) -> Column:
+    """Start of the chunk of time that holds ``ts``."""
+    if grain in ("month", "day"):
+        return F.trunc(F.to_date(F.col(ts)), "month") if grain == "month" else F.to_date(F.col(ts))
+    return F.date_trunc(grain, F.col(ts))
+
+
+@dataclass
+class Blocks:
+    """The block table of one DataFrame and the grain of its chunks."""
+
+    table: DataFrame  # key, _chunk, _blk, _own
+    grain: str
+
+
+def assign_blocks(counts: DataFrame, halo: int, size: int, key: str = "ticker_id") -> DataFrame:
+    """(key, _chunk, _blk, _own): the block(s) each (key, chunk) of ``_n`` rows goes to."""
+    start = F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy("_chunk")
+                                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    c = counts.select(key, "_chunk", start.alias("_start"), (start + F.col("_n")).alias("_end"))
+    home = F.floor(F.col("_start") / size)
+    reach = F.col("_end") > (home + 1) * size - F.lit(halo)
     targets = (F.when(reach & F.lit(halo > 0), F.array(home, home + 1))
                .otherwise(F.array(home)))
     return c.select(key, "_chunk", home.alias("_home"), F.explode(targets).alias("_blk")) \
@@ -61,58 +71,49 @@ def single_block(df: DataFrame) -> DataFrame:
     return df.withColumn("_blk", F.lit(0).cast("bigint")).withColumn("_own", F.lit(True))
 
 
-def largest_instrument(df: DataFrame, key: str = "ticker_id") -> int:
-    """Rows of the largest instrument: one partial aggregate, one scalar."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-
-
 def block_table(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
-                block_rows: int = BLOCK_ROWS, chunk: str = "month") -> DataFrame | None:
-    """The (instrument, month) -> block table, materialised once with an
-    eager checkpoint (reliable storage, lineage cut), or None when no
-    instrument needs a second block."""
-    if largest_instrument(df, key) <= block_rows:
-        return None
+                block_rows: int = BLOCK_ROWS) -> Blocks | None:
+    """The (instrument, chunk) -> block table, or None when no instrument has
+    more than ``block_rows`` rows. One count per (instrument, month); finer
+    chunks are counted only if a month is too large. Rows that share an
+    instrument and a time can't be told apart in order and stay together."""
     checkpoint_root(df.sparkSession)
-    blocks = chunk_blocks(df, halo, key, ts, block_rows, chunk).checkpoint(eager=True)
-    if not blocks.where("_own").agg(F.max("_blk").alias("m")).first()["m"]:
-        return None
-    return blocks
-
-
-def needs_blocks(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
-                 block_rows: int = BLOCK_ROWS, chunk: str = "month") -> bool:
-    """True when some instrument needs more than one block."""
-    return block_table(df, halo, key, ts, block_rows, chunk) is not None
-
-
-def blocked(df: DataFrame, halo: int, key: str = "ticker_id", ts: str = "ts",
-            block_rows: int = BLOCK_ROWS, chunk: str = "month") -> DataFrame:
+    for grain in GRAINS:
+        counts = (df.groupBy(key, _chunk(ts, grain).alias("_chunk"))
+                  .agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True))
+        per_key = counts.groupBy(key).agg(F.sum("_n").alias("all"), F.max("_n").alias("most"))
+        whole, most = per_key.agg(F.max("all"), F.max("most")).first()
+        if (whole or 0) <= block_rows:
+            return None
+        size = max(1, block_rows // 4)
+        if most + halo <= size or grain == GRAINS[-1]:
+            # The positions between two blocks must fit one chunk and the halo.
+            table = assign_blocks(counts, halo, max(size, most + halo), key)
+            return Blocks(table.checkpoint(eager=True), grain)
+    return None
+
+
+def blocked(df: DataFrame, blocks: Blocks | None, key: str = "ticker_id", ts: str = "ts") -> DataFrame:
     """Rows tagged with ``_blk`` (their window block) and ``_own`` (False for
-    copies that only serve as preceding rows of the next block).
-
-    When no instrument needs a second block, every row gets block 0 and the
-    plain per-instrument window is already bounded, so no join is needed.
-    Otherwise the checkpointed block table is joined (broadcast behind its
-    size check, which reads the small checkpoint, not the facts).
-    """
-    blocks = block_table(df, halo, key, ts, block_rows, chunk)
+    copies that only serve as preceding rows of the next block)."""
     if blocks is None:
         return single_block(df)
-    d = df.withColumn("_chunk", F.trunc(F.to_date(F.col(ts)), chunk))
-    return (d.join(bounded_broadcast(blocks, CHUNK_TABLE_MAX_ROWS), [key, "_chunk"])
-            .drop("_chunk"))
+    return (df.withColumn("_chunk", _chunk(ts, blocks.grain))
+            .join(blocks.table, [key, "_chunk"]).drop("_chunk"))
+
+
+def _returns(b: DataFrame, key: str, ts: str) -> DataFrame:
+    w = Window.partitionBy(key, "_blk").orderBy(ts)
+    return (b.withColumn("_prev", F.lag("close").over(w))
+            .withColumn("logret", log_return(F.col("close"), F.col("_prev"))).drop("_prev"))
 
 
 def log_returns(bars: DataFrame, key: str = "ticker_id", ts: str = "ts",
                 block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Adds ``logret`` = ln(close / previous close) per instrument.
     The first bar of each instrument has a null return."""
-    b = blocked(bars, 1, key, ts, block_rows)
-    w = Window.partitionBy(key, "_blk").orderBy(ts)
-    return (b.withColumn("_prev", F.lag("close").over(w))
-            .withColumn("logret", log_return(F.col("close"), F.col("_prev")))
-            .where("_own").drop("_blk", "_own", "_prev"))
+    blocks = block_table(bars.select(key, ts), 1, key, ts, block_rows)
+    return _returns(blocked(bars, blocks, key, ts), key, ts).where("_own").drop("_blk", "_own")
 
 
 def rolling_vol(bars: DataFrame, n: int = 20, drop_first: bool = False,
@@ -129,26 +130,17 @@ def rolling_vol(bars: DataFrame, n: int = 20, drop_first: bool = False,
     """
     if n < 1:
         raise ValueError("window must be at least one bar")
-    w = Window.partitionBy(key, "_blk").orderBy(ts)
-    frame = w.rowsBetween(-(n - 1), 0)
-    if not drop_first:
-        b = blocked(bars.select(key, ts, "close"), n, key, ts, block_rows)
-        r = (b.withColumn("_prev", F.lag("close").over(w))
-             .withColumn("logret", log_return(F.col("close"), F.col("_prev"))))
-        r = r.withColumn("rv", F.sqrt(F.sum(F.col("logret") * F.col("logret")).over(frame)))
-        return r.where("_own").select(key, ts, "logret", "rv")
+    frame = Window.partitionBy(key, "_blk").orderBy(ts).rowsBetween(-(n - 1), 0)
     src = bars.select(key, ts, "close")
-    if not needs_blocks(src, n, key, ts, block_rows):
-        # No instrument needs a second block, so neither does any subset:
-        # both windows run per instrument with no further planning jobs.
-        w1 = Window.partitionBy(key).orderBy(ts)
-        rets = (src.withColumn("_prev", F.lag("close").over(w1))
-                .withColumn("logret", log_return(F.col("close"), F.col("_prev"))))
-        b = single_block(rets.where(F.col("logret").isNotNull()))
-    else:
-        rets = log_returns(src, key, ts, block_rows)
-        b = blocked(rets.where(F.col("logret").isNotNull()), n - 1, key, ts, block_rows)
-    r = b.withColumn("rv", F.sqrt(F.sum(F.col("logret") * F.col("logret")).over(frame)))
+    # One more row than the frame: the first return of the frame needs the close before it.
+    blocks = block_table(src, n, key, ts, block_rows)
+    r = _returns(blocked(src, blocks, key, ts), key, ts)
+    if drop_first:
+        # Null returns leave before the frame, so positions change: with blocks,
+        # the frame gets a table of its own (a subset of few enough rows needs none).
+        kept = r.where("_own").where(F.col("logret").isNotNull()).select(key, ts, "logret")
+        r = blocked(kept, block_table(kept, n - 1, key, ts, block_rows) if blocks else None, key, ts)
+    r = r.withColumn("rv", F.sqrt(F.sum(F.col("logret") * F.col("logret")).over(frame)))
     return r.where("_own").select(key, ts, "logret", "rv")
 
 

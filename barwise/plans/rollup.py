@@ -14,14 +14,14 @@ import posixpath
 from collections.abc import Sequence
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barwise.functions.timefn import (NEW_YORK, hhmm_to_minute, local_date, month_key,
                                       session_date)
 from barwise.operators.bars import ohlcv_from_bars
 from barwise.operators.filters import for_symbol, regular_hours, time_range
-from barwise.sinks.layout import cluster, write_partitioned
+from barwise.sinks.layout import cluster, drop_partitions, write_partitioned
 
 DAILY_COLS = ["ticker_id", "session_date", "open", "high", "low", "close", "volume", "vwap",
               "trade_count"]
@@ -73,9 +73,10 @@ def _clustered(daily: DataFrame) -> DataFrame:
 
 
 def build_daily(bars: DataFrame, path: str, **kw) -> None:
-    """M1/M2: write the full rollup, partitioned by session month."""
+    """M1/M2: write the full rollup, partitioned by session month. The stored
+    table is replaced whole, months without bars included."""
     d = _with_month(rollup(bars, **kw))
-    write_partitioned(_clustered(d), path, mode="overwrite")
+    write_partitioned(_clustered(d), path, mode="truncate")
 
 
 def _location(uri: str) -> tuple[str, str]:
@@ -116,8 +117,18 @@ def refresh_daily(bars: DataFrame, path: str, months: Sequence[str], **kw) -> No
     hi = f"{after + _dt.timedelta(days=1)} 00:00:00"
     # Literal bounds: a month-partitioned bar table is pruned to these months.
     near = time_range(bars, lo, hi)
+    if "month" in bars.columns:
+        around = set()
+        for name in months:
+            y, m = (int(x) for x in name.split("-"))
+            around |= {name, f"{y - (m == 1)}-{(m + 10) % 12 + 1:02d}", f"{y + (m == 12)}-{m % 12 + 1:02d}"}
+        near = near.where(F.col("month").isin(sorted(around) + ["default"]))
     d = _with_month(rollup(near, **kw)).where(F.col("month").isin(months))
-    write_partitioned(_clustered(d), path, mode="overwrite")
+    wrote = Observation("refresh_daily")
+    d = _clustered(d).observe(wrote, F.collect_set("month").alias("months"))
+    write_partitioned(d, path, mode="overwrite")
+    # A dynamic overwrite leaves months alone for which nothing was written.
+    drop_partitions(bars.sparkSession, path, "month", sorted(set(months) - set(wrote.get["months"] or [])))
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:

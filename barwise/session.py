@@ -65,6 +65,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return os.path.dirname(current.rstrip("/"))
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _LOCAL_ROOT is None:
         _LOCAL_ROOT = tempfile.mkdtemp(prefix="barwise-ckpt-")
     if sc is not None:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from barwise.functions.timefn import month_key
 from barwise.operators.filters import in_range_cond
 from barwise.operators.joins import bounded_broadcast
-from barwise.operators.quality import assert_unique
+from barwise.operators.quality import assert_unique, check_bars
 from barwise.sinks.merge import first_per_key
 
 DEFAULT_PARTITION = "default"
@@ -75,22 +75,40 @@ def cluster(df: DataFrame, part="month", key: str = "ticker_id", ts: str = "ts",
     return r.sortWithinPartitions(*cols)
 
 
+WRITE_MODES = ("overwrite", "truncate", "append")
+
+
 def write_partitioned(df: DataFrame, path: str, part="month", mode: str = "overwrite",
                       max_records_per_file: int | None = 5_000_000) -> None:
-    """Write Parquet by ``part``. ``overwrite`` replaces only the partitions
-    present in ``df`` (dynamic overwrite); ``append`` adds files (K3)."""
-    if mode not in ("overwrite", "append"):
-        raise ValueError("mode must be 'overwrite' or 'append'")
-    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    """Write Parquet by ``part`` (K3). ``overwrite`` replaces only the
+    partitions present in ``df`` (dynamic overwrite); ``truncate`` replaces
+    the whole table; ``append`` adds files."""
+    if mode not in WRITE_MODES:
+        raise ValueError(f"mode must be one of {WRITE_MODES}")
+    w = df.write.mode("append" if mode == "append" else "overwrite")
+    w = w.option("partitionOverwriteMode", "static" if mode == "truncate" else "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.partitionBy(*([part] if isinstance(part, str) else part)).parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds anything, through the file system of the path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def drop_partitions(spark: SparkSession, path: str, part: str, values) -> None:
+    """Remove whole partition folders of a table."""
+    for v in values:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{part}={v}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def load_bars(bars: DataFrame, dims: DataFrame, path: str, start, end,
               mode: str = "overwrite", partitions: int | None = None,
               on_duplicate: str = "fail", report: dict | None = None,
-              by_day: bool = False) -> DataFrame:
+              by_day: bool = False, on_bad: str = "keep") -> DataFrame:
     """Bulk load vendor bars into the month-partitioned fact (K2, K3, K6).
 
     Symbols are resolved with a broadcast-checked join, unknown symbols are
@@ -98,18 +116,41 @@ def load_bars(bars: DataFrame, dims: DataFrame, path: str, start, end,
     written. A (ticker_id, ts) key seen twice fails the load like the first
     loader's primary key (``on_duplicate="fail"``), or keeps the first row
     by the remaining columns like the second loader's DO NOTHING
-    (``"first"``). Returns the per-month row counts of what was written
+    (``"first"``). With ``mode="append"`` the keys already stored in the
+    touched months count as well: ``"fail"`` refuses the load, ``"first"``
+    adds only new keys. ``mode="truncate"`` replaces the whole table,
+    ``"overwrite"`` the months present. Rows that break the bar rules are
+    kept, refused (``on_bad="fail"``) or left out (``"drop"``).
+    Returns the per-month row counts of what was written
     (K9), read back from the table. A ``report`` dict is filled with the
     load counters (attempted, unknown_symbols, loaded, default_partition),
     observed while the write runs, without a second pass over the input.
     """
     if on_duplicate not in ("fail", "first"):
         raise ValueError("on_duplicate must be 'fail' or 'first'")
-    d = bounded_broadcast(dims.select("symbol", "ticker_id"), parent=dims)
+    if on_bad not in ("keep", "fail", "drop"):
+        raise ValueError("on_bad must be 'keep', 'fail' or 'drop'")
+    spark = bars.sparkSession
+    d = bounded_broadcast(dims.select("symbol", "ticker_id"))
     b = (bars.join(d, "symbol", "left")
          .select("ticker_id", F.col("timestamp").alias("ts"), "open", "high", "low", "close",
                  "volume", "vwap", F.col("trade_count").cast("bigint").alias("trade_count")))
     known = F.col("ticker_id").isNotNull()
+    if on_bad != "keep":
+        good, bad = check_bars(b.where(known))
+        if on_bad == "fail" and not bad.isEmpty():
+            raise ValueError("load_bars: rows break the bar rules")
+        b = good.select(*b.columns).unionByName(b.where(~known))
+    if mode == "append" and table_exists(spark, path):
+        months = assign_month(b.where(known), start, end).select("month").distinct()
+        touched = [r[0] for r in months.collect()]  # bounded by the calendar
+        stored = spark.read.parquet(path).where(F.col("month").isin(touched)).select("ticker_id", "ts")
+        if on_duplicate == "fail":
+            if not stored.join(b.where(known).select("ticker_id", "ts"), ["ticker_id", "ts"], "left_semi").isEmpty():
+                raise ValueError("load_bars: keys are already stored")
+        else:
+            fresh = b.where(known).join(stored, ["ticker_id", "ts"], "left_anti")
+            b = fresh.select(*b.columns).unionByName(b.where(~known))
     if on_duplicate == "fail":
         assert_unique(b.where(known), ["ticker_id", "ts"])
     else:
@@ -133,7 +174,6 @@ def load_bars(bars: DataFrame, dims: DataFrame, path: str, start, end,
     write_partitioned(out, path, part=parts, mode=mode)
     if report is not None:
         report.update(seen.get)
-    spark = bars.sparkSession
     return spark.read.parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -152,4 +192,4 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
 
 __all__ = ["DEFAULT_PARTITION", "month_bounds", "month_table", "year_windows", "assign_month",
            "assign_day",
-           "cluster", "write_partitioned", "load_bars", "write_yearly", "read_partitioned"]
+           "cluster", "drop_partitions", "table_exists", "write_partitioned", "load_bars", "write_yearly", "read_partitioned"]

@@ -61,8 +61,7 @@ def load_market_data(bars: DataFrame, meta: DataFrame, path: str, symbols_path:
     """Load vendor bars (``read_bars`` schema) into ``path``; returns the
     counters attempted, inserted, out_of_range and symbols."""
     symbols = refresh_symbols(bars, meta, symbols_path)
-    ids = bounded_broadcast(symbols.select(F.col("ticker").alias("symbol"), "symbol_id"),
-                            parent=symbols)
+    ids = bounded_broadcast(symbols.select(F.col("ticker").alias("symbol"), "symbol_id"))
     b = bars.join(ids, "symbol").select(
         "symbol_id", F.col("timestamp").alias("ts"),
         *[F.col(c).cast(PRICE).alias(c) for c in ("open", "high", "low", "close")],

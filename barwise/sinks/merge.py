@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwise.operators.joins import has_at_most
 from barwise.operators.quality import assert_unique
 
 
@@ -39,26 +38,19 @@ def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str] |
             .select(*batch.columns))
 
 
-# Batch keys that may be broadcast to probe a large target.
-BATCH_BROADCAST_MAX_ROWS = 2_000_000
-
-
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],
              order: Sequence[str] | None = None) -> DataFrame:
     """Batch rows whose key is not in the target, one per key (K7).
 
-    When the batch's keys are proven small, the target is probed with a
-    broadcast semi join (the target is scanned, never shuffled) and the
-    batch is then anti-joined against the few keys found. Otherwise a plain
-    shuffle anti join.
+    The target is reduced to the batch's keys first (a semi join, which Spark
+    runs as a broadcast of the batch keys when they are small), and to
+    distinct keys, so repeated target rows cannot multiply what the final
+    anti join handles.
     """
     keys = list(keys)
     b = first_per_key(batch, keys, order)
-    bk = b.select(*keys)
-    if has_at_most(bk, BATCH_BROADCAST_MAX_ROWS):
-        existing = target.select(*keys).join(F.broadcast(bk), keys, "left_semi")
-        return b.join(F.broadcast(existing), keys, "left_anti")
-    return b.join(target.select(*keys), keys, "left_anti")
+    existing = target.select(*keys).join(b.select(*keys), keys, "left_semi").distinct()
+    return b.join(existing, keys, "left_anti")
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str],
