@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwise.functions.numeric import int_or_null
 from barwise.functions.text import clean_symbol, empty_to_null, not_blank, symbol_forms
 from barwise.functions.timefn import is_early_close, local_date
 from barwise.operators.joins import bounded_broadcast
+from barwise.operators.numbering import number_rows
 
 # Symbols tagged as Nasdaq listings; every other symbol is NYSE.
 NASDAQ_SYMBOLS = (
@@ -37,20 +38,16 @@ NASDAQ_SYMBOLS = (
 def assign_ids(names: DataFrame, existing: DataFrame | None = None, id_col: str = "id",
                name_cols: Sequence[str] = ("name",)) -> DataFrame:
     """Stable surrogate ids (R4): names already present keep their id, new
-    ones get max(id) + 1, 2, ... in name order. Dimension-sized only: the
-    numbering window spans the whole table."""
+    ones get max(id) + 1, 2, ... in name order, numbered over all tasks."""
     names = names.select(*name_cols).distinct()
     if existing is None:
-        return names.select(F.row_number().over(Window.orderBy(*name_cols)).alias(id_col),
-                            *name_cols)
+        return (number_rows(names, name_cols, "_no")
+                .select(F.col("_no").cast("int").alias(id_col), *name_cols))
     known = existing.select(id_col, *name_cols)
-    fresh = (names.join(known.select(*name_cols), list(name_cols), "left_anti")
-             .select(F.lit(None).cast(known.schema[id_col].dataType).alias(id_col), *name_cols))
-    both = known.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)))
-    top = F.coalesce(F.max(id_col).over(Window.partitionBy()), F.lit(0))
-    rank = F.row_number().over(Window.partitionBy("_new").orderBy(*name_cols))
-    return both.select(F.when(F.col("_new"), top + rank).otherwise(F.col(id_col))
-                       .cast(known.schema[id_col].dataType).alias(id_col), *name_cols)
+    kind = known.schema[id_col].dataType
+    top = known.agg(F.max(id_col)).first()[0] or 0
+    fresh = number_rows(names.join(known.select(*name_cols), list(name_cols), "left_anti"), name_cols, "_no")
+    return known.unionByName(fresh.select((F.col("_no") + top).cast(kind).alias(id_col), *name_cols))
 
 
 def build_sectors(const: DataFrame, existing: DataFrame | None = None,
@@ -90,16 +87,21 @@ def tag_exchange(df: DataFrame, nasdaq=NASDAQ_SYMBOLS, symbol_col: str = "symbol
 
 def build_tickers(const: DataFrame, sectors: DataFrame, industries: DataFrame,
                   exchanges: DataFrame, nasdaq=NASDAQ_SYMBOLS,
-                  existing: DataFrame | None = None) -> DataFrame:
+                  existing: DataFrame | None = None, order_col: str = "row_no") -> DataFrame:
     """ticker rows from constituents (R2, J8, F13, F16): natural keys
     (sector name, industry name, exchange code) resolved to ids; CIK parsed
     or null; empty headquarters and dates become null."""
+    order = F.col(order_col) if order_col in const.columns else F.lit(0)
     c = const.select(
-        F.trim("Symbol").alias("symbol"), F.trim("Security").alias("name"),
+        order.alias("_order"), F.trim("Symbol").alias("symbol"), F.trim("Security").alias("name"),
         F.trim("GICS Sector").alias("sector"), F.trim("GICS Sub-Industry").alias("industry"),
         int_or_null("CIK").alias("cik"),
         empty_to_null("Headquarters Location").alias("headquarters"),
         empty_to_null("Date added").try_cast("date").alias("date_added"))
+    # A symbol listed twice: the last row in file order wins, as with one upsert per row.
+    rest = [x for x in c.columns if x != "symbol"]
+    c = (c.groupBy("symbol").agg(F.max(F.struct(*rest)).alias("_last"))
+         .select("symbol", *[F.col(f"_last.{x}").alias(x) for x in rest]).drop("_order"))
     c = tag_exchange(c, nasdaq)
     sec = bounded_broadcast(sectors.select("sector_id", F.col("name").alias("sector")))
     ind = bounded_broadcast(industries.select("industry_id", "sector_id",
@@ -138,16 +140,17 @@ def resolve_symbols(const: DataFrame, tradable: DataFrame, max_symbols: int | No
     best = (cand.join(trad, "cand").groupBy(order_col)
             .agg(F.min_by("cand", F.col("pos")).alias("pick")))
     rows = c.join(best, order_col, "left")
-    first = F.row_number().over(Window.partitionBy("pick").orderBy(order_col))
-    rows = rows.withColumn("ok", F.col("pick").isNotNull() & (first == 1))
-    # The reference walks rows in order and stops after max_symbols picks:
-    # a row is processed while fewer than max_symbols picks precede it.
-    # The running count spans the whole (dimension-sized) table.
-    okn = F.col("ok").cast("int")
-    before = F.sum(okn).over(Window.orderBy(order_col)) - okn
-    rows = rows.withColumn("_before", before)
+    # The first row of each pick, by a grouped minimum; rows without a pick stay out of it.
+    firsts = (rows.where(F.col("pick").isNotNull()).groupBy("pick")
+              .agg(F.min(order_col).alias(order_col)).withColumn("ok", F.lit(True)))
+    rows = (rows.join(firsts, ["pick", order_col], "left")
+            .withColumn("ok", F.coalesce("ok", F.lit(False))))
     if max_symbols is not None:
-        rows = rows.where(F.col("_before") < max_symbols)
+        # Rows are walked in order until max_symbols are picked: up to the last of them.
+        top = firsts.orderBy(order_col).limit(max_symbols)
+        n, last = top.agg(F.count(F.lit(1)), F.max(order_col)).first()
+        if n == max_symbols:
+            rows = rows.where(F.col(order_col) <= F.lit(last))
     resolved = rows.where("ok").select(order_col, "raw", "pick")
     counts = rows.agg(F.count_if(F.col("ok")).alias("resolved"),
                       F.count_if(~F.col("ok")).alias("skipped"))

@@ -582,6 +582,16 @@ def q_resolve_symbols(spark, sf):
     return resolved
 
 
+@query("resolve_symbols_all")
+def q_resolve_symbols_all(spark, sf):
+    """R5 without a limit: every pick, and the counts as extra columns."""
+    const, tradable = _variant_const(spark, sf)
+    resolved, counts = rd.resolve_symbols(const, tradable)
+    n = counts.first()
+    return (resolved.withColumn("resolved", F.lit(n["resolved"]).cast("bigint"))
+            .withColumn("skipped", F.lit(n["skipped"]).cast("bigint")))
+
+
 @query("symbol_variants")
 def q_symbol_variants(spark, sf):
     const, _ = _variant_const(spark, sf)
