@@ -31,7 +31,8 @@ from barwise.session import checkpoint_root
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)  # the last emitted role; role r leads to state r + 1
 LEGAL = {START: (0, 1), SYSTEM: (1,), USER: (2,), ASSISTANT: (1,)}
-RELABEL, RELABEL_UNKNOWN, MERGE, INSERT = 2, 1, 1, 3
+# To put words into the other party's mouth costs most.
+RELABEL, RELABEL_UNKNOWN, MERGE, INSERT = 5, 1, 1, 3
 INF = 1 << 60
 _UNIT = 1 << 40  # a cost point outweighs any number of output turns
 

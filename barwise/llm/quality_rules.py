@@ -96,7 +96,8 @@ def _concentrate(rows: DataFrame, params: DataFrame) -> DataFrame:
     devs = devs.withColumn("bin", F.least(F.floor(F.log1p(d) * 24), F.lit(BINS - 1)).cast("int"))
     sums = [F.sum(f"y{i}").alias(f"s{i}") for i in range(D)]
     sums += [F.sum(F.col(f"y{i}") * F.col(f"y{j}")).alias(f"s{i}{j}") for i in range(D) for j in range(i + 1)]
-    bins = devs.groupBy("pool", "bin").agg(F.count(F.lit(1)).alias("k"), *sums)
+    # Written first, so that the windows below read at most BINS rows a pool, not a task's share each.
+    bins = stored(devs.groupBy("pool", "bin").agg(F.count(F.lit(1)).alias("k"), *sums), "bins")
     before = F.coalesce(F.sum("k").over(Window.partitionBy("pool").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     whole = F.sum("k").over(Window.partitionBy("pool"))
     near = bins.withColumn("before", before).withColumn("whole", whole).filter(F.col("before") < SHARE * F.col("whole"))

@@ -2,4 +2,45 @@
 
 from __future__ import annotations
 
+from barwise.llm import licenses
+
 SQL: dict[str, str] = {}
+
+
+def _text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SEPARATOR = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
+
+
+def _low(x: str) -> str:
+    return f"translate({x}, '{_UPPER}', '{_LOWER}')"
+
+
+def _words(x: str) -> str:
+    return f"regexp_extract_all({x}, '[^{_SEPARATOR}]+')"
+
+
+# The pair with no second word is null, which list_distinct leaves out.
+_BIGRAMS = "list_distinct(list_transform(list_zip(w, w[2:]), lambda x: x[1] || ' ' || x[2]))"
+
+
+SQL["op2_license_scan"] = f"""WITH template AS (
+  SELECT name, {_BIGRAMS} AS grams
+  FROM (SELECT name, {_words(_low('body'))} AS w
+        FROM (VALUES {', '.join(f'({_text(n)}, {_text(t)})' for n, t in licenses.TEMPLATES)}) v(name, body))),
+body AS (SELECT doc_id, {_low("coalesce(text, '')")} AS t FROM documents),
+segment AS (
+  SELECT doc_id, unnest(list_distinct(list_concat(string_split(t, chr(10)),
+         string_split_regex(t, '\\n[{_SEPARATOR}]*\\n'), [t]))) AS s FROM body),
+split AS MATERIALIZED (SELECT doc_id, {_words('s')} AS w FROM segment),
+part AS MATERIALIZED (SELECT doc_id, {_BIGRAMS} AS grams FROM split WHERE len(w) > 1),
+scored AS (
+  SELECT doc_id, name, 2.0::DOUBLE * len(list_intersect(part.grams, template.grams)) / (len(part.grams) + len(template.grams)) AS dice
+  FROM part JOIN template ON 2 * least(len(part.grams), len(template.grams)) >= {licenses.THRESHOLD} * (len(part.grams) + len(template.grams))),
+best AS (SELECT doc_id, name, max(dice) AS dice FROM scored WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id, name)
+SELECT d.doc_id, count(b.name) AS n_licenses, coalesce(string_agg(b.name, ',' ORDER BY b.name), '') AS licenses,
+       first(b.name ORDER BY b.dice DESC, b.name) AS best_license, max(b.dice) AS best_dice
+FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id GROUP BY d.doc_id"""

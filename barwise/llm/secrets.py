@@ -12,7 +12,8 @@ How small it must be is decided by false-discovery control. The null
 distribution is that of the corpus's own long letters-only words, taken per
 length class together with the shorter classes (short words look more random,
 so this errs on the safe side); Benjamini-Hochberg over all candidates bounds
-the expected share of ordinary tokens among the reported ones by ``FDR``. One
+the expected share of ordinary tokens among the reported ones by ``FDR``, and
+only tokens that are consistent with randomness are reported at all. One
 pass gathers the two histograms (length class by statistic bin: bounded), a
 second reports. There is no shuffle of texts and no join.
 
@@ -21,6 +22,8 @@ Everything is DataFrame functions; positions are code points.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +41,9 @@ ASSIGN_HINTS = ("passw", "secret", "token", "api")
 
 TOKEN = "[A-Za-z0-9+/_-]{20,}"
 FDR = 0.01
+# A reported token is also one that a test for randomness would pass: chi-squared
+# with three degrees of freedom exceeds this with probability 0.001.
+CONSISTENT = 16.27
 LENGTHS = (20, 28, 40, 64)  # least length of each class
 BINS = 64
 # Alphabets by inferred encoding, the first that holds all characters.
@@ -164,7 +170,7 @@ def null_limits(docs: DataFrame, text: str = "text") -> list[int]:
     grid = grid.withColumn("rank", rank).withColumn("m", F.sum("candidates").over(Window.partitionBy()))
     good = grid.withColumn("cut", F.max(F.when(F.col("p") * F.col("m") <= FDR * F.col("rank"), F.col("p"))).over(Window.partitionBy()))
     got = dict(good.filter("p <= cut and candidates > 0").groupBy("c").agg(F.max("b")).collect())  # a row per class
-    return [got.get(i, -1) for i in range(len(LENGTHS))]
+    return [min(got.get(i, -1), int(math.log1p(CONSISTENT) * 12)) for i in range(len(LENGTHS))]
 
 
 def random_spans(text: Column, base: Column, limits: list[int]) -> Column:
