@@ -612,8 +612,16 @@ def q_vendor_pages(spark, sf):
 
 @query("file_profile")
 def q_file_profile(spark, sf):
+    """Rows of each input file, by its base name."""
     per_file, _ = profile_input(read_table(spark, sf, "lineitem", ["l_orderkey"]))
-    return per_file
+    return per_file.select(F.regexp_extract("file_path", "[^/]+$", 0).alias("file"), "rows")
+
+
+@query("file_sample")
+def q_file_sample(spark, sf):
+    """The first rows of each input file."""
+    _, sample = profile_input(read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"]))
+    return sample.select(F.col("row_index").cast("bigint").alias("row_index"), "l_orderkey", "l_linenumber", "l_quantity")
 
 
 @query("exchange_seed")
