@@ -180,8 +180,8 @@ def symbol_ids(dims: DataFrame, symbols) -> list[tuple[int, str]]:
     """(ticker_id, symbol) of the named symbols: a read of the instrument
     list bounded by the names asked for."""
     syms = [symbols] if isinstance(symbols, str) else list(symbols)
-    rows = dims.where(F.col("symbol").isin(syms)).select("ticker_id", "symbol").distinct()
-    return [(r[0], r[1]) for r in rows.collect()]
+    rows = dims.where(F.col("symbol").isin(syms)).select("ticker_id", "symbol")
+    return sorted({(r[0], r[1]) for r in rows.collect()})
 
 
 def for_symbol(bars: DataFrame, dims: DataFrame, symbols) -> DataFrame:
