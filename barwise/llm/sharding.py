@@ -58,14 +58,17 @@ def walk_length(spark: SparkSession, n: int, seed: int) -> int:
     """How many extra passes bring every number back below n.
 
     Only the domain numbers n..a*b-1 (fewer than sqrt n + 1) can prolong a
-    walk, so following just these to the end gives the exact bound.
+    walk, so following just these gives the exact bound. Those still outside
+    after a step that let none out form closed cycles, which no walk from
+    below n can enter.
     """
     a, b = domain(n)
-    if a * b == n:
-        return 0
-    steps = 1
-    while not spark.range(n, a * b).filter(_walk(F.col("id"), n, seed, steps) >= n).isEmpty():
-        steps += 1
+    left, steps = a * b - n, 0
+    while left:
+        now = spark.range(n, a * b).filter(_walk(F.col("id"), n, seed, steps + 1) >= n).count()
+        if now == left:
+            break
+        left, steps = now, steps + 1
     return steps
 
 
