@@ -6,27 +6,28 @@ digits is a candidate. Its encoding is inferred from the characters it uses,
 its characters become numbers in that alphabet, and three statistics measure
 how far it is from uniform random: chi-squared of the alphabet counts, the
 runs test about the middle, and lag-one serial correlation. Their sum of
-squares is small for random strings.
-
-How small it must be is decided by false-discovery control. The null
-distribution is that of the corpus's own long letters-only words, taken per
-length class together with the shorter classes (short words look more random,
-so this errs on the safe side); Benjamini-Hochberg over all candidates bounds
-the expected share of ordinary tokens among the reported ones by ``FDR``, and
-only tokens that are consistent with randomness are reported at all. One
-pass gathers the two histograms (length class by statistic bin: bounded), a
-second reports. There is no shuffle of texts and no join.
+squares is small for random strings, and a token that a test for randomness
+would reject is never reported.
+
+In 20 to 30 characters many ordinary tokens pass that test too. So a token
+must also be unlike ordinary ones: its mean cost under a fixed model of
+letter pairs must exceed what all but a share ``LEVEL`` of ordinary tokens of
+its own length and case cost. Hexadecimal tokens have no words to tell them
+by; there the battery must be below that of all but a share ``HEX_LEVEL`` of
+ordinary ones. Model and limits are fixed seeded samples (``ordinary``), so a
+token is judged alike in every corpus: the bound is on the share of ordinary
+tokens that are reported, not on their share among the reported.
+There is one pass, no shuffle and no join.
 
 Everything is DataFrame functions; positions are code points.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barwise.llm import ordinary
 from barwise.llm.textstats import let
 
 KINDS = ("assign", "access", "hex", "random")
@@ -40,12 +41,9 @@ HEX = "[0-9a-f]{24,}"
 ASSIGN_HINTS = ("passw", "secret", "token", "api")
 
 TOKEN = "[A-Za-z0-9+/_-]{20,}"
-FDR = 0.01
 # A reported token is also one that a test for randomness would pass: chi-squared
 # with three degrees of freedom exceeds this with probability 0.001.
 CONSISTENT = 16.27
-LENGTHS = (20, 28, 40, 64)  # least length of each class
-BINS = 64
 # Alphabets by inferred encoding, the first that holds all characters.
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 ALPHABETS = (("[0-9a-f]+", DIGITS + LOWER[:6]), ("[0-9A-F]+", DIGITS + UPPER[:6]), ("[A-Z2-7]+", UPPER + DIGITS[2:8]),
@@ -140,58 +138,48 @@ def _alphabet(token: Column) -> Column:
 
 def _class(token: Column) -> Column:
     out = F.lit(0)
-    for i, least in enumerate(LENGTHS[1:], 1):
+    for i, least in enumerate(ordinary.LENGTHS[1:], 1):
         out = F.when(F.char_length(token) >= least, F.lit(i)).otherwise(out)
     return out
 
 
-def _bin(q: Column) -> Column:
-    return F.least(F.floor(F.log1p(q) * 12), F.lit(BINS - 1)).cast("int")
+def cost(token: Column) -> Column:
+    """Mean bits per neighbouring pair under the model of ordinary tokens (length 2 or more)."""
+    table = F.split(F.lit(",".join(map(repr, ordinary.bits()))), ",").cast("array<double>")
+    at = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ordinary.CHARS), c) - 1)
+    symbols = F.transform(at, lambda i: F.when(i < 52, i).when(i < 62, F.lit(52)).otherwise(F.lit(53)))
+    pairs = let(symbols, lambda x: F.transform(F.slice(x, 2, F.size(x) - 1), lambda b, i: F.get(table, F.get(x, i) * ordinary.SYMBOLS + b)))
+    return F.aggregate(pairs, F.lit(0.0), lambda s, v: s + v) / (F.char_length(token) - 1)
 
 
 _MIXED = "(?s)(?=.*[0-9])(?=.*[A-Za-z])"
+_HEX = "^([0-9a-f]+|[0-9A-F]+)$"
 
 
-def null_limits(docs: DataFrame, text: str = "text") -> list[int]:
-    """For each length class the largest statistic bin that is reported, -1 for none."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    tokens = docs.select(F.explode(F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0))).alias("t"))
-    mixed, letters = F.col("t").rlike(_MIXED), F.col("t").rlike("^[A-Za-z]+$")
-    tokens = tokens.filter(mixed | letters).withColumn("mixed", mixed)
-    # A capital first letter is orthography: ordinary words are measured in lower case.
-    q = battery(F.when(F.col("mixed"), F.col("t")).otherwise(F.lower("t")), F.when(F.col("mixed"), _alphabet(F.col("t"))).otherwise(F.lit(LOWER)))
-    cells = tokens.groupBy(_class(F.col("t")).alias("c"), _bin(q).alias("b")).agg(
-        F.sum(F.when(F.col("mixed"), 0).otherwise(1)).alias("words"), F.sum(F.when(F.col("mixed"), 1).otherwise(0)).alias("candidates"))
-    # At most 4 x 64 rows from here on. p of (class, bin): share of the words of this class or a shorter one up to the bin.
-    grid = cells.alias("x").join(cells.alias("y"), F.col("y.c") <= F.col("x.c")).groupBy("x.c", "x.b", "x.candidates").agg(
-        F.sum(F.when(F.col("y.b") <= F.col("x.b"), F.col("y.words")).otherwise(0)).alias("below"), F.sum("y.words").alias("all"))
-    grid = grid.withColumn("p", (1 + F.col("below")) / (1 + F.col("all")))
-    rank = F.sum("candidates").over(Window.orderBy("p").rangeBetween(Window.unboundedPreceding, 0))
-    grid = grid.withColumn("rank", rank).withColumn("m", F.sum("candidates").over(Window.partitionBy()))
-    good = grid.withColumn("cut", F.max(F.when(F.col("p") * F.col("m") <= FDR * F.col("rank"), F.col("p"))).over(Window.partitionBy()))
-    got = dict(good.filter("p <= cut and candidates > 0").groupBy("c").agg(F.max("b")).collect())  # a row per class
-    return [min(got.get(i, -1), int(math.log1p(CONSISTENT) * 12)) for i in range(len(LENGTHS))]
-
-
-def random_spans(text: Column, base: Column, limits: list[int]) -> Column:
-    """Candidates within the limits that touch no base span."""
-    limit = F.array(*[F.lit(x) for x in limits])
-    fits = lambda s: s["token"].rlike(_MIXED) & (_bin(battery(s["token"], _alphabet(s["token"]))) <= F.get(limit, _class(s["token"])))
+def is_random(token: Column) -> Column:
+    """Whether a candidate passes the battery and is unlike ordinary tokens of its length."""
+    limit = lambda x: F.get(F.array(*[F.lit(v) for v in x]), _class(token))
+    both = token.rlike("[a-z]") & token.rlike("[A-Z]")
+    unlike = token.rlike(_HEX) | (cost(token) > F.when(both, limit(ordinary.MIXED)).otherwise(limit(ordinary.SINGLE)))
+    most = F.when(token.rlike(_HEX), F.least(limit(ordinary.HEX), F.lit(CONSISTENT))).otherwise(F.lit(CONSISTENT))
+    return token.rlike(_MIXED) & unlike & (battery(token, _alphabet(token)) <= most)
+
+
+def random_spans(text: Column, base: Column) -> Column:
+    """Random candidates that touch no base span."""
     free = lambda s: ~F.exists(base, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
-    return F.filter(_matches(text, TOKEN, 3), lambda s: fits(s) & free(s))
+    return F.filter(_matches(text, TOKEN, 3), lambda s: free(s) & is_random(s["token"]))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``_base`` and ``_spans``: arrays of (start, kind, end, token), by start, then kind.
 
     A null text counts as empty. Texts of any length are scanned whole.
-    Repeated rows and equal ids are scanned each for itself. Without any
-    long letters-only word the null is empty and nothing is added.
+    Repeated rows and equal ids are scanned each for itself.
     """
-    limits = null_limits(docs, text)
     t = F.coalesce(F.col(text), F.lit(""))
     docs = docs.withColumn("_base", base_spans(t))
-    return docs.withColumn("_spans", F.array_sort(F.concat("_base", random_spans(t, F.col("_base"), limits))))
+    return docs.withColumn("_spans", F.array_sort(F.concat("_base", random_spans(t, F.col("_base")))))
 
 
 def joined(spans: str) -> Column:

@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from barwise.llm import ordinary
 from barwise.llm import secrets as sc
 
 from .helpers import docs, odd_texts, prose
@@ -95,3 +96,30 @@ def test_redaction(spark):
     got = [(str(r.doc_id), r.text) for r in out.collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert all(r.n_chars == len(r.text or "") for r in out.collect())
+
+
+def keys(rng, chars, n, many):
+    return ["".join(rng.choice(chars) for _ in range(n)) for _ in range(many)]
+
+
+B62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+ORDINARY = ["user_profile_image_2024_large", "getElementById2AndReturnValue", "src/main/java/com/example/App2", "Geschwindigkeit100Begrenzung", "2024-12-04-report-final-version"]
+
+
+def test_random_tokens_do_not_depend_on_the_corpus(spark):
+    key = "q7RzK2vXw9LmB4tYc8HsJ3pD"
+    alone = sc.report(docs(spark, [(1, f"see {key} here")])).first().spans
+    words = [(i + 2, " ".join(ORDINARY)) for i in range(50)]
+    among = {r.doc_id: r.spans for r in sc.report(docs(spark, [(1, f"see {key} here")] + words)).collect()}
+    assert alone == among[1] == f"random:4:{4 + len(key)}"
+    assert not any(among[i] for i, _ in words)
+
+
+def test_limits_and_cost_are_those_of_the_model(spark):
+    for i in (0, 4):
+        n = ordinary.LENGTHS[i]
+        got = (ordinary.cost_limit(n, False), ordinary.cost_limit(n, True), ordinary.hex_limit(n))
+        assert all(abs(a - b) <= 0.011 for a, b in zip(got, (ordinary.SINGLE[i], ordinary.MIXED[i], ordinary.HEX[i])))
+    tokens = ORDINARY + ["aB3+/_-Zz9" * 3]
+    got = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", sc.cost(F.col("t")).alias("c")).collect()
+    assert all(abs(r.c - ordinary.cost(r.t)) < 1e-9 for r in got)
