@@ -123,3 +123,19 @@ def test_limits_and_cost_are_those_of_the_model(spark):
     tokens = ORDINARY + ["aB3+/_-Zz9" * 3]
     got = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", sc.cost(F.col("t")).alias("c")).collect()
     assert all(abs(r.c - ordinary.cost(r.t)) < 1e-9 for r in got)
+
+
+def test_planted_keys_of_every_length_are_found(spark):
+    rng = random.Random(8)
+    letters = [k for k in keys(rng, B62, 20, 4000) if k.isalpha()]
+    sets = {(n, c): keys(rng, chars, n, 100) for n in (20, 24, 32, 40, 48, 64) for c, chars in (("base62", B62), ("base36", B62[26:]))}
+    sets[20, "letters"] = letters[:80]
+    rows = [(n, f"see {k} here", c) for (n, c), many in sets.items() for k in many]
+    got = sc.report(docs(spark, rows).withColumn("doc_id", F.concat(F.col("doc_id").cast("string"), F.when(F.col("lang") == "base62", "1").when(F.col("lang") == "base36", "2").otherwise("3")).cast("long"))).collect()
+    found = {}
+    for r in got:
+        found[r.doc_id] = found.get(r.doc_id, 0) + ("random" in r.spans)
+    for (n, c), many in sets.items():
+        assert found[int(f"{n}{('base62', 'base36', 'letters').index(c) + 1}")] >= (0.85 if n < 32 else 0.95) * len(many), (n, c)
+    plain = ["thisisaverylongidentifier", "internationalization/configuration", "Donaudampfschifffahrtsgesellschaft", "--------------------------"]
+    assert not any(r.spans for r in sc.report(docs(spark, list(enumerate(plain)))).collect())
