@@ -60,19 +60,53 @@ class Templates:
     """Distinct bigrams of each template; templates of fewer than two words never match."""
 
     def __init__(self, templates: Sequence[tuple[str, str]], threshold: float) -> None:
-        self.names, self.sets = [], []
+        self.names, self.sets, self.widths = [], [], []
         for name, text in templates:
             data = np.frombuffer(text.encode(), np.uint8)
             words, _ = word_hashes(data, np.array([0, len(data)]), ALNUM)
             if len(words) > 1:
                 self.names.append(name)
                 self.sets.append(np.unique(_bigrams(words)))
+                self.widths.append(len(words) - 1)
         self.threshold = threshold
         self.vocab = np.unique(np.concatenate(self.sets)) if self.sets else np.zeros(0, np.uint64)
         self.least = min((len(s) for s in self.sets), default=0)
         self.need = threshold * self.least / (2 - threshold)  # shared bigrams of any match
         self.most = (2 - threshold) / threshold * max((len(s) for s in self.sets), default=0)
 
+    def windows(self, grams: np.ndarray, found: dict[str, float], parts: list[tuple[int, int, str]]) -> Iterator[tuple[float, str]]:
+        """(best Dice, name) of the templates outside ``found`` that a window of the text matches.
+
+        Widest first; what a template matched (``parts``: segments and their
+        templates, windows) from its first to its last bigram is no other one's window.
+        """
+        taken = np.zeros(len(grams) + 1, bool)
+        wants = dict(zip(self.names, self.sets))
+        for a, b, name in parts:
+            at = a + np.flatnonzero(np.isin(grams[a:b], wants[name]))
+            taken[at[0]:at[-1] + 1] = True
+        for k in sorted(range(len(self.names)), key=lambda k: -self.widths[k]):
+            name, want, width = self.names[k], self.sets[k], self.widths[k]
+            if name in found:
+                continue
+            slot = np.minimum(np.searchsorted(want, grams), len(want) - 1)
+            mine = (want[slot] == grams) & ~taken[:-1]
+            count = np.concatenate(([0], np.cumsum(mine)))
+            start = np.flatnonzero(mine)
+            stop = np.minimum(start + width, len(grams))
+            # Twice the shared over the sum: a window has at least as many distinct bigrams as it shares.
+            start, stop = (x[(2 - self.threshold) * (count[stop] - count[start]) >= self.threshold * len(want)] for x in (start, stop))
+            best = 0.0
+            for a, b in zip(start.tolist(), stop.tolist()):
+                have = np.unique(grams[a:b])
+                both = len(np.intersect1d(have, want, assume_unique=True))
+                dice = 2 * both / (len(have) + len(want))
+                if dice >= self.threshold:
+                    taken[a:b] = True
+                best = max(best, dice)
+            if best >= self.threshold:
+                yield best, name
+
     def matches(self, segment: np.ndarray) -> list[tuple[float, str]]:
         """(Dice, name) of the templates that the segment (all its bigrams) matches."""
         have = np.unique(segment)
@@ -89,6 +123,7 @@ class Templates:
 def _scan(data: np.ndarray, offs: np.ndarray, t: Templates) -> list[dict[str, float]]:
     """Per text the best Dice of each matching template."""
     found: list[dict[str, float]] = [{} for _ in offs[:-1]]
+    parts: dict[int, list[tuple[int, int, str]]] = {}
     breaks = np.flatnonzero(data == 10) + 1
     bounds = np.unique(np.concatenate([offs, breaks]))
     words, first = word_hashes(data, bounds, ALNUM)
@@ -113,6 +148,11 @@ def _scan(data: np.ndarray, offs: np.ndarray, t: Templates) -> list[dict[str, fl
     for a, b, d in np.unique(pieces[shared >= t.need], axis=0).tolist():
         for dice, name in t.matches(grams[a:b - 1]):
             found[d][name] = max(dice, found[d].get(name, 0))
+            parts.setdefault(d, []).append((a - doc_word[d], b - 1 - doc_word[d], name))
+    last = np.maximum(doc_word[1:] - 1, doc_word[:-1])
+    for d in np.flatnonzero(hits[last] - hits[doc_word[:-1]] >= t.need).tolist():
+        for dice, name in list(t.windows(grams[doc_word[d]:last[d]], found[d], parts.get(d, []))):
+            found[d][name] = dice
     return found
 
 

@@ -49,3 +49,15 @@ def test_matches_equal_brute_force(spark):
     assert sorted((str(r.doc_id), r.n_licenses, r.licenses, r.best_license, r.best_dice) for r in got) == want
     assert sum(r.n_licenses > 0 for r in got) > 30
     assert lc.scan(docs(spark, [])).collect() == []
+
+
+def test_notices_across_paragraphs_and_inside_lines(spark):
+    full = dict(lc.TEMPLATES)
+    apache = full["apache-2.0-notice"].replace(" http://", "\n\n   http://").replace("LICENSE-2.0 Unless", "LICENSE-2.0\n\nUnless")
+    gpl = full["gpl-3.0-notice"].replace("version. This", "version.\n\nThis")
+    code = "import os\n\n" + prose(random.Random(4), 200)
+    rows = [(1, f"{code}\n\n{apache}\n\n{code}", "apache-2.0-notice"), (2, f"{code}\n\n{gpl}\n\n{code}", "gpl-3.0-notice"),
+            (3, "Copyright 2020 Example Corp. All rights reserved.", "all-rights-reserved"),
+            (4, "This small tool was written in a week and is Released under the MIT License. Have fun with it.", "mit"), (5, code, "")]
+    got = {r.doc_id: r.licenses.split(",") for r in lc.scan(docs(spark, rows)).collect()}
+    assert all(want in got[i] for i, _, want in rows) and got[5] == [""]
