@@ -2,7 +2,7 @@
 
 1. Every text's distinct word shingles give a set key (128-bit digest of the
    sorted hashes) and SetSketch registers. Texts with one set key are one
-   class; only the class's smallest doc_id goes on, so copies never meet.
+   class and one node, however many rows and ids it has; copies never meet.
 2. Bands of register values are hashed to buckets. At similarity 0.8 a pair
    shares none of the 40 bands of 5 with probability 1.2e-7.
 3. Members of a bucket are compared by likelihood estimate with its hub, the
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwise.llm import setsketch as ss
@@ -45,8 +45,8 @@ BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 2_000_000, 4096
 
 
 def sketch(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, key (null for an empty set), regs."""
-    schema = "doc_id long, n_shingles long, key binary, regs binary"
+    """doc_id, n_shingles, key (null for an empty set), regs, mark (of the text)."""
+    schema = "doc_id long, n_shingles long, key binary, regs binary, mark long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -58,14 +58,14 @@ def sketch(docs: DataFrame, shingle: int) -> DataFrame:
                         for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array(n), pa.array(keys, pa.binary()),
-                     pa.array([r.tobytes() for r in regs], pa.binary())],
-                    names=["doc_id", "n_shingles", "key", "regs"])
+                     pa.array([r.tobytes() for r in regs], pa.binary()), b.column(2).slice(i, j - i)],
+                    names=["doc_id", "n_shingles", "key", "regs", "mark"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(run, schema)
 
 
 def sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """node (doc_id), els: the full shingle sets."""
+    """node, els: the full shingle sets of ``docs`` (node, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, offs in text_parts(b.column(1), PART_BYTES):
@@ -73,7 +73,7 @@ def sets(docs: DataFrame, shingle: int) -> DataFrame:
                 els = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(elements.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), els], names=["node", "els"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "node long, els array<long>")
+    return docs.select("node", "text").mapInArrow(run, "node long, els array<long>")
 
 
 def buckets(classes: DataFrame) -> DataFrame:
@@ -245,23 +245,16 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("y").alias("node"), F.col("y").alias("comp")).distinct())
 
 
-def classify(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, key: one row per document.
-
-    Two documents are linked if 100 * |common shingles| >= percent * |all
-    shingles|; component_id is the smallest doc_id reachable, itself included,
-    and kept says whether that is the document's own.
-
-    Null, empty and wordless texts have no shingles and are linked with
-    nothing. A document without an id can't be a representative: it joins the
-    component of equal texts that have one, else component_id is null and it is
-    kept. Rows that repeat an id are one node. Empty tables give no rows.
-    """
+def _classified(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, key, mark, component_id (null without any id), group: a row per document."""
     sketched = stored(sketch(docs, shingle), "sketch")
-    reps = sketched.filter("n_shingles > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
-    reps = stored(reps, "reps")
-    classes = sketched.withColumnRenamed("doc_id", "rep").join(reps, ["key", "rep"], "left_semi")
-    classes = stored(classes.select("rep", "n_shingles", "regs"), "classes")
+    reps = sketched.filter("n_shingles > 0").groupBy("key").agg(
+        F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"))
+    # A class's node is its smallest id; where another class has that too, or there is none, a hash of its key.
+    turn = F.row_number().over(Window.partitionBy("rep").orderBy("key"))
+    named = reps.filter("rep is not null").withColumn("node", F.when(turn == 1, F.col("rep")).otherwise(F.xxhash64("key")))
+    reps = stored(named.unionByName(reps.filter("rep is null").withColumn("node", F.xxhash64("key"))), "reps")
+    classes = stored(reps.select(F.col("node").alias("rep"), "n_shingles", "regs"), "classes")
 
     # Members of buckets with two nodes or more, and the size of their bucket.
     banded = buckets(classes)
@@ -285,26 +278,62 @@ def classify(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     # Step 4: all pairs of a cluster on the full sets.
     weighed = clusters.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node")
     size = weighed.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"))
-    full_sets = sets(docs.select(F.col("doc_id").cast("long"), "text").join(clusters.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), shingle)
+    # One row of each class gives its set.
+    one = reps.join(clusters.select("node"), "node", "left_semi").select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark")).alias("d")
+    rows = texts.join(one.alias("o"), F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("d.mark") == F.col("o.mark")))
+    rows = rows.select("o.node", "d.text").groupBy("node").agg(F.min("text").alias("text"))
+    full_sets = sets(rows, shingle)
     checked = _dealt(clusters, "comp", size).select("g", "node").join(full_sets, "node").select("g", "node", "els")
     comps = components(stored(_edges(checked, _exact(percent)).distinct(), "links"))
 
-    named = reps.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("comp", "rep").alias("component"))
-    out = sketched.drop("regs").join(named, "key", "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "key")
+    placed = reps.join(comps, "node", "left").select("key", "rep", F.coalesce("comp", "node").alias("group"))
+    least = placed.groupBy("group").agg(F.min("rep").alias("component"))
+    placed = placed.join(least, "group").select("key", "group", "component")
+    out = sketched.drop("regs").join(placed, "key", "left")
+    return out.select("doc_id", "n_shingles", "key", "mark", "group", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+
+
+def classify(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, key: one row per document.
+
+    Two documents are linked if 100 * |common shingles| >= percent * |all
+    shingles|; component_id is the smallest doc_id reachable, itself included,
+    and kept says whether that is the document's own.
+
+    Null, empty and wordless texts have no shingles and are linked with
+    nothing. Documents without an id are compared like others but represent
+    nothing: component_id is null, and kept true, where none of the component
+    has an id. Texts are linked, not ids: rows that repeat an id with
+    different texts may be in different components.
+    """
+    out = _classified(docs, shingle, percent)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "key")
 
 
 def drop_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The documents with one of each near-duplicate group kept, all columns as they were.
 
-    Rows that repeat both id and text are one document: one of them stays.
-    Rows without an id that equal no other text all stay.
+    That is the one with the smallest id; one without an id only where none
+    has any. Rows that repeat both id and text are one document: one of them
+    stays. Rows without shingles and without an id all stay.
     """
-    gone = classify(docs, shingle, percent).filter("not kept").select("doc_id").distinct()
+    found = _classified(docs, shingle, percent).filter("key is not null")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    first = found.groupBy("group").agg(F.min(row).alias("first"))
+    gone = found.join(first, "group").filter(~row.eqNullSafe(F.col("first"))).select("doc_id", "mark").distinct()
+    bare = found.filter("doc_id is null").select("mark").distinct()
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    whole = docs.select(F.struct(*cols).alias("doc"), F.col("doc_id").cast("long").alias("id"), "text", F.xxhash64("text").alias("mark"))
+    # Repeated rows: with an id by id and text, without one only where the text has shingles.
+    again = whole.filter("id is not null").groupBy("id").count().filter("count > 1").select("id")
     if not again.isEmpty():
-        once = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*cols)
-        docs = docs.join(again, "doc_id", "left_anti").select(*cols).unionByName(once)
-    return docs.join(gone, "doc_id", "left_anti").select(*cols)
+        once = whole.join(again, "id", "left_semi").dropDuplicates(["id", "text"])
+        whole = whole.filter("id is null").unionByName(whole.filter("id is not null").join(again, "id", "left_anti")).unionByName(once)
+    if not bare.isEmpty():
+        nameless = whole.filter("id is null")
+        once = nameless.join(bare, "mark", "left_semi").dropDuplicates(["text"])
+        whole = whole.filter("id is not null").unionByName(nameless.join(bare, "mark", "left_anti").select(*whole.columns)).unionByName(once.select(*whole.columns))
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark"))
+    left = whole.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("mark") == F.col("gone_mark")), "left_anti")
+    return left.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])

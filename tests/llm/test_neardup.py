@@ -92,3 +92,24 @@ def test_sketches_merge_and_estimate():
     assert (ss.merge(sk(a), sk(b)) == sk(np.unique(x))).all()
     est = ss.similarity(sk(a), sk(b), np.array([500]), np.array([800]))[0]
     assert abs(est - 400 / 900) < 0.15
+
+
+def test_a_row_repeated_often_is_one_node(spark, monkeypatch):
+    rng = random.Random(5)
+    base = prose(rng, 60).split()
+    near = " ".join(base[:-1] + ["other"])
+    sizes = []
+    exact = nd._exact
+    monkeypatch.setattr(nd, "sets", lambda d, k, real=nd.sets: sizes.append(d.count()) or real(d, k))
+    monkeypatch.setattr(nd, "_exact", exact)
+    rows = [(5, " ".join(base))] * 300 + [(6, near)]
+    got = rows_of(nd.classify(docs(spark, rows), 2), "doc_id", "component_id", "kept")
+    assert sizes == [2] and got == [(5, 5, True)] * 300 + [(6, 5, False)]
+
+
+def test_an_id_with_different_texts_keeps_each_text(spark):
+    rng = random.Random(6)
+    a, b = prose(rng, 60), prose(rng, 60)
+    rows = [(5, a), (5, b), (7, a + " tail"), (3, b + " tail")]
+    assert rows_of(nd.classify(docs(spark, rows), 2), "doc_id", "component_id", "kept") == [(3, 3, True), (5, 3, False), (5, 5, True), (7, 5, False)]
+    assert rows_of(nd.drop_copies(docs(spark, rows), 2), "doc_id", "text") == [(3, b + " tail"), (5, a)]
