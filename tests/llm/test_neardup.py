@@ -113,3 +113,12 @@ def test_an_id_with_different_texts_keeps_each_text(spark):
     rows = [(5, a), (5, b), (7, a + " tail"), (3, b + " tail")]
     assert rows_of(nd.classify(docs(spark, rows), 2), "doc_id", "component_id", "kept") == [(3, 3, True), (5, 3, False), (5, 5, True), (7, 5, False)]
     assert rows_of(nd.drop_copies(docs(spark, rows), 2), "doc_id", "text") == [(3, b + " tail"), (5, a)]
+
+
+def test_drop_copies_of_rows_without_an_id(spark):
+    rng = random.Random(7)
+    a, b = prose(rng, 60), prose(rng, 60)
+    rows = [(1, a), (None, a), (None, a + " tail"), (None, b), (None, b), (None, b + " tail"), (None, "lonely text here"), (None, None), (None, "")]
+    left = [(r.doc_id, r.text) for r in nd.drop_copies(docs(spark, rows), 2).collect()]
+    assert (1, a) in left and sum((t or "").startswith(b) for _, t in left) == 1
+    assert sorted(str(t) for _, t in left if not (t or "").startswith(b)) == sorted(["None", "", "lonely text here", a])
