@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwise.llm import bpe, chat, decontamination, langid, licenses, neardup, quality_pu, quality_rules, secrets, sharding
+from barwise.llm import bpe, chat, decontamination, langid, licenses, merkle, neardup, quality_pu, quality_rules, resampling, secrets, sharding, urlrules
 
 SHARDS = 24
 
@@ -74,3 +74,26 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_chat_format")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return chat.repaired(table(spark, sf, "conversations"))
+
+
+# The list of the op13 query: fixed values.
+URL_LIST = [urlrules.Rule("allow", "com", "/"), urlrules.Rule("block", "example.com", "/en/"), urlrules.Rule("allow", "www.example.com", "/en/"),
+            urlrules.Rule("block", "net", "/es/"), urlrules.Rule("block", "net", "/fr/")]
+
+
+@query("op13_url_filter")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row of ``pages``; edge cases as in ``urlrules.judge``."""
+    return urlrules.judge(table(spark, sf, "pages"), URL_LIST)
+
+
+@query("op11_resampling")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row of ``documents`` towards ``benchmark``; edge cases as in ``resampling.resample``."""
+    return resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op12_merkle")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row of ``documents``; edge cases as in ``merkle.verify``."""
+    return merkle.verify(table(spark, sf, "documents"))
