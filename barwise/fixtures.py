@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwise.functions.numeric import round6
+from barwise.functions.orderkey import Part, packed
 from barwise.operators.bars import bars_from_ticks
 from barwise.operators.joins import bounded_broadcast
 from barwise.sources.files import read_table
@@ -69,6 +70,9 @@ def ticks_b(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("l_quantity"), F.col("l_extendedprice"))
 
 
+# Unit prices are cents over whole quantities up to 50, so unequal ones differ by more than 2^-24.
+TICK_ORDER_B = (Part("l_orderkey", 50), Part("l_linenumber", 8), Part("price", 46, 1 << 24))
+
 HOT_REGIONS = ("AFRICA", "AMERICA")
 
 
@@ -97,7 +101,7 @@ def bars_b(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
     vwap = sum(extendedprice) / sum(quantity), to 6 places as vendors give it.
     """
     t = ticks_b_hot(spark, sf_dir) if hot else ticks_b(spark, sf_dir)
-    key = F.struct("l_orderkey", "l_linenumber", "price")
+    key = packed(t.schema, TICK_ORDER_B)
     shares = F.sum("l_quantity")
     dollars = F.sum("l_extendedprice")
     return (t.groupBy("ticker_id", "ts").agg(

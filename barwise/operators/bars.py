@@ -11,22 +11,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-
-def _order_key(order: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
-
+from barwise.functions.orderkey import Part, order_key
 
 def ohlcv_from_ticks(price: str = "price", size: str = "size",
-                     order: Sequence[str] = ("ts",)) -> list[Column]:
+                     order: Sequence[str | Part] = ("ts",), schema: StructType | None = None) -> list[Column]:
     """Aggregate columns that turn trades into one bar.
 
     open / close are the prices at the first / last ``order`` key (T8: the
     key must be unique, add tie-breakers); vwap is dollar volume over share
     volume with a zero guard. The dollar volume is a sum of doubles, as
     wide as the prices come; its last digits depend on the order of the sum.
+
+    With the trades' ``schema``, an order of several columns becomes one
+    fixed-width value (``functions.orderkey``), so the bars are a hash
+    aggregate; without it the order is a struct and Spark sorts the trades.
     """
-    key = _order_key(order)
+    names = [p.column if isinstance(p, Part) else p for p in order]
+    key = order_key(schema, order) if schema is not None else F.struct(*names) if len(names) > 1 else F.col(names[0])
     p = F.col(price)
     dollars = F.sum(p * F.col(size))
     shares = F.sum(F.col(size).cast("bigint"))
@@ -48,14 +51,14 @@ def bar_start(ts: str, width: str) -> Column:
 
 def bars_from_ticks(ticks: DataFrame, width: str = "5 minutes", key: str = "ticker_id",
                     ts: str = "ts", price: str = "price", size: str = "size",
-                    order: Sequence[str] = ("ts",)) -> DataFrame:
+                    order: Sequence[str | Part] = ("ts",)) -> DataFrame:
     """OHLCV bars of ``width`` per instrument from trades.
 
     Output schema: ticker_id, ts (bucket start), open, high, low, close,
     volume, vwap, trade_count.
     """
     t = ticks.withColumn("_bucket", bar_start(ts, width))
-    aggs = ohlcv_from_ticks(price, size, order)
+    aggs = ohlcv_from_ticks(price, size, order, ticks.schema)
     return (t.groupBy(key, "_bucket").agg(*aggs)
             .withColumnRenamed("_bucket", "ts")
             .select(key, "ts", "open", "high", "low", "close", "volume", "vwap", "trade_count"))

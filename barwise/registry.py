@@ -255,8 +255,8 @@ def q_rollup_differs_from_raw(spark, sf):
 def q_bars_subcent_ticks(spark, sf):
     """A14 over prices with fractions of a cent."""
     from barwise.operators.bars import ohlcv_from_ticks
-    aggs = ohlcv_from_ticks("price", "size", ("l_orderkey", "l_linenumber", "price"))
     ticks = fx.ticks_b(spark, sf).withColumn("size", F.col("l_quantity").cast("bigint"))
+    aggs = ohlcv_from_ticks("price", "size", fx.TICK_ORDER_B, ticks.schema)
     return (ticks.groupBy("ticker_id", "ts").agg(*aggs)
             .select("ticker_id", "ts", "high", "low", "volume",
                     round_dec(F.col("vwap") * F.col("volume"), 2).alias("dollars"), "trade_count"))

@@ -15,24 +15,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barwise.functions.orderkey import CAPACITY, Part, is_fixed, packed, parts_of
 from barwise.operators.quality import assert_unique
 
 
-def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None
+def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Part] | None = None
                   ) -> DataFrame:
-    """One row per key: the first by ``order``, or any one without an order.
-
-    A grouped ``min_by`` over the whole row, so duplicates are reduced on the
-    map side (partial aggregation) and a key with a huge number of
-    duplicates never gathers them in one task. Ties in ``order`` are broken
-    by the row itself, so the choice is deterministic.
+    """One row per key: the first by ``order``, ties (or all, without an
+    order) by a hash of the whole row, so the choice is the same whatever the
+    partitions.
+
+    A grouped ``min_by`` of each column over one fixed-width key
+    (``functions.orderkey``): a hash aggregate, reduced on the map side, so a
+    key with a huge number of duplicates never gathers them in one task.
+    Leading order columns go in as long as 40 bits are left for the hash.
+    Rows with columns of no fixed width (text) are compared as structs
+    instead, by the whole order and then by the row; Spark sorts these.
     """
     keys = list(keys)
-    if not order:
-        return batch.dropDuplicates(keys)
     rest = [c for c in batch.columns if c not in keys]
+    schema = batch.schema
+    if not rest:
+        return batch.dropDuplicates(keys)
+    if all(is_fixed(schema[c].dataType) for c in rest):
+        lead: list[str | Part] = []
+        for p in order or ():
+            wider = parts_of(schema, [*lead, p])
+            if wider is None or sum(w.bits + 1 for w in wider) > CAPACITY - 40:
+                break
+            lead.append(p)
+        rank = packed(schema, lead, F.xxhash64(*rest))
+        first = batch.withColumn("_rank", rank).groupBy(*keys).agg(*[F.min_by(c, "_rank").alias(c) for c in rest])
+        return first.select(*batch.columns)
     row = F.struct(*[F.col(c) for c in rest])
-    rank = F.struct(*[F.col(c) for c in order], row)
+    rank = F.struct(*[F.col(p.column if isinstance(p, Part) else p) for p in order or ()], row)
     return (batch.groupBy(*keys).agg(F.min_by(row, rank).alias("_first"))
             .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest])
             .select(*batch.columns))

@@ -27,7 +27,7 @@ from barwise.plans.rollup import refresh_daily
 from barwise.session import scratch_path
 from barwise.sinks.layout import assign_month, cluster
 from barwise.sinks.market_data import read_or_none
-from barwise.sinks.merge import new_rows
+from barwise.sinks.merge import first_per_key, new_rows
 
 KEYS = ["ticker_id", "ts"]
 
@@ -45,7 +45,7 @@ def apply_batch(batch: DataFrame, fact_path: str, rollup_path: str, start: str,
     """Insert new bars into the fact table and refresh touched session months.
     Returns the refreshed months."""
     spark = batch.sparkSession
-    b = assign_month(batch.dropDuplicates(KEYS), start, end)
+    b = assign_month(first_per_key(batch, KEYS), start, end)
     # Partition months the batch writes to: bounded by the calendar.
     parts = [r.month for r in b.select("month").distinct().collect()]
     fact = read_or_none(spark, fact_path)
