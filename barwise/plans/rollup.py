@@ -14,14 +14,15 @@ import posixpath
 from collections.abc import Sequence
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwise.functions.timefn import (NEW_YORK, hhmm_to_minute, local_date, month_key,
                                       session_date)
 from barwise.operators.bars import ohlcv_from_bars
 from barwise.operators.filters import for_symbol, regular_hours, time_range
-from barwise.sinks.layout import cluster, drop_partitions, write_partitioned
+from barwise.sinks.layout import cluster
+from barwise.sinks.tables import PlainTable, open_table, read_table_at
 
 DAILY_COLS = ["ticker_id", "session_date", "open", "high", "low", "close", "volume", "vwap",
               "trade_count"]
@@ -72,11 +73,12 @@ def _clustered(daily: DataFrame) -> DataFrame:
     return cluster(daily, part="month", key="ticker_id", ts="session_date")
 
 
-def build_daily(bars: DataFrame, path: str, **kw) -> None:
+def build_daily(bars: DataFrame, path: str | PlainTable, **kw) -> None:
     """M1/M2: write the full rollup, partitioned by session month. The stored
-    table is replaced whole, months without bars included."""
-    d = _with_month(rollup(bars, **kw))
-    write_partitioned(_clustered(d), path, mode="truncate")
+    table is replaced whole, months without bars included. It is staged first,
+    so a lost job leaves the old table; a versioned table changes at once."""
+    table = open_table(bars.sparkSession, path)
+    table.publish(table.stage(_clustered(_with_month(rollup(bars, **kw)))), "truncate")
 
 
 def _location(uri: str) -> tuple[str, str]:
@@ -95,17 +97,18 @@ def reads_from(df: DataFrame, path: str) -> bool:
     return False
 
 
-def refresh_daily(bars: DataFrame, path: str, months: Sequence[str], **kw) -> None:
+def refresh_daily(bars: DataFrame, path: str | PlainTable, months: Sequence[str], **kw) -> None:
     """M3: recompute the listed session months from bars and replace only
-    those partitions (dynamic overwrite). The rollup is computed from bars,
-    never from the table being replaced; reading and overwriting the same
-    files in one job is refused.
+    those partitions; listed months without bars go. The rollup is computed
+    from bars, never from the table being replaced (refused), and staged
+    first, so a lost job leaves the old table.
 
     Bars are read one day on either side of each month, so sessions whose
     UTC bars straddle a month edge are complete; then only session dates in
     the months are kept.
     """
-    if reads_from(bars, path):
+    table = open_table(bars.sparkSession, path)
+    if reads_from(bars, table.path):
         raise ValueError("refresh_daily: bars are read from the table being refreshed")
     months = sorted(set(months))
     if not months:
@@ -124,15 +127,11 @@ def refresh_daily(bars: DataFrame, path: str, months: Sequence[str], **kw) -> No
             around |= {name, f"{y - (m == 1)}-{(m + 10) % 12 + 1:02d}", f"{y + (m == 12)}-{m % 12 + 1:02d}"}
         near = near.where(F.col("month").isin(sorted(around) + ["default"]))
     d = _with_month(rollup(near, **kw)).where(F.col("month").isin(months))
-    wrote = Observation("refresh_daily")
-    d = _clustered(d).observe(wrote, F.collect_set("month").alias("months"))
-    write_partitioned(d, path, mode="overwrite")
-    # A dynamic overwrite leaves months alone for which nothing was written.
-    drop_partitions(bars.sparkSession, path, "month", sorted(set(months) - set(wrote.get["months"] or [])))
+    table.publish(table.stage(_clustered(d)), "overwrite", drop=months)
 
 
-def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_rollup(spark: SparkSession, path: str | PlainTable) -> DataFrame:
+    return read_table_at(spark, path)
 
 
 def compare(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -11,11 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from barwise.functions.orderkey import Part
 from barwise.functions.timefn import month_key
 from barwise.operators.filters import in_range_cond
 from barwise.operators.joins import bounded_broadcast
-from barwise.operators.quality import assert_unique, check_bars
+from barwise.operators.quality import bar_rules, violations
 from barwise.sinks.merge import first_per_key
+from barwise.sinks.tables import PlainTable, VersionedTable, open_table, read_table_at
 
 DEFAULT_PARTITION = "default"
 
@@ -105,76 +107,99 @@ def drop_partitions(spark: SparkSession, path: str, part: str, values) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def load_bars(bars: DataFrame, dims: DataFrame, path: str, start, end,
+def load_bars(bars: DataFrame, dims: DataFrame, path: str | PlainTable, start, end,
               mode: str = "overwrite", partitions: int | None = None,
               on_duplicate: str = "fail", report: dict | None = None,
               by_day: bool = False, on_bad: str = "keep") -> DataFrame:
     """Bulk load vendor bars into the month-partitioned fact (K2, K3, K6).
 
     Symbols are resolved with a broadcast-checked join, unknown symbols are
-    dropped (P13), rows are routed to months (K5), clustered (K6) and
-    written. A (ticker_id, ts) key seen twice fails the load like the first
-    loader's primary key (``on_duplicate="fail"``), or keeps the first row
-    by the remaining columns like the second loader's DO NOTHING
-    (``"first"``). With ``mode="append"`` the keys already stored in the
-    touched months count as well: ``"fail"`` refuses the load, ``"first"``
-    adds only new keys. ``mode="truncate"`` replaces the whole table,
-    ``"overwrite"`` the months present. Rows that break the bar rules are
-    kept, refused (``on_bad="fail"``) or left out (``"drop"``).
-    Returns the per-month row counts of what was written
-    (K9), read back from the table. A ``report`` dict is filled with the
-    load counters (attempted, unknown_symbols, loaded, default_partition),
-    observed while the write runs, without a second pass over the input.
+    dropped (P13), rows are routed to months (K5), clustered (K6) and staged;
+    the table changes only once the staged rows have passed the checks
+    (``sinks.tables``; ``path`` may be a table, such as a versioned one). A
+    (ticker_id, ts) key seen twice fails the load like the first loader's
+    primary key (``on_duplicate="fail"``), or keeps the first row by open
+    price like the second loader's DO NOTHING (``"first"``). With
+    ``mode="append"`` the keys already stored in the staged months count as
+    well: ``"fail"`` refuses the load, ``"first"`` adds only new keys.
+    ``mode="truncate"`` replaces the whole table, ``"overwrite"`` the months
+    present. Rows that break the bar rules are kept, refused
+    (``on_bad="fail"``) or left out (``"drop"``). A refused load raises
+    ValueError and leaves the table as it was.
+
+    The input is scanned once: rows are reduced per key by a hash aggregate
+    that counts duplicates and bad rows on the way, and the range exchange
+    samples that aggregate's output. The counters are observed while the rows
+    are written. Returns the per-month row counts of what was written (K9),
+    read back from the table. A ``report`` dict is filled with the counters
+    attempted, unknown_symbols, loaded, default_partition, duplicates and
+    bad_rows.
     """
     if on_duplicate not in ("fail", "first"):
         raise ValueError("on_duplicate must be 'fail' or 'first'")
     if on_bad not in ("keep", "fail", "drop"):
         raise ValueError("on_bad must be 'keep', 'fail' or 'drop'")
     spark = bars.sparkSession
+    table = open_table(spark, path)
+    out, seen = checked_rows(bars, dims, start, end, partitions, by_day, on_bad)
+    parts = ["month", "day"] if by_day else ["month"]
+    staged = table.stage(out, parts)
+    counts = seen.get
+    stop = None
+    if on_bad == "fail" and counts["bad_rows"]:
+        stop = f"load_bars: {counts['bad_rows']} rows break the bar rules"
+    elif on_duplicate == "fail" and counts["duplicates"]:
+        stop = f"load_bars: {counts['duplicates']} duplicate keys ['ticker_id', 'ts'] in batch"
+    elif mode == "append" and table.exists():
+        rows, keys = table.staged_rows(staged), ["ticker_id", "ts"]
+        stored = table.read().where(F.col("month").isin(staged.parts)).select(*keys)
+        if not stored.join(rows.select(*keys), keys, "left_semi").isEmpty():
+            if on_duplicate == "fail":
+                stop = "load_bars: keys are already stored"
+            else:
+                fresh = table.stage(cluster(rows.join(stored, keys, "left_anti").select(*rows.columns), part=parts, partitions=partitions), parts)
+                table.discard(staged)
+                staged = fresh
+    if stop:
+        table.discard(staged)
+        raise ValueError(stop)
+    table.publish(staged, mode)
+    if report is not None:
+        report.update(counts)
+    return table.read().groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def checked_rows(bars: DataFrame, dims: DataFrame, start, end, partitions: int | None = None, by_day: bool = False,
+                 on_bad: str = "keep") -> tuple[DataFrame, Observation]:
+    """(the rows of a load, clustered, one per key; the counters, known once they are written)."""
     d = bounded_broadcast(dims.select("symbol", "ticker_id"))
     b = (bars.join(d, "symbol", "left")
          .select("ticker_id", F.col("timestamp").alias("ts"), "open", "high", "low", "close",
                  "volume", "vwap", F.col("trade_count").cast("bigint").alias("trade_count")))
     known = F.col("ticker_id").isNotNull()
-    if on_bad != "keep":
-        good, bad = check_bars(b.where(known))
-        if on_bad == "fail" and not bad.isEmpty():
-            raise ValueError("load_bars: rows break the bar rules")
-        b = good.select(*b.columns).unionByName(b.where(~known))
-    if mode == "append" and table_exists(spark, path):
-        months = assign_month(b.where(known), start, end).select("month").distinct()
-        touched = [r[0] for r in months.collect()]  # bounded by the calendar
-        stored = spark.read.parquet(path).where(F.col("month").isin(touched)).select("ticker_id", "ts")
-        if on_duplicate == "fail":
-            if not stored.join(b.where(known).select("ticker_id", "ts"), ["ticker_id", "ts"], "left_semi").isEmpty():
-                raise ValueError("load_bars: keys are already stored")
-        else:
-            fresh = b.where(known).join(stored, ["ticker_id", "ts"], "left_anti")
-            b = fresh.select(*b.columns).unionByName(b.where(~known))
-    if on_duplicate == "fail":
-        assert_unique(b.where(known), ["ticker_id", "ts"])
-    else:
-        b = first_per_key(b.where(known), ["ticker_id", "ts"],
-                          ["open", "high", "low", "close", "volume"]).unionByName(b.where(~known))
+    bad = known & (F.size(violations(bar_rules())) > 0)
+    if on_bad == "drop":
+        b = b.where(~bad)
+    # Unknown symbols have a null ticker_id: they are counted and go after the exchange.
+    b = first_per_key(b, ["ticker_id", "ts"], [Part("open", 62)],
+                      [F.count(F.lit(1)).alias("_n"), F.count_if(bad).alias("_bad")])
     b = assign_month(b, start, end)
     parts = ["month"]
     if by_day:
         b, parts = assign_day(b, start, end), ["month", "day"]
     # The counters are observed above the range exchange: below it they
-    # would also be counted by the exchange's sampling job. Unknown-symbol
-    # rows therefore pass the exchange and are dropped right after it.
+    # would also be counted by the exchange's sampling job.
     seen = Observation("load_bars")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     out = (cluster(b, part=parts, partitions=partitions)
-           .observe(seen, F.count(F.lit(1)).alias("attempted"),
-                    F.count_if(~known).alias("unknown_symbols"),
+           .observe(seen, total(F.when(known, 1).otherwise(F.col("_n"))).alias("attempted"),
+                    total(F.when(~known, F.col("_n"))).alias("unknown_symbols"),
                     F.count_if(known).alias("loaded"),
-                    F.count_if(known & (F.col("month") == DEFAULT_PARTITION))
-                    .alias("default_partition"))
-           .where(known))
-    write_partitioned(out, path, part=parts, mode=mode)
-    if report is not None:
-        report.update(seen.get)
-    return spark.read.parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
+                    F.count_if(known & (F.col("month") == DEFAULT_PARTITION)).alias("default_partition"),
+                    total(F.when(known, F.col("_n") - 1)).alias("duplicates"),
+                    total("_bad").alias("bad_rows"))
+           .where(known).drop("_n", "_bad"))
+    return out, seen
 
 
 def write_yearly(bars: DataFrame, path: str, ts: str = "timestamp") -> None:
@@ -186,10 +211,12 @@ def write_yearly(bars: DataFrame, path: str, ts: str = "timestamp") -> None:
      .partitionBy("year").parquet(path))
 
 
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_partitioned(spark: SparkSession, path: str | PlainTable) -> DataFrame:
+    """The stored table: the newest version of a versioned one, else the Parquet folder."""
+    return read_table_at(spark, path)
 
 
 __all__ = ["DEFAULT_PARTITION", "month_bounds", "month_table", "year_windows", "assign_month",
            "assign_day",
-           "cluster", "drop_partitions", "table_exists", "write_partitioned", "load_bars", "write_yearly", "read_partitioned"]
+           "cluster", "drop_partitions", "table_exists", "write_partitioned", "load_bars", "write_yearly", "read_partitioned",
+           "PlainTable", "VersionedTable", "open_table", "checked_rows"]

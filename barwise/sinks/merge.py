@@ -12,15 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwise.functions.orderkey import CAPACITY, Part, is_fixed, packed, parts_of
 from barwise.operators.quality import assert_unique
 
 
-def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Part] | None = None
-                  ) -> DataFrame:
+def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Part] | None = None,
+                  extra: Sequence[Column] = ()) -> DataFrame:
     """One row per key: the first by ``order``, ties (or all, without an
     order) by a hash of the whole row, so the choice is the same whatever the
     partitions.
@@ -31,12 +31,13 @@ def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str | P
     Leading order columns go in as long as 40 bits are left for the hash.
     Rows with columns of no fixed width (text) are compared as structs
     instead, by the whole order and then by the row; Spark sorts these.
+    ``extra`` aggregates over all rows of a key come as further columns.
     """
     keys = list(keys)
     rest = [c for c in batch.columns if c not in keys]
     schema = batch.schema
     if not rest:
-        return batch.dropDuplicates(keys)
+        return batch.groupBy(*keys).agg(*extra) if extra else batch.dropDuplicates(keys)
     if all(is_fixed(schema[c].dataType) for c in rest):
         lead: list[str | Part] = []
         for p in order or ():
@@ -45,13 +46,14 @@ def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str | P
                 break
             lead.append(p)
         rank = packed(schema, lead, F.xxhash64(*rest))
-        first = batch.withColumn("_rank", rank).groupBy(*keys).agg(*[F.min_by(c, "_rank").alias(c) for c in rest])
-        return first.select(*batch.columns)
+        first = batch.withColumn("_rank", rank).groupBy(*keys).agg(*[F.min_by(c, "_rank").alias(c) for c in rest], *extra)
+        return first.select(*batch.columns, *[c for c in first.columns if c not in batch.columns])
     row = F.struct(*[F.col(c) for c in rest])
     rank = F.struct(*[F.col(p.column if isinstance(p, Part) else p) for p in order or ()], row)
-    return (batch.groupBy(*keys).agg(F.min_by(row, rank).alias("_first"))
-            .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest])
-            .select(*batch.columns))
+    first = batch.groupBy(*keys).agg(F.min_by(row, rank).alias("_first"), *extra)
+    more = [c for c in first.columns if c not in (*keys, "_first")]
+    first = first.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest], *more)
+    return first.select(*batch.columns, *more)
 
 
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],
