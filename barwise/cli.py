@@ -1,13 +1,19 @@
 """Command line for the reference's workflow, run as Spark jobs.
 
     python -m barwise seed --constituents c.csv --lake lake/
-    python -m barwise load --input data/ [--glob 'bars_*.parquet'] --lake lake/ [--append]
+    python -m barwise pages --input landed/ --out data/
+    python -m barwise load --input data/ [--glob 'bars_*.parquet'] --lake lake/ [--append | --months]
+    python -m barwise market-data --input data/ --constituents c.csv --lake lake/
+    python -m barwise calendar --lake lake/
     python -m barwise rollup --lake lake/ [--months 2024-11 2024-12]
     python -m barwise validate --lake lake/
     python -m barwise scenario chart --symbol AAPL --start 2024-03-01 --end 2024-04-01 --lake lake/
 
 A lake folder holds ``ticker``, ``sector``, ``industry`` (dimensions),
-``bar_5m`` (month-partitioned bars) and ``bar_1d`` (the stored rollup).
+``bar_5m`` (month-partitioned bars) and ``bar_1d`` (the stored rollup), both
+versioned: a step that fails leaves the version before. A load replaces all
+bars unless told to append or to replace only the months it brings, and stops
+at rows that break the bar rules unless told otherwise.
 Without ``--master`` the session comes from the environment
 (``spark-submit`` or defaults).
 """
@@ -19,14 +25,17 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from barwise.operators import quality as qc
 from barwise.operators import refdata as rd
+from barwise.operators.filters import regular_hours
 from barwise.plans import chart, cross_section, market, movers, rollup, volatility
 from barwise.session import checkpoint_root
 from barwise.sinks import layout
-from barwise.sinks.market_data import read_or_none
-from barwise.sources import read_bars, read_constituents
+from barwise.sinks.market_data import load_market_data, read_or_none
+from barwise.sinks.tables import VersionedTable, read_table_at
+from barwise.sources import normalise_pages, read_bars, read_constituents
 from barwise.sources.seed import exchanges
 
 SCENARIOS = ("chart", "daily", "daily_raw", "cross_section", "movers", "volatility", "market")
@@ -40,7 +49,11 @@ def _session(args) -> SparkSession:
 
 
 def _read(spark, lake: str, name: str):
-    return spark.read.parquet(f"{lake.rstrip('/')}/{name}")
+    return read_table_at(spark, f"{lake.rstrip('/')}/{name}")
+
+
+def _versioned(spark, lake: str, name: str) -> VersionedTable:
+    return VersionedTable(spark, f"{lake.rstrip('/')}/{name}")
 
 
 def cmd_seed(spark, args) -> dict:
@@ -71,26 +84,51 @@ def cmd_seed(spark, args) -> dict:
     return out
 
 
+def cmd_pages(spark, args) -> dict:
+    """Landed vendor pages (one JSON document a file) to one bar file folder per year."""
+    pages = spark.read.option("wholetext", True).text(args.input).withColumnRenamed("value", "page")
+    layout.write_yearly(normalise_pages(pages), args.out)
+    return {"rows": read_bars(spark, args.out, glob="*.parquet").count()}
+
+
 def cmd_load(spark, args) -> dict:
     """load_bars: vendor files to the month-partitioned bar table."""
     bars = read_bars(spark, args.input, glob=args.glob)
     tickers = _read(spark, args.lake, "ticker")
     report: dict = {}
-    layout.load_bars(bars, tickers, f"{args.lake.rstrip('/')}/bar_5m", args.start, args.end,
-                     mode="append" if args.append else "overwrite", report=report,
-                     on_duplicate="first" if args.keep_first else "fail")
+    layout.load_bars(bars, tickers, _versioned(spark, args.lake, "bar_5m"), args.start, args.end,
+                     mode="append" if args.append else "overwrite" if args.months else "truncate", report=report,
+                     on_duplicate="first" if args.keep_first else "fail", on_bad=args.on_bad)
     return report
 
 
+def cmd_market_data(spark, args) -> dict:
+    """The second loader: bars with symbol, name and sector tables of their own."""
+    const = read_constituents(spark, args.constituents)
+    meta = const.select(F.trim("Symbol").alias("symbol"), F.trim("Security").alias("name"), F.trim("GICS Sector").alias("sector"))
+    lake = args.lake.rstrip("/")
+    return load_market_data(read_bars(spark, args.input, glob=args.glob), meta, f"{lake}/market_data", f"{lake}/symbols", args.start, args.end)
+
+
+def cmd_calendar(spark, args) -> dict:
+    """Sessions of the loaded bars' regular hours, upserted into the trading calendar."""
+    path = f"{args.lake.rstrip('/')}/trading_calendar"
+    sessions = rd.sessions_from_bars(regular_hours(_read(spark, args.lake, "bar_5m")))
+    table = rd.refresh_calendar(read_or_none(spark, path), sessions, _read(spark, args.lake, "exchange"))
+    checkpoint_root(spark)
+    table.checkpoint(eager=True).write.mode("overwrite").parquet(path)
+    return {"rows": spark.read.parquet(path).count()}
+
+
 def cmd_rollup(spark, args) -> dict:
     """Build the daily rollup bar_1d, or refresh only some months."""
     bars = _read(spark, args.lake, "bar_5m")
-    path = f"{args.lake.rstrip('/')}/bar_1d"
+    table = _versioned(spark, args.lake, "bar_1d")
     if args.months:
-        rollup.refresh_daily(bars, path, args.months)
+        rollup.refresh_daily(bars, table, args.months)
     else:
-        rollup.build_daily(bars, path)
-    return {"rows": spark.read.parquet(path).count()}
+        rollup.build_daily(bars, table)
+    return {"rows": table.read().count(), "version": table.version()}
 
 
 def cmd_validate(spark, args) -> dict:
@@ -142,9 +180,25 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--lake", required=True)
     s.add_argument("--start", default="2023-01-01")
     s.add_argument("--end", default="2025-01-01")
-    s.add_argument("--append", action="store_true", help="keep existing bars (no truncate)")
+    how = s.add_mutually_exclusive_group()
+    how.add_argument("--append", action="store_true", help="keep existing bars (no truncate)")
+    how.add_argument("--months", action="store_true", help="replace only the months in the input")
+    s.add_argument("--on-bad", choices=("fail", "drop", "keep"), default="fail",
+                   help="rows that break the bar rules")
     s.add_argument("--keep-first", action="store_true",
                    help="keep the first row of a duplicated key instead of failing")
+    s = sub.add_parser("pages")
+    s.add_argument("--input", nargs="+", required=True)
+    s.add_argument("--out", required=True)
+    s = sub.add_parser("market-data")
+    s.add_argument("--input", nargs="+", required=True)
+    s.add_argument("--glob", default=None)
+    s.add_argument("--constituents", required=True)
+    s.add_argument("--lake", required=True)
+    s.add_argument("--start", default="2023-01-01")
+    s.add_argument("--end", default="2025-01-01")
+    s = sub.add_parser("calendar")
+    s.add_argument("--lake", required=True)
     s = sub.add_parser("rollup")
     s.add_argument("--lake", required=True)
     s.add_argument("--months", nargs="*", default=None)
@@ -163,7 +217,8 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-COMMANDS = {"seed": cmd_seed, "load": cmd_load, "rollup": cmd_rollup,
+COMMANDS = {"seed": cmd_seed, "pages": cmd_pages, "load": cmd_load, "market-data": cmd_market_data,
+            "calendar": cmd_calendar, "rollup": cmd_rollup,
             "validate": cmd_validate, "scenario": cmd_scenario}
 
 

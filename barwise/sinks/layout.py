@@ -110,7 +110,7 @@ def drop_partitions(spark: SparkSession, path: str, part: str, values) -> None:
 def load_bars(bars: DataFrame, dims: DataFrame, path: str | PlainTable, start, end,
               mode: str = "overwrite", partitions: int | None = None,
               on_duplicate: str = "fail", report: dict | None = None,
-              by_day: bool = False, on_bad: str = "keep") -> DataFrame:
+              by_day: bool = False, on_bad: str = "fail") -> DataFrame:
     """Bulk load vendor bars into the month-partitioned fact (K2, K3, K6).
 
     Symbols are resolved with a broadcast-checked join, unknown symbols are
@@ -123,8 +123,8 @@ def load_bars(bars: DataFrame, dims: DataFrame, path: str | PlainTable, start, e
     ``mode="append"`` the keys already stored in the staged months count as
     well: ``"fail"`` refuses the load, ``"first"`` adds only new keys.
     ``mode="truncate"`` replaces the whole table, ``"overwrite"`` the months
-    present. Rows that break the bar rules are kept, refused
-    (``on_bad="fail"``) or left out (``"drop"``). A refused load raises
+    present. Rows that break the bar rules are refused (``on_bad="fail"``),
+    left out (``"drop"``) or kept (``"keep"``). A refused load raises
     ValueError and leaves the table as it was.
 
     The input is scanned once: rows are reduced per key by a hash aggregate
@@ -166,11 +166,13 @@ def load_bars(bars: DataFrame, dims: DataFrame, path: str | PlainTable, start, e
     table.publish(staged, mode)
     if report is not None:
         report.update(counts)
+    if not table.exists():  # nothing was loaded yet
+        return spark.createDataFrame([], "month string, rows bigint")
     return table.read().groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def checked_rows(bars: DataFrame, dims: DataFrame, start, end, partitions: int | None = None, by_day: bool = False,
-                 on_bad: str = "keep") -> tuple[DataFrame, Observation]:
+                 on_bad: str = "fail") -> tuple[DataFrame, Observation]:
     """(the rows of a load, clustered, one per key; the counters, known once they are written)."""
     d = bounded_broadcast(dims.select("symbol", "ticker_id"))
     b = (bars.join(d, "symbol", "left")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barwise import schema as S
+from barwise.operators.numbering import number_rows
 from barwise.functions.timefn import from_epoch_micros
 
 
@@ -102,9 +103,16 @@ def read_constituents(spark: SparkSession, path: str) -> DataFrame:
     Columns are taken from the header as strings (no type inference); the
     required ones must be present (S6) and absent optional ones are added as
     nulls, so files with fewer or more columns load the same way.
+
+    ``row_no`` numbers the rows 1, 2, ... as the files have them (file by
+    file, then line by line), for rules like "the last row of a symbol wins".
     """
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     require_columns(df, S.CONSTITUENTS_REQUIRED, "constituents")
+    # Splits come in order of their size; file, offset and place within the split give the line's.
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_offset"),
+                       F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_line"))
+    df = number_rows(placed, ["_file", "_offset", "_line"], "row_no").drop("_file", "_offset", "_line")
     for c in S.CONSTITUENT_COLUMNS:
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))
@@ -117,6 +125,12 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def input_schema(df: DataFrame) -> DataFrame:
+    """The columns of an input (S9): position, name, type, nullable; from the plan, without a job."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column string, type string, nullable boolean")
+
+
 def profile_input(df: DataFrame, sample_rows: int = 5) -> tuple[DataFrame, DataFrame]:
     """Rows per input file and the first rows of each file.
 

@@ -47,6 +47,36 @@ def test_cli_workflow(spark):
     assert ids["NEWCO"] == 26
 
 
+def test_cli_second_loader_calendar_pages_and_load_modes(spark):
+    import pytest
+    root = scratch_path(spark, "cli2")
+    lake, data = root + "/lake", root + "/data"
+    os.makedirs(root + "/pages")
+    with open(root + "/constituents.csv", "w") as f:
+        f.write("Symbol,Security,GICS Sector,GICS Sub-Industry\n")
+        for n in fx.instruments_a(spark, SF).collect():
+            f.write(f"{n.symbol},{n.name},{n.sector},{n.sector} sub\n")
+    for i, p in enumerate(fx.pages_c(spark, SF).collect()):
+        with open(f"{root}/pages/{i}.json", "w") as f:
+            f.write(p.page)
+    bars = fx.vendor_rows_a(spark, SF)
+    assert cli.main(["pages", "--input", root + "/pages", "--out", data], spark)["rows"] == bars.count()
+    cli.main(["seed", "--constituents", root + "/constituents.csv", "--lake", lake], spark)
+    bars_in = ["load", "--input", data, "--glob", "*.parquet", "--lake", lake]
+    first = cli.main(bars_in, spark)
+    again = cli.main(bars_in, spark)  # truncates
+    assert first["loaded"] == again["loaded"] == bars.count()
+    with pytest.raises(ValueError):
+        cli.main([*bars_in, "--append"], spark)
+    assert cli.main([*bars_in, "--months"], spark)["loaded"] == bars.count()
+    assert layout.read_partitioned(spark, lake + "/bar_5m").count() == bars.count()
+    days = cli.main(["calendar", "--lake", lake], spark)["rows"]
+    assert days == cli.main(["calendar", "--lake", lake], spark)["rows"] > 0
+    second = ["market-data", "--input", data, "--glob", "*.parquet", "--constituents", root + "/constituents.csv", "--lake", lake]
+    assert cli.main(second, spark)["inserted"] == bars.count()
+    assert cli.main(second, spark)["inserted"] == 0
+
+
 def test_module_entry_point_help():
     import subprocess
     import sys
