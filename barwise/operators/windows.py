@@ -2,30 +2,29 @@
 
 A window partitioned by instrument alone puts an instrument's whole history
 into one task; one instrument may hold a third of the rows. The row-frame
-windows here (lag, rolling sums) run instead over blocks of each
-instrument's time-ordered rows:
-
-1. Rows are counted per (instrument, chunk of time): a partial aggregate.
-   The chunk is a month, or the coarsest of day, hour, minute, second and
-   the time itself in which no chunk holds more than a quarter of a block,
-   so a hot month is split as well.
-2. On that table a running sum gives each chunk's first row position;
-   chunks are assigned whole to blocks of a quarter of ``block_rows``.
-3. Chunks whose rows reach into the last ``halo`` positions before the next
-   block are also copied into it, so every row a block owns has its full
-   frame of preceding rows.
-4. The chunk table is joined back and the window runs over (instrument,
-   block); copies are then discarded. When no instrument has more than
-   ``block_rows`` rows, the join is skipped and the plain per-instrument
-   window runs (it is then bounded by ``block_rows``).
-
-A block holds at most its quarter, one chunk that starts in it, the halo and
-one copied chunk: under ``block_rows`` rows, for halos up to a quarter of it.
-Results equal the plain per-instrument window row for row.
+windows here (lag, rolling sums) run over chunks of time instead:
+
+1. Rows are dealt by (instrument, chunk). A chunk is the coarsest of year,
+   month, day, hour, minute and second in which an instrument can have no more
+   than ``block_rows`` bars of the declared width: a bound from the bars' own
+   grid, so nothing is counted first and building a query starts no job.
+2. Inside a chunk every row whose whole frame lies in it is done.
+3. The rows at the edges of the chunks, at most ``2 n + 2`` each, are put
+   together per instrument; there the first rows of a chunk meet the last ones
+   of those before, which is all that their frames need. How many meet
+   depends on the calendar and the frame, not on the number of rows.
+
+One shuffle of the rows, one of the edges. Results equal the plain
+per-instrument window row for row.
+
+Rows off the grid (ticks, several rows a bar) make chunks larger, never wrong.
+For such tables ``counted=True`` first counts rows per chunk and cuts blocks
+by position (``block_table``): exact block sizes, at the price of a pass.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -102,23 +101,52 @@ def blocked(df: DataFrame, blocks: Blocks | None, key: str = "ticker_id", ts: st
             .join(blocks.table, [key, "_chunk"]).drop("_chunk"))
 
 
-def _returns(b: DataFrame, key: str, ts: str) -> DataFrame:
-    w = Window.partitionBy(key, "_blk").orderBy(ts)
-    return (b.withColumn("_prev", F.lag("close").over(w))
-            .withColumn("logret", log_return(F.col("close"), F.col("_prev"))).drop("_prev"))
+# Seconds of the chunks, coarsest first.
+CHUNKS = {"year": 366 * 86400, "month": 31 * 86400, "day": 86400, "hour": 3600, "minute": 60, "second": 1}
+BAR = _dt.timedelta(minutes=1)
+
+
+def chunk_grain(block_rows: int = BLOCK_ROWS, bar: _dt.timedelta = BAR) -> str:
+    """The coarsest chunk in which an instrument has at most ``block_rows`` bars of width ``bar``."""
+    fits = [g for g, seconds in CHUNKS.items() if seconds <= block_rows * bar.total_seconds()]
+    return fits[0] if fits else "second"
+
+
+def _calendar_chunk(ts: str, grain: str) -> Column:
+    if grain in ("year", "month", "day"):
+        day = F.to_date(F.col(ts))
+        return day if grain == "day" else F.trunc(day, grain)
+    return F.date_trunc(grain, F.col(ts))
+
+
+def _with_edges(src: DataFrame, key: str, ts: str, grain: str) -> DataFrame:
+    """``src`` with _chunk, _first and _last (of its chunk) and logret (null in a chunk's first row)."""
+    w = Window.partitionBy(key, "_chunk").orderBy(ts)
+    here = F.lit(1)
+    return (src.withColumn("_chunk", _calendar_chunk(ts, grain))
+            .withColumn("_first", F.lag(here).over(w).isNull()).withColumn("_last", F.lead(here).over(w).isNull())
+            .withColumn("logret", log_return(F.col("close"), F.lag("close").over(w))))
+
+
+def _met(edges: DataFrame, key: str, ts: str) -> DataFrame:
+    """``edges`` with the returns of the first rows of chunks, from the last rows of the chunks before."""
+    w = Window.partitionBy(key).orderBy(ts)
+    return edges.withColumn("_prev", F.lag("close").over(w)).withColumn(
+        "logret", F.when(F.col("_first"), log_return(F.col("close"), F.col("_prev"))).otherwise(F.col("logret"))).drop("_prev")
 
 
 def log_returns(bars: DataFrame, key: str = "ticker_id", ts: str = "ts",
-                block_rows: int = BLOCK_ROWS) -> DataFrame:
+                block_rows: int = BLOCK_ROWS, bar: _dt.timedelta = BAR) -> DataFrame:
     """Adds ``logret`` = ln(close / previous close) per instrument.
     The first bar of each instrument has a null return."""
-    blocks = block_table(bars.select(key, ts), 1, key, ts, block_rows)
-    return _returns(blocked(bars, blocks, key, ts), key, ts).where("_own").drop("_blk", "_own")
+    r = _with_edges(bars, key, ts, chunk_grain(block_rows, bar))
+    first = _met(r.where("_first or _last"), key, ts).where("_first")
+    return r.where("not _first").unionByName(first).drop("_chunk", "_first", "_last")
 
 
 def rolling_vol(bars: DataFrame, n: int = 20, drop_first: bool = False,
                 key: str = "ticker_id", ts: str = "ts",
-                block_rows: int = BLOCK_ROWS) -> DataFrame:
+                block_rows: int = BLOCK_ROWS, bar: _dt.timedelta = BAR, counted: bool = False) -> DataFrame:
     """Rolling realized volatility sqrt(sum(logret^2)) over the last ``n``
     rows per instrument (W4-W7, F2).
 
@@ -130,6 +158,37 @@ def rolling_vol(bars: DataFrame, n: int = 20, drop_first: bool = False,
     """
     if n < 1:
         raise ValueError("window must be at least one bar")
+    if counted:
+        return _rolling_vol_counted(bars, n, drop_first, key, ts, block_rows)
+    r = _with_edges(bars.select(key, ts, "close"), key, ts, chunk_grain(block_rows, bar))
+    # Rows that frames count: all but a chunk's first, whose return comes later.
+    counts = ~F.col("_first") & F.col("logret").isNotNull() if drop_first else ~F.col("_first")
+    r = r.withColumn("_in", counts)
+    chunk = Window.partitionBy(key, "_chunk")
+    before = chunk.orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    # Only first and last rows may stand outside the frames here, at either end of the chunk.
+    r = r.where("_in or _first or _last")
+    r = r.withColumn("_i", F.sum(F.col("_in").cast("int")).over(before))
+    squares = lambda w: F.sqrt(F.sum(F.col("logret") * F.col("logret")).over(w.rowsBetween(-(n - 1), 0)))
+    done = r.withColumn("rv", squares(chunk.orderBy(ts))).where(F.col("_in") & (F.col("_i") >= n))
+    ahead = F.lead(F.lit(1), n).over(chunk.orderBy(ts)).isNull()
+    edges = _met(r.withColumn("_tail", ahead).where(F.col("_first") | F.col("_last") | F.col("_tail") | (F.col("_i") < n)), key, ts)
+    if drop_first:
+        edges = edges.where(F.col("logret").isNotNull())
+    late = F.col("_first") | (F.col("_in") & (F.col("_i") < n))
+    edges = edges.withColumn("rv", squares(Window.partitionBy(key).orderBy(ts))).where(late)
+    cols = (key, ts, "logret", "rv")
+    return done.select(*cols).unionByName(edges.select(*cols))
+
+
+def _returns(b: DataFrame, key: str, ts: str) -> DataFrame:
+    w = Window.partitionBy(key, "_blk").orderBy(ts)
+    return (b.withColumn("_prev", F.lag("close").over(w))
+            .withColumn("logret", log_return(F.col("close"), F.col("_prev"))).drop("_prev"))
+
+
+def _rolling_vol_counted(bars: DataFrame, n: int, drop_first: bool, key: str, ts: str, block_rows: int) -> DataFrame:
+    """``rolling_vol`` over blocks of counted rows, each with the rows before it that its frames reach."""
     frame = Window.partitionBy(key, "_blk").orderBy(ts).rowsBetween(-(n - 1), 0)
     src = bars.select(key, ts, "close")
     # One more row than the frame: the first return of the frame needs the close before it.
