@@ -15,7 +15,9 @@ windows here (lag, rolling sums) run over chunks of time instead:
    depends on the calendar and the frame, not on the number of rows.
 
 One shuffle of the rows, one of the edges. Results equal the plain
-per-instrument window row for row.
+per-instrument window row for row; that one is planned where the files read
+are too small (``ROW_BYTES`` for each of ``block_rows`` rows, by the plan's
+size statistic) for an instrument to matter.
 
 Rows off the grid (ticks, several rows a bar) make chunks larger, never wrong.
 For such tables ``counted=True`` first counts rows per chunk and cuts blocks
@@ -31,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwise.functions.numeric import log_return
+from barwise.operators.joins import plan_bytes
 from barwise.session import checkpoint_root
 
 BLOCK_ROWS = 1_000_000
@@ -104,6 +107,12 @@ def blocked(df: DataFrame, blocks: Blocks | None, key: str = "ticker_id", ts: st
 # Seconds of the chunks, coarsest first.
 CHUNKS = {"year": 366 * 86400, "month": 31 * 86400, "day": 86400, "hour": 3600, "minute": 60, "second": 1}
 BAR = _dt.timedelta(minutes=1)
+ROW_BYTES = 64
+
+
+def is_small(src: DataFrame, block_rows: int) -> bool:
+    """Whether the plan's size statistic is within ``block_rows`` rows; unknown sizes are not."""
+    return plan_bytes(src) <= ROW_BYTES * block_rows
 
 
 def chunk_grain(block_rows: int = BLOCK_ROWS, bar: _dt.timedelta = BAR) -> str:
@@ -139,6 +148,8 @@ def log_returns(bars: DataFrame, key: str = "ticker_id", ts: str = "ts",
                 block_rows: int = BLOCK_ROWS, bar: _dt.timedelta = BAR) -> DataFrame:
     """Adds ``logret`` = ln(close / previous close) per instrument.
     The first bar of each instrument has a null return."""
+    if is_small(bars, block_rows):
+        return _returns(single_block(bars), key, ts).drop("_blk", "_own")
     r = _with_edges(bars, key, ts, chunk_grain(block_rows, bar))
     first = _met(r.where("_first or _last"), key, ts).where("_first")
     return r.where("not _first").unionByName(first).drop("_chunk", "_first", "_last")
@@ -160,19 +171,21 @@ def rolling_vol(bars: DataFrame, n: int = 20, drop_first: bool = False,
         raise ValueError("window must be at least one bar")
     if counted:
         return _rolling_vol_counted(bars, n, drop_first, key, ts, block_rows)
-    r = _with_edges(bars.select(key, ts, "close"), key, ts, chunk_grain(block_rows, bar))
-    # Rows that frames count: all but a chunk's first, whose return comes later.
-    counts = ~F.col("_first") & F.col("logret").isNotNull() if drop_first else ~F.col("_first")
-    r = r.withColumn("_in", counts)
-    chunk = Window.partitionBy(key, "_chunk")
-    before = chunk.orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    # Only first and last rows may stand outside the frames here, at either end of the chunk.
-    r = r.where("_in or _first or _last")
-    r = r.withColumn("_i", F.sum(F.col("_in").cast("int")).over(before))
-    squares = lambda w: F.sqrt(F.sum(F.col("logret") * F.col("logret")).over(w.rowsBetween(-(n - 1), 0)))
-    done = r.withColumn("rv", squares(chunk.orderBy(ts))).where(F.col("_in") & (F.col("_i") >= n))
-    ahead = F.lead(F.lit(1), n).over(chunk.orderBy(ts)).isNull()
-    edges = _met(r.withColumn("_tail", ahead).where(F.col("_first") | F.col("_last") | F.col("_tail") | (F.col("_i") < n)), key, ts)
+    src = bars.select(key, ts, "close")
+    if is_small(src, block_rows):
+        return _rolled(_returns(single_block(src), key, ts), n, drop_first, key, ts)
+    r = _with_edges(src, key, ts, chunk_grain(block_rows, bar))
+    w = Window.partitionBy(key, "_chunk").orderBy(ts)
+    # _in: rows that frames count here, all but a chunk's first, whose return comes later. _i: their number so far.
+    if drop_first:
+        r = r.withColumn("_in", ~F.col("_first") & F.col("logret").isNotNull()).where("_in or _first or _last")
+        r = r.withColumn("_i", F.sum(F.col("_in").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        r = r.withColumn("_in", ~F.col("_first")).withColumn("_i", F.row_number().over(w) - 1)
+    r = r.withColumn("_tail", F.lead(F.lit(1), n).over(w).isNull())
+    squares = lambda over: F.sqrt(F.sum(F.col("logret") * F.col("logret")).over(over.rowsBetween(-(n - 1), 0)))
+    done = r.withColumn("rv", squares(w)).where(F.col("_in") & (F.col("_i") >= n))
+    edges = _met(r.where(F.col("_first") | F.col("_last") | F.col("_tail") | (F.col("_i") < n)), key, ts)
     if drop_first:
         edges = edges.where(F.col("logret").isNotNull())
     late = F.col("_first") | (F.col("_in") & (F.col("_i") < n))
@@ -187,9 +200,16 @@ def _returns(b: DataFrame, key: str, ts: str) -> DataFrame:
             .withColumn("logret", log_return(F.col("close"), F.col("_prev"))).drop("_prev"))
 
 
+def _rolled(r: DataFrame, n: int, drop_first: bool, key: str, ts: str) -> DataFrame:
+    """Sums over frames of rows with ``logret`` in whole blocks."""
+    frame = Window.partitionBy(key, "_blk").orderBy(ts).rowsBetween(-(n - 1), 0)
+    r = r.where(F.col("logret").isNotNull()) if drop_first else r
+    r = r.withColumn("rv", F.sqrt(F.sum(F.col("logret") * F.col("logret")).over(frame)))
+    return r.where("_own").select(key, ts, "logret", "rv")
+
+
 def _rolling_vol_counted(bars: DataFrame, n: int, drop_first: bool, key: str, ts: str, block_rows: int) -> DataFrame:
     """``rolling_vol`` over blocks of counted rows, each with the rows before it that its frames reach."""
-    frame = Window.partitionBy(key, "_blk").orderBy(ts).rowsBetween(-(n - 1), 0)
     src = bars.select(key, ts, "close")
     # One more row than the frame: the first return of the frame needs the close before it.
     blocks = block_table(src, n, key, ts, block_rows)
@@ -199,8 +219,7 @@ def _rolling_vol_counted(bars: DataFrame, n: int, drop_first: bool, key: str, ts
         # the frame gets a table of its own (a subset of few enough rows needs none).
         kept = r.where("_own").where(F.col("logret").isNotNull()).select(key, ts, "logret")
         r = blocked(kept, block_table(kept, n - 1, key, ts, block_rows) if blocks else None, key, ts)
-    r = r.withColumn("rv", F.sqrt(F.sum(F.col("logret") * F.col("logret")).over(frame)))
-    return r.where("_own").select(key, ts, "logret", "rv")
+    return _rolled(r, n, False, key, ts)
 
 
 def first_last(bars: DataFrame, key: str = "ticker_id", ts: str = "ts") -> DataFrame:

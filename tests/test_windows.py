@@ -83,6 +83,18 @@ def test_counted_blocks_agree(spark):
         same({(r.ticker_id, r.ts): (r.logret, r.rv) for r in got}, plain(rows, 4, drop))
 
 
+def test_small_files_get_the_plain_window(spark, tmp_path):
+    rows = make(4, (300,))
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"file://{tmp_path}/t")
+    df = spark.read.parquet(f"file://{tmp_path}/t")
+    assert ow.is_small(df, 10**6) and not ow.is_small(df, 10) and not ow.is_small(spark.createDataFrame(rows, SCHEMA), 10**6)
+    for drop in (False, True):
+        got = ow.rolling_vol(df, 4, drop)
+        assert "Union" not in got._jdf.queryExecution().executedPlan().toString()
+        same({(r.ticker_id, r.ts): (r.logret, r.rv) for r in got.collect()}, plain(rows, 4, drop))
+    assert len(ow.log_returns(df).collect()) == len(rows)
+
+
 def test_chunk_grain_follows_the_bars(spark):
     assert ow.chunk_grain() == "year"
     assert ow.chunk_grain(1_000_000, dt.timedelta(seconds=1)) == "day"
