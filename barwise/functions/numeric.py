@@ -54,3 +54,15 @@ def int_or_null(col) -> Column:
 def num_or(col, default, dtype: str = "double") -> Column:
     """Coerced number with a default for null or junk."""
     return F.coalesce(_c(col).cast("string").try_cast(dtype), F.lit(default).cast(dtype))
+
+
+def steady_sum(x) -> Column:
+    """Sum of doubles that does not depend on the order of the rows.
+
+    Whole units and the rest (in steps of 2^-30) are summed apart: both sums
+    are exact up to 2^53 units and 2^23 units' worth of rests. Beyond that the
+    last digits depend on the order, as with any sum of doubles.
+    """
+    c = F.col(x) if isinstance(x, str) else x
+    rest = F.rint((c - F.rint(c)) * float(1 << 30))
+    return F.sum(F.rint(c)) + F.sum(rest) / float(1 << 30)

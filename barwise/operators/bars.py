@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from barwise.functions.numeric import steady_sum
 from barwise.functions.orderkey import Part, order_key
 
 def ohlcv_from_ticks(price: str = "price", size: str = "size",
@@ -22,7 +23,7 @@ def ohlcv_from_ticks(price: str = "price", size: str = "size",
     open / close are the prices at the first / last ``order`` key (T8: the
     key must be unique, add tie-breakers); vwap is dollar volume over share
     volume with a zero guard. The dollar volume is a sum of doubles, as
-    wide as the prices come; its last digits depend on the order of the sum.
+    wide as the prices come, and the same in any order (``steady_sum``).
 
     With the trades' ``schema``, an order of several columns becomes one
     fixed-width value (``functions.orderkey``), so the bars are a hash
@@ -31,7 +32,7 @@ def ohlcv_from_ticks(price: str = "price", size: str = "size",
     names = [p.column if isinstance(p, Part) else p for p in order]
     key = order_key(schema, order) if schema is not None else F.struct(*names) if len(names) > 1 else F.col(names[0])
     p = F.col(price)
-    dollars = F.sum(p * F.col(size))
+    dollars = steady_sum(p * F.col(size))
     shares = F.sum(F.col(size).cast("bigint"))
     return [
         F.min_by(p, key).alias("open"),
@@ -83,7 +84,7 @@ def ohlcv_from_bars(order: str = "ts") -> list[Column]:
         F.min("low").alias("low"),
         F.max_by("close", F.col(order)).alias("close"),
         vol.alias("volume"),
-        F.try_divide(F.sum(bar_dollars()),
+        F.try_divide(steady_sum(bar_dollars()),
                      F.nullif(vol, F.lit(0)).cast("double")).alias("vwap"),
         F.sum("trade_count").alias("trade_count"),
     ]

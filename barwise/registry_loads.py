@@ -17,6 +17,7 @@ from barwise.operators.filters import drop_blank_symbols
 from barwise.operators.joins import resolve_ids
 from barwise.plans import movers as mv
 from barwise.plans import rollup as ru
+from barwise.plans import rollup_state as rs
 from barwise.registry import MOVERS_T0, MOVERS_T1, _check_rows, _ev_symbols, _supplier_const, _vendor_rows_b, query
 from barwise.session import scratch_path
 from barwise.sinks import layout as lay
@@ -237,3 +238,44 @@ def q_insert_order(spark, sf):
     before = F.lag(F.struct("ts", "symbol_id")).over(Window.partitionBy("file").orderBy("place"))  # a file is one task's output
     rows = rows.withColumn("late", before > F.struct("ts", "symbol_id"))
     return rows.groupBy("month").agg(F.count(F.lit(1)).alias("rows"), F.count_if("late").alias("out_of_order"))
+
+
+@query("rollup_incremental")
+def q_rollup_incremental(spark, sf):
+    """M3: fixture A's bars in three batches that cut days in two, merged as
+    states; a batch run again changes nothing."""
+    bars, table = fx.bars_a(spark, sf), _table(spark, "states")
+    minute = F.minute("ts")
+    cuts = [minute < 20, (minute >= 20) & (F.dayofmonth("ts") <= 15), (minute >= 20) & (F.dayofmonth("ts") > 15)]
+    for i, cut in enumerate(cuts):
+        assert rs.apply_bars(table, bars.where(cut), i)
+        assert not rs.apply_bars(table, bars.where(cut), i)
+    return rs.finished(table.read()).withColumn("vwap", round6("vwap"))
+
+
+@query("stream_incremental")
+def q_stream_incremental(spark, sf):
+    """M3, K7 driven by landed files: overlapping batches, mergeable states."""
+    from barwise.streaming import start_refresh
+    bars = fx.bars_a(spark, sf)
+    landing, ckpt, fact, state = (scratch_path(spark, n) for n in ("landing", "stream-ckpt", "fact", "states"))
+    cut = F.lit("2024-01-16 18:00:00").cast("timestamp_ntz")
+    for i, rows in enumerate((bars.where(F.col("ts") < cut), bars.where(F.col("ts") >= cut - F.expr("INTERVAL 2 DAYS")))):
+        rows.write.parquet(f"{landing}/batch={i}")
+        start_refresh(spark, landing, fact, state, "2023-01-01", "2025-01-01", ckpt, incremental=True).awaitTermination()
+    return rs.finished(lay.read_partitioned(spark, state)).withColumn("vwap", round6("vwap"))
+
+
+@query("upsert_partitioned")
+def q_upsert_partitioned(spark, sf):
+    """K8: the second batch of orders upserted into a table by year; with each
+    year, whether its files are those of the first load."""
+    year = F.date_format("o_orderdate", "yyyy")
+    b1, b2 = (b.withColumn("year", year) for b in fx.batches_d(spark, sf))
+    table = lay.VersionedTable(spark, scratch_path(spark, "orders"), "year")
+    mg.upsert_table(table, b1, ["o_orderkey"])
+    before = table.manifest()["folders"]
+    mg.upsert_table(table, b2, ["o_orderkey"])
+    after = table.manifest()["folders"]
+    kept = F.col("year").isin([y for y in after if after[y] == before.get(y)])
+    return table.read().select(*fx.ORDER_COLS, kept.alias("files_kept"))

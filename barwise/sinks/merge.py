@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from barwise.functions.orderkey import CAPACITY, Part, is_fixed, packed, parts_of
 from barwise.operators.quality import assert_unique
+from barwise.sinks.tables import PlainTable
 
 
 def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Part] | None = None,
@@ -81,9 +82,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
            cols: Sequence[str] | None = None, check: bool = True) -> DataFrame:
     """ON CONFLICT DO UPDATE SET cols = EXCLUDED.cols (K8).
 
-    A full outer join: meant for dimension-sized tables (instruments,
-    calendar, sectors). Facts are loaded with insert-ignore appends and
-    rebuilt per partition (``plans.rollup.refresh_daily``) instead.
+    A full outer join of both sides; ``upsert_table`` does it for a stored
+    table and joins and rewrites only the partitions that the batch touches.
 
     A key may appear once in the batch (T21; checked when ``check``). Rows
     only in the target are kept, rows only in the batch are inserted, and
@@ -111,6 +111,43 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     return j.select(*keys, *out)
 
 
+def touched_parts(table: PlainTable, batch: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The table's partitions that hold a key of ``batch``, and those of the batch.
+
+    One name per partition. Stored rows are read for their keys only, and not
+    at all if the partition column is one of the keys.
+    """
+    part = table.part
+    found = batch.select(part)
+    if table.exists() and part not in keys:
+        stored = table.read().select(part, *keys)
+        found = found.unionByName(stored.join(batch.select(*keys), list(keys), "left_semi").select(part))
+    return sorted(str(r[0]) for r in found.distinct().collect())
+
+
+def upsert_table(table: PlainTable, batch: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None,
+                 check: bool = True) -> list[str]:
+    """``upsert`` into a stored table (K8); returns the partitions that were rewritten.
+
+    The batch has the table's partition column. Only the partitions that its
+    keys touch are read, joined and replaced; the files of all others stay. A
+    row whose partition column changes moves, and a partition left empty by
+    that goes. The new partitions are staged and published at once.
+    """
+    if check:
+        assert_unique(batch, list(keys))
+    if not table.exists():
+        staged = table.stage(batch)
+        table.publish(staged, "truncate")
+        return staged.parts
+    parts = touched_parts(table, batch, keys)
+    old = table.read()
+    near = old.where(F.col(table.part).cast("string").isin(parts))
+    rows = upsert(near, batch, keys, cols, check=False).select(*old.columns)
+    table.publish(table.stage(rows), "overwrite", drop=parts)
+    return parts
+
+
 def load_report(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """attempted, inserted, matched (ignored or updated) rows in one job."""
     k = list(keys)

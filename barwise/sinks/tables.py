@@ -188,9 +188,12 @@ class VersionedTable(PlainTable):
     def staged_rows(self, staged: Staged) -> DataFrame:
         return self.spark.read.schema(staged.schema).option("basePath", staged.folder).parquet(staged.folder)
 
-    def publish(self, staged: Staged, mode: str = "overwrite", drop: Iterable[str] = (), base: int | None = None) -> int:
+    def publish(self, staged: Staged, mode: str = "overwrite", drop: Iterable[str] = (), base: int | None = None,
+                note: dict | None = None) -> int:
         """Make the staged partitions part of the next version, by one rename; returns its number.
 
+        ``note`` is kept with the version (``manifest()["note"]``), such as the number of a batch.
+
         ``base``: the version the rows were computed from (default: the newest
         now). If another writer has published since, nothing changes and
         ``StaleVersion`` is raised.
@@ -205,7 +208,7 @@ class VersionedTable(PlainTable):
         load = staged.folder.rsplit("/", 1)[1]
         for v in staged.parts:
             folders[v] = [*folders.get(v, []), f"{load}/{self.part}={v}"]
-        body = json.dumps({"schema": staged.schema.jsonValue(), "folders": folders}, sort_keys=True)
+        body = json.dumps({"schema": staged.schema.jsonValue(), "folders": folders, "note": note}, sort_keys=True)
         draft = f"{self.path}/_versions/.draft-{uuid.uuid4().hex}"
         self.files.make(f"{self.path}/_versions")
         self.files.write(draft, body)
