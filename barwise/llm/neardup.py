@@ -16,9 +16,11 @@
 Comparisons of steps 3 and 4 run in blocks: a bucket or cluster of more than
 ``BLOCK`` members (or more set bytes than ``BLOCK_SHINGLES``) is dealt over
 pairs of blocks, so a task holds two blocks, and each block pair returns a
-spanning forest of what it found, never its pairs. Only ids and bands are
-shuffled to find candidates; full sets are rebuilt for cluster members alone.
-Intermediate tables are written to the shared scratch folder.
+spanning forest of what it found, never its pairs. Ids, registers and bands
+are shuffled to find candidates; full sets are rebuilt for cluster members
+alone, whose keys are broadcast to the texts up to ``SENT_BYTES`` (beyond that
+the texts are shuffled to the keys). Intermediate tables are written to the
+shared scratch folder and removed when nothing reads them any more.
 """
 
 from __future__ import annotations
@@ -29,12 +31,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwise.llm import setsketch as ss
-from barwise.llm.scratch import stored
+from barwise.llm.scratch import forget, stored
 from barwise.llm.words import text_parts
+from barwise.operators.joins import bounded_broadcast
 
 BANDS, ROWS = 40, 5
 PART_BYTES = 1 << 20
@@ -42,6 +45,8 @@ PART_BYTES = 1 << 20
 MARGIN = 0.125
 # Members, and shingles of members, in a block; columns of one matrix product.
 BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 2_000_000, 4096
+# Stored keys of this size at most are broadcast to the texts; beyond, the texts are shuffled to them.
+SENT_BYTES = 24 << 20
 
 
 def sketch(docs: DataFrame, shingle: int) -> DataFrame:
@@ -236,7 +241,8 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "x")
         small = small.filter("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y")).unionByName(
             least.select("x", F.col("m").alias("y"))).distinct()
-        edges = stored(small, "links")
+        last, edges = edges, stored(small, "links")
+        forget(last)
         now = mark(edges)
         if now == was:
             break
@@ -251,10 +257,17 @@ def _classified(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     reps = sketched.filter("n_shingles > 0").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"))
     # A class's node is its smallest id; where another class has that too, or there is none, a hash of its key.
-    turn = F.row_number().over(Window.partitionBy("rep").orderBy("key"))
-    named = reps.filter("rep is not null").withColumn("node", F.when(turn == 1, F.col("rep")).otherwise(F.xxhash64("key")))
-    reps = stored(named.unionByName(reps.filter("rep is null").withColumn("node", F.xxhash64("key"))), "reps")
-    classes = stored(reps.select(F.col("node").alias("rep"), "n_shingles", "regs"), "classes")
+    # Of the classes that share an id the one of the least key keeps it (a grouped minimum, however many they are).
+    reps = stored(reps, "reps")
+    slim = stored(sketched.drop("regs"), "documents")  # the registers are with the classes from here on
+    forget(sketched)
+    sketched = slim
+    shared = reps.filter("rep is not null").groupBy(F.col("rep").alias("_rep")).agg(F.min("key").alias("owner"), F.count(F.lit(1)).alias("k"))
+    shared = stored(shared.filter("k > 1").drop("k"), "shared")
+    keeps = F.col("rep").isNotNull() & F.coalesce(F.col("owner") == F.col("key"), F.lit(True))
+    reps = reps.join(bounded_broadcast(shared, SENT_BYTES), F.col("rep") == F.col("_rep"), "left")
+    reps = reps.withColumn("node", F.when(keeps, F.col("rep")).otherwise(F.xxhash64("key"))).drop("_rep", "owner")
+    classes = reps.select(F.col("node").alias("rep"), "n_shingles", "regs")
 
     # Members of buckets with two nodes or more, and the size of their bucket.
     banded = buckets(classes)
@@ -278,14 +291,15 @@ def _classified(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     # Step 4: all pairs of a cluster on the full sets.
     weighed = clusters.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node")
     size = weighed.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"))
-    # One row of each class gives its set.
-    one = reps.join(clusters.select("node"), "node", "left_semi").select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark"))
+    # One row of each class gives its set. Texts stay where they are while the wanted rows are few enough to be sent to them.
+    one = stored(reps.join(clusters.select("node"), "node", "left_semi").select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark")), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark")).alias("d")
-    rows = texts.join(one.alias("o"), F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("d.mark") == F.col("o.mark")))
+    rows = texts.join(bounded_broadcast(one, SENT_BYTES).alias("o"), F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("d.mark") == F.col("o.mark")))
     rows = rows.select("o.node", "d.text").groupBy("node").agg(F.min("text").alias("text"))
     full_sets = sets(rows, shingle)
     checked = _dealt(clusters, "comp", size).select("g", "node").join(full_sets, "node").select("g", "node", "els")
     comps = components(stored(_edges(checked, _exact(percent)).distinct(), "links"))
+    forget(members, clusters, one)
 
     placed = reps.join(comps, "node", "left").select("key", "rep", F.coalesce("comp", "node").alias("group"))
     least = placed.groupBy("group").agg(F.min("rep").alias("component"))
@@ -318,22 +332,24 @@ def drop_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     has any. Rows that repeat both id and text are one document: one of them
     stays. Rows without shingles and without an id all stay.
     """
-    found = _classified(docs, shingle, percent).filter("key is not null")
+    found = stored(_classified(docs, shingle, percent).filter("key is not null"), "found")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
     first = found.groupBy("group").agg(F.min(row).alias("first"))
     gone = found.join(first, "group").filter(~row.eqNullSafe(F.col("first"))).select("doc_id", "mark").distinct()
-    bare = found.filter("doc_id is null").select("mark").distinct()
+    bare = stored(found.filter("doc_id is null").select("mark").distinct(), "bare")
     cols = [F.col(f"`{c}`") for c in docs.columns]
     whole = docs.select(F.struct(*cols).alias("doc"), F.col("doc_id").cast("long").alias("id"), "text", F.xxhash64("text").alias("mark"))
     # Repeated rows: with an id by id and text, without one only where the text has shingles.
-    again = whole.filter("id is not null").groupBy("id").count().filter("count > 1").select("id")
+    again = stored(whole.filter("id is not null").groupBy("id").count().filter("count > 1").select("id"), "again")
     if not again.isEmpty():
+        again = bounded_broadcast(again, SENT_BYTES)
         once = whole.join(again, "id", "left_semi").dropDuplicates(["id", "text"])
         whole = whole.filter("id is null").unionByName(whole.filter("id is not null").join(again, "id", "left_anti")).unionByName(once)
     if not bare.isEmpty():
+        bare = bounded_broadcast(bare, SENT_BYTES)
         nameless = whole.filter("id is null")
         once = nameless.join(bare, "mark", "left_semi").dropDuplicates(["text"])
         whole = whole.filter("id is not null").unionByName(nameless.join(bare, "mark", "left_anti").select(*whole.columns)).unionByName(once.select(*whole.columns))
-    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark"))
-    left = whole.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("mark") == F.col("gone_mark")), "left_anti")
+    gone = stored(gone.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")), "gone")
+    left = whole.join(bounded_broadcast(gone, SENT_BYTES), F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("mark") == F.col("gone_mark")), "left_anti")
     return left.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])

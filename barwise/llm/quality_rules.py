@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from barwise.llm.scratch import stored
 from barwise.llm.textstats import with_statistics
+from barwise.operators.joins import bounded_broadcast
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -34,6 +35,8 @@ STEADY_WORDS = 100
 CUT = 38.2
 # Fewer documents than this join the pool of their language, or of the rest.
 MIN_POOL = 50
+# Stored keys of rejected rows are broadcast up to this size; beyond, the rows are shuffled to them.
+SENT_BYTES = 24 << 20
 D = 4
 
 
@@ -154,7 +157,14 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, all columns as they were."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    pairs = docs.select(whole.alias("doc"), F.col("text").alias("text"), F.col("lang").alias("lang"), F.col("source").alias("source"))
-    return judge(pairs).filter("kept").select("doc.*")
+    """The documents that are kept, all columns as they were.
+
+    Texts are not written anywhere: rows are judged under a 128-bit hash of
+    id, text, language and source, and those rejected are taken out by it
+    (broadcast while few enough, see ``SENT_BYTES``).
+    """
+    sign = lambda seed: F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"), F.isnull("text"), F.col("lang"), F.isnull("lang"), F.col("source"), F.isnull("source"))
+    pairs = docs.select(F.struct(sign(1).alias("_h1"), sign(2).alias("_h2")).alias("doc"), F.col("text").alias("text"), F.col("lang").alias("lang"), F.col("source").alias("source"))
+    gone = stored(judge(pairs).filter("not kept").select("doc._h1", "doc._h2").distinct(), "rejected")
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), sign(1).alias("_h1"), sign(2).alias("_h2"))
+    return marked.join(bounded_broadcast(gone, SENT_BYTES), ["_h1", "_h2"], "left_anti").select("doc.*")

@@ -12,4 +12,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     lost executors lose nothing, and Spark knows the table's size."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove tables of ``stored``; nothing may be derived from them any more that is not stored itself."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

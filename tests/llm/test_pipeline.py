@@ -68,5 +68,5 @@ def test_stages_keep_columns_and_take_empty_tables(spark, corpus):
 
 def test_registered():
     names = [k for k in entry.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(entry.oracle_sql()) <= set(entry.queries())
