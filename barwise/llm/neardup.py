@@ -258,15 +258,13 @@ def _classified(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"))
     # A class's node is its smallest id; where another class has that too, or there is none, a hash of its key.
     # Of the classes that share an id the one of the least key keeps it (a grouped minimum, however many they are).
-    reps = stored(reps, "reps")
-    slim = stored(sketched.drop("regs"), "documents")  # the registers are with the classes from here on
-    forget(sketched)
-    sketched = slim
-    shared = reps.filter("rep is not null").groupBy(F.col("rep").alias("_rep")).agg(F.min("key").alias("owner"), F.count(F.lit(1)).alias("k"))
+    found = stored(reps, "reps")
+    shared = found.filter("rep is not null").groupBy(F.col("rep").alias("_rep")).agg(F.min("key").alias("owner"), F.count(F.lit(1)).alias("k"))
     shared = stored(shared.filter("k > 1").drop("k"), "shared")
     keeps = F.col("rep").isNotNull() & F.coalesce(F.col("owner") == F.col("key"), F.lit(True))
-    reps = reps.join(bounded_broadcast(shared, SENT_BYTES), F.col("rep") == F.col("_rep"), "left")
-    reps = reps.withColumn("node", F.when(keeps, F.col("rep")).otherwise(F.xxhash64("key"))).drop("_rep", "owner")
+    reps = found.join(bounded_broadcast(shared, SENT_BYTES), F.col("rep") == F.col("_rep"), "left")
+    reps = stored(reps.withColumn("node", F.when(keeps, F.col("rep")).otherwise(F.xxhash64("key"))).drop("_rep", "owner"), "classes")
+    forget(found)
     classes = reps.select(F.col("node").alias("rep"), "n_shingles", "regs")
 
     # Members of buckets with two nodes or more, and the size of their bucket.
