@@ -59,7 +59,7 @@ def _versioned(spark, lake: str, name: str) -> VersionedTable:
 def cmd_seed(spark, args) -> dict:
     """Seed sectors, industries and tickers from the constituents CSV,
     keeping ids of rows already in the lake (re-seeding upserts)."""
-    const = read_constituents(spark, args.constituents)
+    const = read_constituents(spark, args.constituents, numbered=True)
     lake = args.lake.rstrip("/")
     found = {n: read_or_none(spark, f"{lake}/{n}") for n in ("sector", "industry", "ticker")}
     # First seed when none exists; any other read error propagates.

@@ -129,10 +129,10 @@ def _calendar_chunk(ts: str, grain: str) -> Column:
 
 
 def _with_edges(src: DataFrame, key: str, ts: str, grain: str) -> DataFrame:
-    """``src`` with _chunk, _first and _last (of its chunk) and logret (null in a chunk's first row)."""
-    w = Window.partitionBy(key, "_chunk").orderBy(ts)
+    """``src`` with _blk (its chunk), _first and _last (of its chunk) and logret (null in a chunk's first row)."""
+    w = Window.partitionBy(key, "_blk").orderBy(ts)
     here = F.lit(1)
-    return (src.withColumn("_chunk", _calendar_chunk(ts, grain))
+    return (src.withColumn("_blk", _calendar_chunk(ts, grain))
             .withColumn("_first", F.lag(here).over(w).isNull()).withColumn("_last", F.lead(here).over(w).isNull())
             .withColumn("logret", log_return(F.col("close"), F.lag("close").over(w))))
 
@@ -152,7 +152,7 @@ def log_returns(bars: DataFrame, key: str = "ticker_id", ts: str = "ts",
         return _returns(single_block(bars), key, ts).drop("_blk", "_own")
     r = _with_edges(bars, key, ts, chunk_grain(block_rows, bar))
     first = _met(r.where("_first or _last"), key, ts).where("_first")
-    return r.where("not _first").unionByName(first).drop("_chunk", "_first", "_last")
+    return r.where("not _first").unionByName(first).drop("_blk", "_first", "_last")
 
 
 def rolling_vol(bars: DataFrame, n: int = 20, drop_first: bool = False,
@@ -175,7 +175,7 @@ def rolling_vol(bars: DataFrame, n: int = 20, drop_first: bool = False,
     if is_small(src, block_rows):
         return _rolled(_returns(single_block(src), key, ts), n, drop_first, key, ts)
     r = _with_edges(src, key, ts, chunk_grain(block_rows, bar))
-    w = Window.partitionBy(key, "_chunk").orderBy(ts)
+    w = Window.partitionBy(key, "_blk").orderBy(ts)
     # _in: rows that frames count here, all but a chunk's first, whose return comes later. _i: their number so far.
     if drop_first:
         r = r.withColumn("_in", ~F.col("_first") & F.col("logret").isNotNull()).where("_in or _first or _last")

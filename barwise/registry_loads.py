@@ -202,7 +202,7 @@ def q_constituents_csv(spark, sf):
     """A constituents CSV read as text, seeded as tickers; of a
     symbol listed twice the last row in file order wins."""
     from barwise.sources.seed import exchanges
-    const = read_constituents(spark, _constituents_csv(spark, sf))
+    const = read_constituents(spark, _constituents_csv(spark, sf), numbered=True)
     sectors = rd.build_sectors(const)
     t = rd.build_tickers(const, sectors, rd.build_industries(const, sectors), exchanges(spark))
     return t.select("symbol", "name", "cik", "headquarters", "date_added")

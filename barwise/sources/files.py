@@ -97,22 +97,23 @@ def read_bars(spark: SparkSession, paths: str | Sequence[str], glob: str | None
     return raw.select(*out).select(*(columns or S.BAR_FILE.fieldNames()))
 
 
-def read_constituents(spark: SparkSession, path: str) -> DataFrame:
+def read_constituents(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
     """Constituents CSV with header, every column a string.
 
     Columns are taken from the header as strings (no type inference); the
     required ones must be present (S6) and absent optional ones are added as
     nulls, so files with fewer or more columns load the same way.
 
-    ``row_no`` numbers the rows 1, 2, ... as the files have them (file by
+    ``numbered`` adds ``row_no`` = 1, 2, ... in the order of the files (file by
     file, then line by line), for rules like "the last row of a symbol wins".
     """
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     require_columns(df, S.CONSTITUENTS_REQUIRED, "constituents")
-    # Splits come in order of their size; file, offset and place within the split give the line's.
-    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_offset"),
-                       F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_line"))
-    df = number_rows(placed, ["_file", "_offset", "_line"], "row_no").drop("_file", "_offset", "_line")
+    if numbered:
+        # Splits come in order of their size; file, offset and place within the split give the line's.
+        placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_offset"),
+                           F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_line"))
+        df = number_rows(placed, ["_file", "_offset", "_line"], "row_no").drop("_file", "_offset", "_line")
     for c in S.CONSTITUENT_COLUMNS:
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))

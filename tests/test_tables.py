@@ -160,5 +160,5 @@ def test_months_are_pruned_in_a_versioned_table(spark):
 def test_constituents_are_numbered_in_file_order(spark, tmp_path):
     for name, rows in (("a.csv", "ZZ,Old,S,I\nBB,B,S,I\n"), ("b.csv", "AA,A,S,I\nZZ,New,S,I\n")):
         (tmp_path / name).write_text("Symbol,Security,GICS Sector,GICS Sub-Industry\n" + rows)
-    got = read_constituents(spark, f"file://{tmp_path}").orderBy("row_no").collect()
+    got = read_constituents(spark, f"file://{tmp_path}", numbered=True).orderBy("row_no").collect()
     assert [(r.row_no, r.Symbol, r.Security) for r in got] == [(1, "ZZ", "Old"), (2, "BB", "B"), (3, "AA", "A"), (4, "ZZ", "New")]
