@@ -16,8 +16,8 @@ LETTERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 CHARS = LETTERS + LETTERS.upper() + DIGITS + "+/_-"
 SYMBOLS = 54  # 26 lower, 26 upper, one for digits, one for separators
 SAMPLES, SEED = 4000, 17
-LEVEL = 0.001  # share of ordinary tokens of the least length of a class that pass
-HEX_LEVEL = 0.01  # the same of hexadecimal ones, which have no words to tell them by
+LEVELS = (0.02, 0.001)  # shares of ordinary tokens whose exceeded statistic is tabulated
+HEX_WEIGHT, HEX_MOST = 0.03, 40.0  # what a unit of the battery takes off a hexadecimal token's cost, up to this
 
 WORDS = """the and for with from this that which have their about would there other into more some time than these only over also after
 first people because between through where before must such through back years much your way well down should great world still
@@ -86,15 +86,20 @@ def cost(token: str) -> float:
     return sum(table[a * SYMBOLS + b] for a, b in zip(t, t[1:])) / (len(t) - 1)
 
 
-def cost_limit(n: int, mixed: bool) -> float:
-    """The cost that a share LEVEL of ordinary tokens of n characters exceeds; the largest over the
+def _exceeded(values: list[float]) -> tuple[float, ...]:
+    """The value that each share of LEVELS of ``values`` exceeds."""
+    got = sorted(values)
+    return tuple(got[-1 - int(level * len(got))] for level in LEVELS)
+
+
+def cost_limits(n: int, mixed: bool) -> tuple[float, ...]:
+    """The costs that shares LEVELS of ordinary tokens of n characters exceed; the largest over the
     spellings with capitals and small letters (``mixed``) or with one of them."""
     top = []
     for style in (2,) if mixed else (0, 1, 3, 4):
         rng = random.Random(SEED + n)
-        got = sorted(cost(_joined(rng, n, WORDS[1::2], style)) for _ in range(SAMPLES))
-        top.append(got[-1 - int(LEVEL * SAMPLES)])
-    return max(top)
+        top.append(_exceeded([cost(_joined(rng, n, WORDS[1::2], style)) for _ in range(SAMPLES)]))
+    return tuple(map(max, zip(*top)))
 
 
 def battery(x: list[int], k: int) -> float:
@@ -112,15 +117,21 @@ def battery(x: list[int], k: int) -> float:
     return max(z1, 0) ** 2 + z2 ** 2 + z3 ** 2
 
 
-def hex_limit(n: int) -> float:
-    """The battery's value that a share HEX_LEVEL of ordinary tokens of n hexadecimal characters is below."""
+def hex_statistic(token: str) -> float:
+    """Cost less the battery's part, of a hexadecimal token."""
+    return cost(token) - HEX_WEIGHT * min(battery([(DIGITS + LETTERS[:6]).index(c) for c in token.lower()], 16), HEX_MOST)
+
+
+def hex_limits(n: int, upper: bool) -> tuple[float, ...]:
+    """``cost_limits`` of the statistic of hexadecimal tokens."""
     rng = random.Random(SEED + n)
-    got = sorted(battery([(DIGITS + LETTERS[:6]).index(c) for c in _joined(rng, n, HEX_WORDS, 1)], 16) for _ in range(SAMPLES))
-    return got[int(HEX_LEVEL * SAMPLES)]
+    words = [w.upper() for w in HEX_WORDS] if upper else HEX_WORDS
+    return _exceeded([hex_statistic(_joined(rng, n, words, 1)) for _ in range(SAMPLES)])
 
 
-# Least length of each class and its limits: cost_limit and hex_limit of that length (tested).
+# Least length of each class and the limits of that length at each of LEVELS (tested).
 LENGTHS = (20, 22, 24, 28, 32, 40, 48, 64)
-SINGLE = (5.95, 5.9, 5.8, 5.66, 5.56, 5.36, 5.3, 5.25)
-MIXED = (7.12, 7.03, 6.98, 6.7, 6.56, 6.44, 6.36, 6.22)
-HEX = (1.93, 2.72, 3.19, 5.31, 7.52, 13.31, 19.45, 31.9)
+SINGLE = ((5.35, 5.35, 5.31, 5.18, 5.12, 5.06, 4.98, 4.92), (5.95, 5.9, 5.8, 5.66, 5.56, 5.36, 5.3, 5.25))
+MIXED = ((6.45, 6.41, 6.34, 6.25, 6.17, 6.04, 5.98, 5.86), (7.12, 7.03, 6.98, 6.7, 6.56, 6.44, 6.36, 6.22))
+HEX_LOWER = ((5.34, 5.3, 5.21, 5.04, 4.98, 4.74, 4.5, 4.2), (5.71, 5.61, 5.7, 5.45, 5.35, 5.11, 4.94, 4.6))
+HEX_UPPER = ((5.26, 5.2, 5.13, 4.97, 4.9, 4.67, 4.42, 4.16), (5.58, 5.51, 5.52, 5.32, 5.2, 5.02, 4.81, 4.53))

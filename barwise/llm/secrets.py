@@ -10,13 +10,15 @@ squares is small for random strings, and a token that a test for randomness
 would reject is never reported.
 
 In 20 to 30 characters many ordinary tokens pass that test too. So a token
-must also be unlike ordinary ones: its mean cost under a fixed model of
-letter pairs must exceed what all but a share ``LEVEL`` of ordinary tokens of
-its own length and case cost. Hexadecimal tokens have no words to tell them
-by; there the battery must be below that of all but a share ``HEX_LEVEL`` of
-ordinary ones. Model and limits are fixed seeded samples (``ordinary``), so a
-token is judged alike in every corpus: the bound is on the share of ordinary
-tokens that are reported, not on their share among the reported.
+must also be unlike ordinary ones, which a p-value measures: the chance that
+an ordinary token of its own length and case has a statistic as high. The
+statistic is the mean cost under a fixed model of letter pairs, less a part of
+the battery for hexadecimal tokens, whose words tell little. The null is a
+fixed seeded sample (``ordinary``), so nothing depends on the corpus; beyond
+the tabulated shares its tail is taken as exponential. Over the candidates of
+a document the step-up rule of Benjamini and Hochberg then bounds the expected
+share of ordinary tokens among the reported ones by ``FDR``; so the more
+candidates a document has, the stronger each must be.
 There is one pass, no shuffle and no join.
 
 Everything is DataFrame functions; positions are code points.
@@ -24,6 +26,8 @@ Everything is DataFrame functions; positions are code points.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,9 +48,11 @@ TOKEN = "[A-Za-z0-9+/_-]{20,}"
 # A reported token is also one that a test for randomness would pass: chi-squared
 # with three degrees of freedom exceeds this with probability 0.001.
 CONSISTENT = 16.27
+FDR = 0.005
 # Alphabets by inferred encoding, the first that holds all characters.
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-ALPHABETS = (("[0-9a-f]+", DIGITS + LOWER[:6]), ("[0-9A-F]+", DIGITS + UPPER[:6]), ("[A-Z2-7]+", UPPER + DIGITS[2:8]),
+ALPHABETS = (("[0-9a-f]+", DIGITS + LOWER[:6]), ("[0-9A-F]+", DIGITS + UPPER[:6]),
+             ("[a-z]+", LOWER), ("[A-Z]+", UPPER), ("[A-Za-z]+", UPPER + LOWER), ("[A-Z2-7]+", UPPER + DIGITS[2:8]),
              ("[0-9a-z]+", DIGITS + LOWER), ("[0-9A-Z]+", DIGITS + UPPER), ("[0-9A-Za-z]+", DIGITS + UPPER + LOWER),
              ("[0-9A-Za-z+/]+", UPPER + LOWER + DIGITS + "+/"), (".*", UPPER + LOWER + DIGITS + "-_+/"))
 
@@ -155,19 +161,45 @@ def cost(token: Column) -> Column:
 _HEX = "^([0-9a-f]+|[0-9A-F]+)$"
 
 
-def is_random(token: Column) -> Column:
-    """Whether a candidate passes the battery and is unlike ordinary tokens of its length."""
-    limit = lambda x: F.get(F.array(*[F.lit(v) for v in x]), _class(token))
-    both = token.rlike("[a-z]") & token.rlike("[A-Z]")
-    unlike = token.rlike(_HEX) | (cost(token) > F.when(both, limit(ordinary.MIXED)).otherwise(limit(ordinary.SINGLE)))
-    most = F.when(token.rlike(_HEX), F.least(limit(ordinary.HEX), F.lit(CONSISTENT))).otherwise(F.lit(CONSISTENT))
-    return token.rlike("[A-Za-z]") & unlike & (battery(token, _alphabet(token)) <= most)
+def _tail(statistic: Column, limits: tuple[Column, Column]) -> Column:
+    """The chance of a statistic as high: exponential through the two tabulated shares."""
+    often, seldom = ordinary.LEVELS
+    steps = (statistic - limits[1]) / (limits[1] - limits[0])
+    return F.least(F.lit(1.0), seldom * F.exp(-math.log(often / seldom) * steps))
+
+
+def p_value(token: Column) -> Column:
+    """The chance that an ordinary token of this length and case is as unlike ordinary ones; 1 if the
+    battery rejects randomness, or if it exceeds FDR anyway."""
+    at = lambda tables: tuple(F.get(F.array(*[F.lit(v) for v in x]), _class(token)) for x in tables)
+    hexadecimal, upper, lower = token.rlike(_HEX), token.rlike("[A-Z]"), token.rlike("[a-z]")
+    pick = lambda i: F.when(upper & lower, at(ordinary.MIXED)[i]).otherwise(at(ordinary.SINGLE)[i])
+    hex_pick = lambda i: F.when(upper, at(ordinary.HEX_UPPER)[i]).otherwise(at(ordinary.HEX_LOWER)[i])
+    words, digits = (pick(0), pick(1)), (hex_pick(0), hex_pick(1))
+
+    def judged(c: Column) -> Column:
+        tested = F.when(hexadecimal | (_tail(c, words) <= FDR), battery(token, _alphabet(token)))
+        return let(tested, lambda b: F.when(b.isNull() | (b > CONSISTENT), 1.0).when(
+            hexadecimal, _tail(c - ordinary.HEX_WEIGHT * F.least(b, F.lit(ordinary.HEX_MOST)), digits)).otherwise(_tail(c, words)))
+
+    return let(cost(token), judged)
+
+
+def _discoveries(candidates: Column) -> Column:
+    """The candidates that the step-up rule reports: the largest p with p <= FDR * rank / count, and all below."""
+    def cut(ps: Column) -> Column:
+        passed = F.transform(F.array_sort(ps), lambda p, i: F.when(p <= FDR * (i + 1) / F.size(ps), p).otherwise(-1.0))
+        return F.array_max(passed)
+
+    return let(F.transform(candidates, lambda s: p_value(s["token"])),
+               lambda ps: let(cut(ps), lambda most: F.filter(candidates, lambda s, i: F.get(ps, i) <= most)))
 
 
 def random_spans(text: Column, base: Column) -> Column:
-    """Random candidates that touch no base span."""
+    """The random ones of the text's candidates that touch no base span."""
     free = lambda s: ~F.exists(base, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
-    return F.filter(_matches(text, TOKEN, 3), lambda s: free(s) & is_random(s["token"]))
+    found = F.filter(_matches(text, TOKEN, 3), lambda s: s["token"].rlike("[A-Za-z]") & free(s))
+    return let(found, lambda c: F.when(F.size(c) > 0, _discoveries(c)).otherwise(c))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:

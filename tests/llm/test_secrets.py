@@ -21,6 +21,31 @@ def base(t):
     return sorted(out)
 
 
+def plain_p(t):
+    """``secrets.p_value`` of a token in plain Python, without the short cut above FDR."""
+    i = max(k for k, n in enumerate(ordinary.LENGTHS) if len(t) >= n)
+    alphabet = next(a for p, a in sc.ALPHABETS if re.fullmatch(p, t))
+    b = ordinary.battery([alphabet.index(c) for c in t], len(alphabet))
+    if b > sc.CONSISTENT:
+        return 1.0
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", t):
+        x, table = ordinary.cost(t) - 0.03 * min(b, 40), ordinary.HEX_UPPER if re.search("[A-Z]", t) else ordinary.HEX_LOWER
+    else:
+        x, table = ordinary.cost(t), ordinary.MIXED if re.search("[a-z]", t) and re.search("[A-Z]", t) else ordinary.SINGLE
+    u, v = table[0][i], table[1][i]
+    return min(1.0, 0.001 * 20 ** (-(x - v) / (v - u)))
+
+
+def plain_random(text):
+    """(start, kind, end) of the random spans: plain candidates, p-values and step-up rule."""
+    taken = [(a, e) for a, _, e in base(text)]
+    found = [(m.start(), m.end(), m.group()) for m in re.finditer("[A-Za-z0-9+/_-]{20,}", text or "") if re.search("[A-Za-z]", m.group())]
+    found = [f for f in found if not any(a < f[1] and f[0] < e for a, e in taken)]
+    ps = [plain_p(t) for _, _, t in found]
+    passed = [p for i, p in enumerate(sorted(ps)) if p <= sc.FDR * (i + 1) / len(ps)]
+    return [(a, 3, e) for (a, e, _), p in zip(found, ps) if passed and p <= max(passed)]
+
+
 def named(spans):
     return ",".join(f"{sc.KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
@@ -88,11 +113,12 @@ def test_redaction(spark):
     want = []
     for i, t in rows:
         parts, at = [], 0
-        for a, _, b in base(t):
+        spans = sorted(base(t) + plain_random(t))
+        for a, _, b in spans:
             if a >= at:
                 parts += [t[at:a], "[SECRET]"]
             at = max(at, b)
-        want.append((str(i), t if not base(t) else "".join(parts) + t[at:]))
+        want.append((str(i), t if not spans else "".join(parts) + t[at:]))
     got = [(str(r.doc_id), r.text) for r in out.collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert all(r.n_chars == len(r.text or "") for r in out.collect())
@@ -118,24 +144,55 @@ def test_random_tokens_do_not_depend_on_the_corpus(spark):
 def test_limits_and_cost_are_those_of_the_model(spark):
     for i in (0, 4):
         n = ordinary.LENGTHS[i]
-        got = (ordinary.cost_limit(n, False), ordinary.cost_limit(n, True), ordinary.hex_limit(n))
-        assert all(abs(a - b) <= 0.011 for a, b in zip(got, (ordinary.SINGLE[i], ordinary.MIXED[i], ordinary.HEX[i])))
+        for got, table in ((ordinary.cost_limits(n, False), ordinary.SINGLE), (ordinary.cost_limits(n, True), ordinary.MIXED),
+                           (ordinary.hex_limits(n, False), ordinary.HEX_LOWER), (ordinary.hex_limits(n, True), ordinary.HEX_UPPER)):
+            assert all(abs(a - t[i]) <= 0.011 for a, t in zip(got, table))
     tokens = ORDINARY + ["aB3+/_-Zz9" * 3]
     got = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", sc.cost(F.col("t")).alias("c")).collect()
     assert all(abs(r.c - ordinary.cost(r.t)) < 1e-9 for r in got)
 
 
+def test_false_discovery_control_equals_plain_step_up(spark):
+    rng = random.Random(12)
+    made = lambda n: ordinary._joined(rng, n, ordinary.WORDS[1::2], rng.randrange(5))
+    rows = []
+    for d in range(60):
+        toks = [made(rng.randint(20, 50)) for _ in range(rng.randint(0, 12))]
+        toks += keys(rng, rng.choice([B62, B62[26:], B62[:26], "0123456789ABCDEF"]), rng.randint(20, 36), rng.randint(0, 4))
+        rng.shuffle(toks)
+        rows.append((d, " ".join(toks)))
+    rows.append((60, rows[0][1]))
+    got = {r.doc_id: r.spans for r in sc.report(docs(spark, rows)).collect()}
+    some = 0
+    for d, text in rows:
+        want = [f"random:{a}:{e}" for a, _, e in plain_random(text)]
+        assert [x for x in got[d].split(",") if x.startswith("random")] == want
+        some += len(want)
+    assert some > 40
+
+
+def test_share_of_ordinary_tokens_reported(spark):
+    """Documents of ordinary tokens alone: at most about FDR of them have a report, few or many tokens each."""
+    rng = random.Random(99)
+    tokens = [ordinary._joined(rng, rng.choice((20, 26, 32, 44)), ordinary.WORDS[1::2], rng.randrange(5)) for _ in range(6000)]
+    rows = [(i, " ".join(tokens[i:i + 1])) for i in range(3000)] + [(3000 + i, " ".join(tokens[3000 + 10 * i:3010 + 10 * i])) for i in range(300)]
+    got = sc.report(docs(spark, rows)).filter("spans <> ''").collect()
+    assert sum(r.doc_id < 3000 for r in got) <= 30 and sum(r.doc_id >= 3000 for r in got) <= 5
+
+
 def test_planted_keys_of_every_length_are_found(spark):
     rng = random.Random(8)
     letters = [k for k in keys(rng, B62, 20, 4000) if k.isalpha()]
     sets = {(n, c): keys(rng, chars, n, 100) for n in (20, 24, 32, 40, 48, 64) for c, chars in (("base62", B62), ("base36", B62[26:]))}
     sets[20, "letters"] = letters[:80]
-    rows = [(n, f"see {k} here", c) for (n, c), many in sets.items() for k in many]
-    got = sc.report(docs(spark, rows).withColumn("doc_id", F.concat(F.col("doc_id").cast("string"), F.when(F.col("lang") == "base62", "1").when(F.col("lang") == "base36", "2").otherwise("3")).cast("long"))).collect()
+    sets |= {(n, c): keys(rng, chars, n, 100) for n in (28, 32, 40, 48, 64) for c, chars in (("HEX", "0123456789ABCDEF"), ("upper", B62[:26]), ("lower", B62[26:52]))}
+    kinds = ("base62", "base36", "letters", "HEX", "upper", "lower")
+    rows = [(10 * n + kinds.index(c), f"see {k} here") for (n, c), many in sets.items() for k in many]
+    got = sc.report(docs(spark, rows)).collect()
     found = {}
     for r in got:
         found[r.doc_id] = found.get(r.doc_id, 0) + ("random" in r.spans)
     for (n, c), many in sets.items():
-        assert found[int(f"{n}{('base62', 'base36', 'letters').index(c) + 1}")] >= (0.85 if n < 32 else 0.95) * len(many), (n, c)
+        assert found[10 * n + kinds.index(c)] >= (0.85 if n < 32 else 0.95) * len(many), (n, c)
     plain = ["thisisaverylongidentifier", "internationalization/configuration", "Donaudampfschifffahrtsgesellschaft", "--------------------------"]
     assert not any(r.spans for r in sc.report(docs(spark, list(enumerate(plain)))).collect())
