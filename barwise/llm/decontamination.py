@@ -7,7 +7,8 @@ can hold one. Over these runs a suffix array is built by prefix doubling. All
 benchmark suffixes are then searched in it at once by vectorised binary
 search: the first ``window`` words give the block of suffixes (all verbatim
 occurrences), and narrowing this block word by word gives the longest match
-and its places.
+and its places, and the place of each benchmark suffix in the shard's order;
+the suffixes next to it give each document's own longest match.
 
 Documents never move: there is no shuffle. The benchmark is the stated query
 set. It is broadcast in blocks whose text is at most ``block_bytes``, checked
@@ -43,9 +44,28 @@ class Index:
     ends: np.ndarray  # for each word, where its item ends
     items: list  # item id per item
     item_of: np.ndarray  # item number of each word
+    sorted: np.ndarray  # windows' places, in the order of the suffixes that begin there
+    lcp: np.ndarray  # words that each of them shares with the one before
     starts: np.ndarray  # where each distinct window begins
     lens: np.ndarray  # its words
-    holders: list[np.ndarray]  # item numbers holding it
+    group: np.ndarray  # where its places begin in ``sorted``; one more at the end
+
+    def holders(self, c: int) -> np.ndarray:
+        """Item numbers holding distinct window c."""
+        return np.unique(self.item_of[self.sorted[self.group[c]:self.group[c + 1]]])
+
+
+def _shared(text: np.ndarray, a: np.ndarray, words: np.ndarray, b: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Words that ``text`` from each place a and ``words`` from each place b share, up to b's item end.
+    ``text`` ends with a word that is none."""
+    n = np.zeros(len(a), np.int64)
+    live = np.flatnonzero(b < ends[b]) if len(b) else np.zeros(0, np.int64)
+    while len(live):
+        same = text[a[live] + n[live]] == words[b[live] + n[live]]
+        live = live[same]
+        n[live] += 1
+        live = live[b[live] + n[live] < ends[b[live]]]
+    return n
 
 
 def build_index(rows: list[tuple], window: int = WINDOW) -> Index:
@@ -57,16 +77,25 @@ def build_index(rows: list[tuple], window: int = WINDOW) -> Index:
     vocab, words = np.unique(hashes, return_inverse=True)
     words = words.astype(np.int32)
     item_of = np.repeat(np.arange(len(rows)), counts)
-    last = np.cumsum(counts)
-    seen: dict[bytes, list] = {}
-    for i, (end, n) in enumerate(zip(last, counts)):
-        w = min(window, int(n))
-        for s in range(int(end - n), int(end) - w + 1) if w else ():
-            seen.setdefault(words[s:s + w].tobytes(), [s, w, set()])[2].add(i)
-    got = list(seen.values())
-    return Index(vocab, words, np.repeat(last, counts), [r[0] for r in rows], item_of,
-                 np.array([g[0] for g in got], np.int64), np.array([g[1] for g in got], np.int64),
-                 [np.array(sorted(g[2])) for g in got])
+    ends = np.repeat(np.cumsum(counts), counts)
+    size = np.repeat(counts, counts)
+    # All suffixes in order, items parted by a gap; of them those that begin with a window.
+    spaced = np.full(len(words) + len(rows), -1, np.int32)
+    spaced[np.arange(len(words)) + item_of] = words
+    sa = SuffixArray(spaced, 1)
+    at = sa.at[sa.order]
+    order = at - (np.cumsum(spaced < 0)[at] if len(at) else 0)
+    w = np.minimum(window, size)
+    order = order[order + w[order] <= ends[order]]
+    # An item that is shorter than the window equals no other window, only items of its own length.
+    order = order[np.argsort(w[order], kind="stable")]
+    closed = np.append(words, np.int32(-1))
+    lcp = np.zeros(len(order), np.int64)
+    lcp[1:] = _shared(closed, order[:-1], words, order[1:], ends)
+    lcp[1:] = np.minimum(lcp[1:], ends[order[:-1]] - order[:-1])
+    lcp[1:][w[order][1:] != w[order][:-1]] = 0
+    first = np.flatnonzero(lcp < w[order])
+    return Index(vocab, words, ends, [r[0] for r in rows], item_of, order, lcp, order[first], w[order][first], np.append(first, len(order)))
 
 
 class SuffixArray:
@@ -127,10 +156,11 @@ class SuffixArray:
         return self._bound(words, starts, length, False), self._bound(words, starts, length, True)
 
     def lengthen(self, words: np.ndarray, ends: np.ndarray, starts: np.ndarray, length: int,
-                 lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Narrow non-empty blocks word by word: longest match and its block."""
+                 lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Narrow non-empty blocks word by word: longest match, its block, and the query's own place in the order."""
         n = np.full(len(starts), length)
         lo, hi = lo.copy(), hi.copy()
+        own = lo.copy()  # of a query that ends inside its block: before it
         live = np.flatnonzero(starts + n < ends[starts])
         while len(live):
             want = words[starts[live] + n[live]]
@@ -145,12 +175,13 @@ class SuffixArray:
                     a = np.where(open_ & before, mid + 1, a)
                     b = np.where(open_ & ~before, mid, b)
                 cut.append(a)
+            own[live] = cut[0]
             more = cut[0] < cut[1]
             live, a, b = live[more], cut[0][more], cut[1][more]
             lo[live], hi[live] = a, b
             n[live] += 1
             live = live[starts[live] + n[live] < ends[starts[live]]]
-        return n, lo, hi
+        return n, lo, hi, own
 
 
 def _shard(data: np.ndarray, offs: np.ndarray, index: Index) -> tuple[SuffixArray | None, np.ndarray, np.ndarray]:
@@ -167,21 +198,83 @@ def _shard(data: np.ndarray, offs: np.ndarray, index: Index) -> tuple[SuffixArra
     return SuffixArray(ranks, int(index.lens.min())), n, begin
 
 
-def _hits(sa: SuffixArray | None, index: Index, size: int, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, set]]:
-    """(hit flag per shard place, texts with a hit, item numbers per such text)."""
+@dataclass
+class Hits:
+    """Matches of a shard's texts."""
+
+    flag: np.ndarray  # per shard place, whether a window covers it
+    items: dict[int, set]  # item numbers per text with a hit
+    longest: dict[int, tuple]  # (words, start word, benchmark place) per text with a hit
+
+
+def _hits(sa: SuffixArray | None, index: Index, size: int, begin: np.ndarray) -> Hits:
     flag = np.zeros(size + 1, np.int64)
-    items: dict[int, set] = {}
-    if sa is not None:
-        for w in np.unique(index.lens):
-            chosen = np.flatnonzero(index.lens == w)
-            lo, hi = sa.blocks(index.words, index.starts[chosen], int(w))
-            for c, a, b in zip(chosen[lo < hi], lo[lo < hi], hi[lo < hi]):
-                at = sa.at[sa.order[a:b]]
-                np.add.at(flag, at, 1)
-                np.add.at(flag, at + w, -1)
-                for d in np.unique(np.searchsorted(begin, at, side="right") - 1).tolist():
-                    items.setdefault(d, set()).update(index.holders[c].tolist())
-    return np.cumsum(flag)[:-1] > 0, np.array(sorted(items), np.int64), items
+    out = Hits(flag[:-1] > 0, {}, {})
+    if sa is None:
+        return out
+    for w in np.unique(index.lens):
+        chosen = np.flatnonzero(index.lens == w)
+        lo, hi = sa.blocks(index.words, index.starts[chosen], int(w))
+        found = lo < hi
+        if not found.any():
+            continue
+        chosen, lo, hi = chosen[found], lo[found], hi[found]
+        for c, a, b in zip(chosen, lo, hi):
+            at = sa.at[sa.order[a:b]]
+            np.add.at(flag, at, 1)
+            np.add.at(flag, at + w, -1)
+            held = index.holders(c).tolist()
+            for d in np.unique(np.searchsorted(begin, at, side="right") - 1).tolist():
+                out.items.setdefault(d, set()).update(held)
+        _keep_longest(sa, index, int(w), chosen, lo, hi, begin, out.longest)
+    out.flag = np.cumsum(flag)[:-1] > 0
+    return out
+
+
+def _keep_longest(sa: SuffixArray, index: Index, w: int, chosen: np.ndarray, lo: np.ndarray, hi: np.ndarray,
+                  begin: np.ndarray, longest: dict[int, tuple]) -> None:
+    """The longest match of each text among the blocks of the windows ``chosen``, ties to the first start.
+
+    Every benchmark suffix of these windows is narrowed to its own place among the shard's
+    suffixes; a shard suffix shares most with the benchmark suffix before or after it.
+    """
+    many = index.group[chosen + 1] - index.group[chosen]
+    q = index.sorted[np.repeat(index.group[chosen] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+    _, _, _, own = sa.lengthen(index.words, index.ends, q, w, np.repeat(lo, many), np.repeat(hi, many))
+    by = np.argsort(lo, kind="stable")  # blocks do not overlap, and the suffixes of each are in order
+    if (by[1:] < by[:-1]).any():
+        edge = np.concatenate([[0], np.cumsum(many)])
+        pick = np.concatenate([np.arange(edge[k], edge[k + 1]) for k in by])
+        q, own, lo, hi = q[pick], own[pick], lo[by], hi[by]
+    wide = hi - lo
+    rank = np.repeat(lo - np.cumsum(wide) + wide, wide) + np.arange(wide.sum())
+    pos = sa.order[rank]
+    after = np.searchsorted(own, rank, side="right")
+    before, after = np.maximum(after - 1, 0), np.minimum(after, len(q) - 1)
+    one, two = (_shared(sa.text, pos, index.words, q[k], index.ends) for k in (before, after))
+    n, place = np.maximum(one, two), np.where(one >= two, q[before], q[after])
+    at = sa.at[pos]
+    d = np.searchsorted(begin, at, side="right") - 1
+    order = np.lexsort((at, -n, d))
+    first = order[np.unique(d[order], return_index=True)[1]]
+    for k in first.tolist():
+        got = (-int(n[k]), int(at[k] - begin[d[k]]), int(place[k]))
+        longest[int(d[k])] = min(longest.get(int(d[k]), (0,)), got)
+
+
+def _least_item(index: Index, place: int, n: int, known: dict) -> str | None:
+    """The least id, as a string, of the items that hold the n words at a benchmark place; ``known`` keeps answers."""
+    passage = index.words[place:place + n].tobytes()
+    if passage not in known:
+        w = min(n, int(index.lens.max()))
+        ids = set()
+        for c in np.flatnonzero((index.lens <= w) & (index.words[index.starts] == index.words[place])):
+            if (index.words[index.starts[c]:index.starts[c] + index.lens[c]] == index.words[place:place + index.lens[c]]).all():
+                for s in index.sorted[index.group[c]:index.group[c + 1]].tolist():
+                    if s + n <= index.ends[s] and index.words[s:s + n].tobytes() == passage:
+                        ids.add(index.items[index.item_of[s]])
+        known[passage] = min((str(i) for i in ids if i is not None), default=None)
+    return known[passage]
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple]]:
@@ -194,7 +287,8 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple]]:
         yield [(r[0], r[1]) for r in part.collect()]
 
 
-_FOUND = "n_words long, runs array<struct<a:long,b:long>>, items array<string>, has_hit boolean"
+_FOUND = "n_words long, runs array<struct<a:long,b:long>>, items array<string>, has_hit boolean, longest struct<words:long,start:long,item:string>"
+_LONGEST = pa.struct([("words", pa.int64()), ("start", pa.int64()), ("item", pa.string())])
 _RUN = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
 
@@ -203,21 +297,23 @@ def _scan(pairs: DataFrame, index_bc, shard_bytes: int) -> DataFrame:
     schema = T.StructType([pairs.schema["doc"], *T._parse_datatype_string(_FOUND).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = index_bc.value
+        index, known = index_bc.value, {}
         for b in batches:
             for i, j, data, offs in text_parts(b.column(1), shard_bytes):
                 sa, n, begin = _shard(data, offs, index)
-                flag, touched, items = _hits(sa, index, int(n.sum()) + len(n), begin)
-                runs, names = [[] for _ in n], [[] for _ in n]
-                for d in touched.tolist():
-                    f = flag[begin[d]:begin[d] + n[d]]
+                hits = _hits(sa, index, int(n.sum()) + len(n), begin)
+                runs, names, longest = [[] for _ in n], [[] for _ in n], [None] * len(n)
+                for d, items in hits.items.items():
+                    m, start, place = hits.longest[d]
+                    longest[d] = {"words": -m, "start": start, "item": _least_item(index, place, -m, known)}
+                    f = hits.flag[begin[d]:begin[d] + n[d]]
                     edge = np.flatnonzero(np.diff(f.view(np.int8), prepend=0, append=0)).tolist()
                     runs[d] = [{"a": x, "b": y} for x, y in zip(edge[::2], edge[1::2])]
-                    names[d] = sorted({str(index.items[k]) for k in items[d] if index.items[k] is not None})
+                    names[d] = sorted({str(index.items[k]) for k in items if index.items[k] is not None})
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(runs, _RUN),
-                     pa.array(names, pa.list_(pa.string())), pa.array([bool(r) for r in runs])],
-                    names=["doc", "n_words", "runs", "items", "has_hit"])
+                     pa.array(names, pa.list_(pa.string())), pa.array([bool(r) for r in runs]), pa.array(longest, _LONGEST)],
+                    names=["doc", "n_words", "runs", "items", "has_hit", "longest"])
 
     return pairs.select("doc", "text").mapInArrow(run, schema)
 
@@ -225,7 +321,9 @@ def _scan(pairs: DataFrame, index_bc, shard_bytes: int) -> DataFrame:
 def find_overlaps(pairs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """For ``pairs`` (doc: any payload, text): doc, n_words, runs (hit word
-    ranges), items (ids as strings, sorted), has_hit.
+    ranges), items (ids as strings, sorted), has_hit, longest (words, start, item:
+    the longest verbatim match of a window or more, the first word of its first place in
+    the document, and the least id, as a string, of the items holding it; null without a hit).
 
     Null and empty texts have no words. An item of fewer words than ``window``
     (but not none) is one window. Items without an id still make words hit,
@@ -249,7 +347,11 @@ def find_overlaps(pairs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         second = next(blocks, None)
     united = parts.groupBy(F.col("doc").alias("_row")).agg(
         F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("runs"))).alias("runs"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.min(F.when(F.col("longest").isNotNull(), F.struct((-F.col("longest.words")).alias("w"), F.col("longest.start").alias("s"),
+                                                            F.col("longest.item").isNull().alias("x"), F.col("longest.item").alias("i")))).alias("m"))
+    united = united.withColumn("longest", F.when(F.col("m").isNotNull(), F.struct(
+        (-F.col("m.w")).alias("words"), F.col("m.s").alias("start"), F.col("m.i").alias("item")))).drop("m")
     # Union of ranges: in order of their starts, extend the last one or begin another.
     last = lambda acc: F.element_at(acc, -1)
     merged = F.aggregate(
@@ -264,12 +366,14 @@ def find_overlaps(pairs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items; see ``find_overlaps``."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, longest_words (0 without a hit),
+    longest_start, longest_item; see ``find_overlaps``."""
     found = find_overlaps(docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), benchmark, **options)
     n_hit = F.aggregate("runs", F.lit(0).cast("long"), lambda s, r: s + r["b"] - r["a"])
     return found.select(F.col("doc").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
-                        F.col("has_hit").alias("contaminated"), "items")
+                        F.col("has_hit").alias("contaminated"), "items", F.coalesce("longest.words", F.lit(0)).cast("long").alias("longest_words"),
+                        F.col("longest.start").alias("longest_start"), F.col("longest.item").alias("longest_item"))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -308,7 +412,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         q = every[(every_w == w) & (every + w <= index.ends)]
                         lo, hi = sa.blocks(index.words, q, int(w))
                         q, lo, hi = q[lo < hi], lo[lo < hi], hi[lo < hi]
-                        length, lo, hi = sa.lengthen(index.words, index.ends, q, int(w), lo, hi)
+                        length, lo, hi, _ = sa.lengthen(index.words, index.ends, q, int(w), lo, hi)
                         for s, m, x, y in zip(q, length, lo, hi):
                             at = sa.at[sa.order[x:y]]
                             d = np.searchsorted(begin, at, side="right") - 1

@@ -60,6 +60,32 @@ def test_hits_equal_brute_force(spark):
         assert rows_of(dc.contamination(docs(spark, rows), b, block_bytes=900), *COLS) == want
 
 
+def test_longest_match_of_each_document_equals_brute_force(spark):
+    for seed in (3, 4):
+        rows, bench = fixture(seed)
+        rows += [(900, bench[0][1] + " and " + bench[1][1]), (901, " ".join(bench[2][1].split()[2:]) + " two words"), (902, "so two words")]
+        items = [(None if i is None else str(i), ALNUM.findall(low(t))) for i, t in bench]
+        want = []
+        for i, text in rows:
+            w = ALNUM.findall(low(text))
+            best = []
+            for item, q in items:
+                need = min(10, len(q))
+                for s in range(len(w)) if need else ():
+                    for a in range(len(q) - need + 1):
+                        k = 0
+                        while s + k < len(w) and a + k < len(q) and w[s + k] == q[a + k]:
+                            k += 1
+                        if k >= need:
+                            best.append((-k, s, item is None, item))
+            m = min(best, key=lambda x: (*x[:3], x[3] or ""), default=(0, None, None, None))
+            want.append((i, -m[0], m[1], m[3]))
+        b = spark.createDataFrame(bench, "item_id long, text string")
+        for options in ({}, {"shard_bytes": 700}, {"block_bytes": 900}):
+            got = rows_of(dc.contamination(docs(spark, rows), b, **options), "doc_id", "longest_words", "longest_start", "longest_item")
+            assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_suffix_array_is_sorted_and_complete():
     rng = np.random.default_rng(4)
     for alphabet, n in ((1, 40), (2, 300), (30, 300)):
