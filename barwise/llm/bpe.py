@@ -24,12 +24,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RANKS, MODEL = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
-CACHE_PIECES = 400_000
+CACHE_PIECES = 100_000
+PART_BYTES = 2 << 20  # of text that one output batch is made from, a longer text alone
 # Characters for which the regex module and the tokenizers library agree on
 # letters, numbers and spaces (checked over all of them in the tests). Texts
 # with other characters are cut by the library itself.
@@ -152,6 +154,16 @@ def _texts(col: pa.Array) -> Iterator[str]:
         yield t.as_py() or ""
 
 
+def _parts(b: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about PART_BYTES of the texts in column ``at``, so that ids
+    of few texts are held at a time, here and in the JVM that reads them."""
+    sizes = pc.fill_null(pc.binary_length(b.column(at)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes) // PART_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), b.num_rows]
+    for i, j in zip(edges, edges[1:]):
+        yield b.slice(i, j - i)
+
+
 def encode(docs: DataFrame, ids_col: str = "ids", text_col: str = "text", ranks: str = RANKS, model: str = MODEL) -> DataFrame:
     """``docs`` with a binary column of its texts' ids (little-endian unsigned 32-bit).
 
@@ -163,7 +175,7 @@ def encode(docs: DataFrame, ids_col: str = "ids", text_col: str = "text", ranks:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(ranks, model)
-        for b in batches:
+        for b in (x for whole in batches for x in _parts(whole, keep.index(text_col))):
             ids = pa.array([coder.encode(t) for t in _texts(b.column(keep.index(text_col)))], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, ids], names=[*keep, ids_col])
 
@@ -182,7 +194,7 @@ def digests(docs: DataFrame, with_ids: bool = False, ranks: str = RANKS, model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(ranks, model)
-        for b in batches:
+        for b in (x for whole in batches for x in _parts(whole, 1)):
             n, ids_sha, text_sha, kept = [], [], [], []
             for t in _texts(b.column(1)):
                 ids = coder.encode(t)
