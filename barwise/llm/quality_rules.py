@@ -94,7 +94,8 @@ def _distance(y: list[Column]) -> Column:
 
 def _concentrate(rows: DataFrame, params: DataFrame) -> DataFrame:
     """One concentration step: estimates from the nearest ``SHARE`` of each pool."""
-    devs = rows.join(params, "pool").withColumns({f"y{i}": y for i, y in enumerate(_deviations(F.col("n_words")))})
+    devs = rows.join(bounded_broadcast(params), "pool")  # a row per pool; unsent, documents would be dealt by pool
+    devs = devs.withColumns({f"y{i}": y for i, y in enumerate(_deviations(F.col("n_words")))})
     d = _distance([F.col(f"y{i}") for i in range(D)])
     devs = devs.withColumn("bin", F.least(F.floor(F.log1p(d) * 24), F.lit(BINS - 1)).cast("int"))
     sums = [F.sum(f"y{i}").alias(f"s{i}") for i in range(D)]
@@ -135,13 +136,13 @@ def judge(pairs: DataFrame) -> DataFrame:
     rows = with_statistics(pairs, "text", "s").drop("text").withColumn("base_failed", base_failed(F.col("s")))
     rows = stored(rows.withColumns({f"x{i}": x for i, x in enumerate(_vector(F.col("s")))}), "statistics")
     good = rows.filter("not base_failed").select("lang", "source", F.col("s.n_words").alias("n_words"), *[f"x{i}" for i in range(D)])
-    pools = stored(_pools(good), "pools")
+    pools = bounded_broadcast(stored(_pools(good), "pools"))
     cell = lambda left: (left["lang"].eqNullSafe(pools["lang"])) & (left["source"].eqNullSafe(pools["source"]))
     pooled = good.join(pools, cell(good)).drop("lang", "source")
     params = stored(_center(pooled), "estimates")
     for _ in range(STEPS):
         params = stored(_concentrate(pooled, params), "estimates")
-    judged = rows.join(pools, cell(rows), "left").drop(pools["lang"]).drop(pools["source"]).join(params, "pool", "left")
+    judged = rows.join(pools, cell(rows), "left").drop(pools["lang"]).drop(pools["source"]).join(bounded_broadcast(params), "pool", "left")
     distance = F.when(~F.col("base_failed"), _distance(_deviations(F.col("s.n_words"))))
     judged = judged.withColumn("distance", distance)
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("distance") > CUT, F.lit(False))
