@@ -176,9 +176,11 @@ def sample(docs: DataFrame, lang: str = "lang", per_language: int = PER_LANGUAGE
                     names=["doc_id", "lang", "buckets", "counts"])
 
     chosen = pool.filter(draw < limit).select(F.col("doc_id").cast("long"), "lang", "text").mapInArrow(run, schema)
+    # An id may repeat in very many rows: the least histogram of each id and language stands for it.
+    chosen = chosen.groupBy("doc_id", "lang").agg(F.min(F.struct("buckets", "counts")).alias("h")).select("doc_id", "lang", "h.*")
     seen: dict[str, int] = {}
     out = []
-    for r in chosen.orderBy(F.xxhash64(F.col("doc_id"), F.lit("langid")), "doc_id").toLocalIterator():
+    for r in chosen.orderBy(F.xxhash64(F.col("doc_id"), F.lit("langid")), "doc_id", "lang").toLocalIterator():
         if seen.get(r["lang"], 0) < per_language:
             seen[r["lang"]] = seen.get(r["lang"], 0) + 1
             out.append((r["lang"], np.frombuffer(r["buckets"], np.uint16).astype(np.int64), np.frombuffer(r["counts"], np.float32)))

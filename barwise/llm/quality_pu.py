@@ -154,7 +154,7 @@ def train(pos: np.ndarray, unl: np.ndarray, seed: int = 11) -> Net | None:
 
 
 def _sample(docs: DataFrame, ids: DataFrame) -> np.ndarray:
-    """Features of the documents with the (bounded) ids, in a fixed order."""
+    """Features of the documents with the (bounded) ids, one row of each id, in a fixed order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, offs in text_parts(b.column(1), PART_BYTES):
@@ -162,7 +162,8 @@ def _sample(docs: DataFrame, ids: DataFrame) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "x"])
 
     rows = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(run, "doc_id long, x array<double>")
-    got = rows.orderBy(F.xxhash64("doc_id"), "x").collect()
+    # An id may repeat in very many rows: the least features of each stand for it.
+    got = rows.groupBy("doc_id").agg(F.min("x").alias("x")).orderBy(F.xxhash64("doc_id"), "x").collect()
     return np.array([r["x"] for r in got]).reshape(len(got), N_FEATURES)
 
 

@@ -95,3 +95,14 @@ def test_prior_estimate():
     for share in (0.3, 0.8):
         unl = np.concatenate([rng.normal(2, 1, int(4000 * share)), neg[: int(4000 * (1 - share))]])
         assert abs(quality_pu.estimate_prior(pos, unl) - share) < 0.05
+
+
+def test_one_id_in_a_third_of_the_rows_stays_bounded(spark):
+    """Rows that repeat an id count once in the samples, whatever their texts."""
+    rng = random.Random(6)
+    rows = [(i, text(rng, "aa", 20), "aa") for i in range(60)] + [(7, text(rng, "aa", 20), "aa") for _ in range(300)]
+    assert len(langid.sample(docs(spark, rows))) == len({i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2})
+    ids = spark.range(10).select(F.col("id").alias("doc_id"))
+    one = quality_pu._sample(docs(spark, rows).select("doc_id", "text"), ids)
+    assert one.shape == (10, quality_pu.N_FEATURES)
+    assert (one == quality_pu._sample(docs(spark, rows[::-1]).select("doc_id", "text"), ids)).all()
