@@ -88,6 +88,17 @@ def buckets(classes: DataFrame) -> DataFrame:
     return classes.select(F.explode(keys).alias("bucket"), F.col("rep").alias("node"))
 
 
+def _grouped(rows: DataFrame, key: str, *aggs: Column) -> DataFrame:
+    """``rows`` grouped by the long ``key``, to be joined with rows of that key.
+
+    Grouped by the key's complement, the result is not yet dealt by the key, so the join
+    exchanges both sides anew: only then can Spark split the rows of a hot key over tasks
+    (skew join), or send a small result to all of them instead.
+    """
+    names = rows.groupBy(F.bitwise_not(key).alias("_key")).agg(*aggs)
+    return names.select(F.bitwise_not("_key").alias(key), *names.columns[1:])
+
+
 def _little_endian(col: str) -> Column:
     """A long as eight bytes, lowest first."""
     digits = F.lpad(F.hex(col), 16, "0")
@@ -233,11 +244,11 @@ def components(links: DataFrame) -> DataFrame:
     was = mark(edges)
     while was[0]:
         both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        low = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
+        low = _grouped(both, "x", F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
         # Large star: larger neighbours to the smallest of the neighbourhood.
         large = both.filter("y > x").join(low, "x").select(F.col("y").alias("x"), F.col("m").alias("y")).distinct()
         # Small star: smaller neighbours and the node itself to the smallest.
-        least = large.groupBy("x").agg(F.min("y").alias("m"))
+        least = _grouped(large, "x", F.min("y").alias("m"))
         small = large.join(least, "x")
         small = small.filter("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y")).unionByName(
             least.select("x", F.col("m").alias("y"))).distinct()
@@ -276,16 +287,16 @@ def _classified(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     # Members of buckets with two nodes or more, and the size of their bucket.
     banded = buckets(classes)
-    full = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("k"))
+    full = _grouped(banded, "bucket", F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("k"))
     members = stored(banded.join(full.filter("low < high").select("bucket", "k"), "bucket"), "members")
 
     # Step 3: each member against the hub of its buckets, then what is left in parts.
     met = members.groupBy("node").agg(F.sum("k").alias("met"))
-    hubs = members.join(met, "node").groupBy("bucket").agg(F.max(F.struct("met", (-F.col("node")).alias("n"))).alias("h"))
+    hubs = _grouped(members.join(met, "node"), "bucket", F.max(F.struct("met", (-F.col("node")).alias("n"))).alias("h"))
     spokes = members.join(hubs.select("bucket", (-F.col("h.n")).alias("hub")), "bucket").filter("node <> hub").select("hub", "node").distinct()
     near = components(stored(candidates(spokes, classes, percent), "candidates"))
     parts = members.join(near, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = parts.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count(F.lit(1)).alias("k")).filter("a < b")
+    mixed = _grouped(parts, "bucket", F.min("comp").alias("a"), F.max("comp").alias("b"), F.count(F.lit(1)).alias("k")).filter("a < b")
     mixed = mixed.select("bucket", F.ceil(F.col("k") / BLOCK).alias("blocks"))
     payload = F.concat(_little_endian("n_shingles"), "regs").alias("payload")
     rest = _dealt(members.select("bucket", "node"), "bucket", mixed).select("g", "node")
@@ -295,7 +306,7 @@ def _classified(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     # Step 4: all pairs of a cluster on the full sets.
     weighed = clusters.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node")
-    size = weighed.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"))
+    size = _grouped(weighed, "comp", F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"))
     # One row of each class gives its set. Texts stay where they are while the wanted rows are few enough to be sent to them.
     one = stored(reps.join(clusters.select("node"), "node", "left_semi").select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark")), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark")).alias("d")
