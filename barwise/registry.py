@@ -300,6 +300,24 @@ def q_cross_section_day_layout(spark, sf):
     return cs.cross_section(spark.read.parquet(path), dims, "2024-01-22 04:00:00")
 
 
+@query("cross_section_curve_layout")
+def q_cross_section_curve_layout(spark, sf):
+    """Q2 over fixture A clustered by instrument and time alike (Z-order)."""
+    path = scratch_path(spark, "bar_5m_curve")
+    dims = fx.instruments_a(spark, sf)
+    lay.load_bars(fx.vendor_rows_a(spark, sf), dims, path, "2023-01-01", "2025-01-01", curve=True)
+    return cs.cross_section(spark.read.parquet(path), dims, "2024-01-22 04:00:00")
+
+
+@query("ticker_chart_curve_layout")
+def q_ticker_chart_curve_layout(spark, sf):
+    """Q1 over the same layout."""
+    path = scratch_path(spark, "bar_5m_curve")
+    dims = fx.instruments_a(spark, sf)
+    lay.load_bars(fx.vendor_rows_a(spark, sf), dims, path, "2023-01-01", "2025-01-01", curve=True)
+    return ch.ticker_chart(spark.read.parquet(path), dims, SYM_A, "2024-01-08 00:00:00", "2024-01-15 00:00:00")
+
+
 @query("market_volume")
 def q_market_volume(spark, sf):
     t0, t1 = "2024-01-02 14:30:00", "2024-01-06 00:00:00"

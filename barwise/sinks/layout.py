@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from barwise.functions.curve import curve_key
 from barwise.functions.orderkey import Part
 from barwise.functions.timefn import month_key
 from barwise.operators.filters import in_range_cond
@@ -64,17 +65,26 @@ def assign_day(bars: DataFrame, start, end, ts: str = "ts", out: str = "day") ->
 
 
 def cluster(df: DataFrame, part="month", key: str = "ticker_id", ts: str = "ts",
-            partitions: int | None = None) -> DataFrame:
+            partitions: int | None = None, curve_keys: int | None = None) -> DataFrame:
     """Range-partition by (part..., key, ts) and sort inside partitions (K6).
 
     A range exchange splits a big month (or a hot instrument) over many
     tasks instead of sending a whole month to one writer, and leaves each
     output file sorted by (key, ts) for row-group skipping. ``part`` is a
     partition column or a list of them (e.g. month and day).
+
+    With ``curve_keys`` (the largest key) rows follow a Z-order curve through
+    key and time of the month instead: of n files of a month, reads of one key
+    and reads of one time each need some sqrt(n), where the plain order needs
+    about one for a key and all of them for a time.
     """
-    cols = [*([part] if isinstance(part, str) else part), key, ts]
+    parts = [part] if isinstance(part, str) else list(part)
+    cols = [*parts, key, ts]
+    if curve_keys is not None:
+        df = df.withColumn("_curve", curve_key(F.col(key), F.col(ts), curve_keys))
+        cols = [*parts, "_curve", key, ts]
     r = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
-    return r.sortWithinPartitions(*cols)
+    return r.sortWithinPartitions(*cols).drop("_curve")
 
 
 WRITE_MODES = ("overwrite", "truncate", "append")
@@ -110,7 +120,7 @@ def drop_partitions(spark: SparkSession, path: str, part: str, values) -> None:
 def load_bars(bars: DataFrame, dims: DataFrame, path: str | PlainTable, start, end,
               mode: str = "overwrite", partitions: int | None = None,
               on_duplicate: str = "fail", report: dict | None = None,
-              by_day: bool = False, on_bad: str = "fail") -> DataFrame:
+              by_day: bool = False, on_bad: str = "fail", curve: bool = False) -> DataFrame:
     """Bulk load vendor bars into the month-partitioned fact (K2, K3, K6).
 
     Symbols are resolved with a broadcast-checked join, unknown symbols are
@@ -125,7 +135,8 @@ def load_bars(bars: DataFrame, dims: DataFrame, path: str | PlainTable, start, e
     ``mode="truncate"`` replaces the whole table, ``"overwrite"`` the months
     present. Rows that break the bar rules are refused (``on_bad="fail"``),
     left out (``"drop"``) or kept (``"keep"``). A refused load raises
-    ValueError and leaves the table as it was.
+    ValueError and leaves the table as it was. ``curve`` clusters the files by
+    instrument and time alike (see ``cluster``).
 
     The input is scanned once: rows are reduced per key by a hash aggregate
     that counts duplicates and bad rows on the way, and the range exchange
@@ -141,7 +152,8 @@ def load_bars(bars: DataFrame, dims: DataFrame, path: str | PlainTable, start, e
         raise ValueError("on_bad must be 'keep', 'fail' or 'drop'")
     spark = bars.sparkSession
     table = open_table(spark, path)
-    out, seen = checked_rows(bars, dims, start, end, partitions, by_day, on_bad)
+    curve_keys = (dims.agg(F.max("ticker_id")).first()[0] or 0) if curve else None
+    out, seen = checked_rows(bars, dims, start, end, partitions, by_day, on_bad, curve_keys)
     parts = ["month", "day"] if by_day else ["month"]
     staged = table.stage(out, parts)
     counts = seen.get
@@ -157,7 +169,7 @@ def load_bars(bars: DataFrame, dims: DataFrame, path: str | PlainTable, start, e
             if on_duplicate == "fail":
                 stop = "load_bars: keys are already stored"
             else:
-                fresh = table.stage(cluster(rows.join(stored, keys, "left_anti").select(*rows.columns), part=parts, partitions=partitions), parts)
+                fresh = table.stage(cluster(rows.join(stored, keys, "left_anti").select(*rows.columns), part=parts, partitions=partitions, curve_keys=curve_keys), parts)
                 table.discard(staged)
                 staged = fresh
     if stop:
@@ -172,7 +184,7 @@ def load_bars(bars: DataFrame, dims: DataFrame, path: str | PlainTable, start, e
 
 
 def checked_rows(bars: DataFrame, dims: DataFrame, start, end, partitions: int | None = None, by_day: bool = False,
-                 on_bad: str = "fail") -> tuple[DataFrame, Observation]:
+                 on_bad: str = "fail", curve_keys: int | None = None) -> tuple[DataFrame, Observation]:
     """(the rows of a load, clustered, one per key; the counters, known once they are written)."""
     d = bounded_broadcast(dims.select("symbol", "ticker_id"))
     b = (bars.join(d, "symbol", "left")
@@ -193,7 +205,7 @@ def checked_rows(bars: DataFrame, dims: DataFrame, start, end, partitions: int |
     # would also be counted by the exchange's sampling job.
     seen = Observation("load_bars")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    out = (cluster(b, part=parts, partitions=partitions)
+    out = (cluster(b, part=parts, partitions=partitions, curve_keys=curve_keys)
            .observe(seen, total(F.when(known, 1).otherwise(F.col("_n"))).alias("attempted"),
                     total(F.when(~known, F.col("_n"))).alias("unknown_symbols"),
                     F.count_if(known).alias("loaded"),
