@@ -59,10 +59,12 @@ def num_or(col, default, dtype: str = "double") -> Column:
 def steady_sum(x) -> Column:
     """Sum of doubles that does not depend on the order of the rows.
 
-    Whole units and the rest (in steps of 2^-30) are summed apart: both sums
-    are exact up to 2^53 units and 2^23 units' worth of rests. Beyond that the
-    last digits depend on the order, as with any sum of doubles.
+    Whole units, the rest in steps of 2^-30 and what that leaves in steps of
+    2^-60 are summed apart: the sums are exact up to 2^53 units and 2^23 rows.
+    Beyond that the last digits depend on the order, as with any sum of doubles.
     """
     c = F.col(x) if isinstance(x, str) else x
-    rest = F.rint((c - F.rint(c)) * float(1 << 30))
-    return F.sum(F.rint(c)) + F.sum(rest) / float(1 << 30)
+    step = float(1 << 30)
+    rest = (c - F.rint(c)) * step
+    last = (rest - F.rint(rest)) * step
+    return F.sum(F.rint(c)) + (F.sum(F.rint(rest)) + F.sum(F.rint(last)) / step) / step
