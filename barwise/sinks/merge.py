@@ -11,13 +11,15 @@ new location or are appended.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwise.functions.orderkey import CAPACITY, Part, is_fixed, packed, parts_of
 from barwise.operators.quality import assert_unique
-from barwise.sinks.tables import PlainTable
+from barwise.sinks.tables import PlainTable, staged
 
 
 def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Part] | None = None,
@@ -57,6 +59,26 @@ def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str | P
     return first.select(*batch.columns, *more)
 
 
+def first_by_values(batch: DataFrame, keys: Sequence[str], values: Sequence[str], path: str, count: str) -> DataFrame:
+    """One row per key of a batch of just keys and ``values``: the first by ``values``, and ``count``, the key's rows.
+
+    For long orders, which fit no packed key of ``first_per_key``. A hash
+    aggregate, stored at ``path``, counts rows and has all that keys of one
+    row need. If there are others, the batch is read again and their rows are
+    compared as structs, for which Spark sorts.
+    """
+    keys, values = list(keys), list(values)
+    seen = staged(batch.groupBy(*keys).agg(*[F.min(c).alias(c) for c in values], F.count(F.lit(1)).alias(count)), path)
+    first, torn = seen.where(F.col(count) == 1), seen.where(F.col(count) > 1).select(*keys)
+    if torn.isEmpty():
+        return first
+    t = torn.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    rows = batch.join(t, same, "left_semi").groupBy(*keys).agg(F.min(F.struct(*values)).alias("_first"), F.count(F.lit(1)).alias(count))
+    rows = staged(rows.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in values], count), f"{path}-torn")
+    return first.unionByName(rows)
+
+
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],
              order: Sequence[str] | None = None) -> DataFrame:
     """Batch rows whose key is not in the target, one per key (K7).

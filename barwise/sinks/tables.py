@@ -31,6 +31,12 @@ from pyspark.sql.types import StringType, StructType
 MODES = ("overwrite", "truncate", "append")
 
 
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read again: what it takes to derive it is done once."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class StaleVersion(ValueError):
     """Another writer published a version in between."""
 

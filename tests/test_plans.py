@@ -1,7 +1,9 @@
 """Plan shape and invariants: pruning, pushdown, no single-partition
 windows, rollup table equals raw rollup, refresh equals full build."""
 
+import datetime as dt
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -251,6 +253,45 @@ def test_second_loader_rules(spark):
     assert s["ZZZ"][1:] == ("Zed", "Energy") and s["AAA"][1] == "Triple A Inc"
 
 
+def test_second_loader_reads_its_batch_once(spark):
+    from barwise.sinks.market_data import load_market_data
+    cols = ("symbol string, timestamp timestamp_ntz, open double, high double, low double, "
+            "close double, volume long, vwap double, trade_count long")
+    rows = [(f"S{i % 3}", dt.datetime(2023, 1 + i % 5, 1), 1.0, 2.0, 1.0, 1.5, i, None, None) for i in range(15)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    vendor = spark.createDataFrame(rows, cols).mapInArrow(counted, cols)
+    meta = spark.createDataFrame([("S0", "S nought", "Tech")], "symbol string, name string, sector string")
+    path, syms = scratch_path(spark, "md"), scratch_path(spark, "syms")
+    for inserted in (12, 0):
+        read.value = 0
+        r = load_market_data(vendor, meta, path, syms, "2023-01-01", "2023-05-01")
+        assert (r["attempted"], r["out_of_range"], r["inserted"], r["symbols"]) == (12, 3, inserted, 3)
+        assert read.value == 15
+    assert sorted(x.volume for x in spark.read.parquet(path).collect()) == [i for i in range(15) if i % 5 < 4]
+
+
+def test_first_by_values_equals_least_rows(spark):
+    from barwise.sinks.merge import first_by_values
+    rng = random.Random(5)
+    rows = [(rng.randrange(30), *[rng.choice([None, 1, 2]) for _ in range(3)]) for _ in range(60)]
+    rows += [(99, None, None, None)] * 2 + [(98, None, 1, 1), (98, 1, None, 1), (None, 2, 1, 1), (None, 1, 2, 2)]
+    by_key = {}
+    for k, *v in rows:
+        by_key.setdefault(k, []).append(v)
+    least = {k: (min(vs, key=lambda v: [(x is not None, x or 0) for x in v]), len(vs)) for k, vs in by_key.items()}
+    once = {k: (v, 1) for k, (v, _) in least.items()}
+    for given, want in ((rows, least), ([(k, *v) for k, (v, _) in least.items()], once)):
+        df = spark.createDataFrame(given, "k int, a int, b int, c int")
+        got = first_by_values(df, ["k"], ["a", "b", "c"], scratch_path(spark, "first"), "n").collect()
+        assert len(got) == len(want) and {r.k: ([r.a, r.b, r.c], r.n) for r in got} == want
+
+
 def test_day_partitions_prune_cross_sections(spark):
     from barwise.operators.filters import at_times
     vendor = fx.vendor_rows_a(spark, SF)
